@@ -92,8 +92,11 @@ VIEWS = {
         SELECT account_id, start_date, end_date, account_type FROM core_account c
         WHERE NOT EXISTS (SELECT 1 FROM clean_account s WHERE s.account_id = c.account_id)""",
     "clean_relationship": """
-        SELECT * FROM stg_relationship r
-        WHERE source_line % 10 = 0 AND EXISTS (SELECT 1 FROM effective_clean_account a WHERE a.account_id = r.account_id)""",
+        SELECT batch_date, source_file, min(source_line) AS source_line, account_id, customer_id, type
+        FROM stg_relationship r
+        WHERE account_id = customer_id
+          AND EXISTS (SELECT 1 FROM effective_clean_account a WHERE a.account_id = r.account_id)
+        GROUP BY batch_date, source_file, account_id, customer_id, type""",
     "clean_transaction": """
         SELECT s.* FROM stg_transaction s LEFT JOIN effective_clean_account a ON s.account_id = a.account_id
         LEFT JOIN core_transaction o ON s.transaction_id = o.transaction_id

@@ -508,29 +508,29 @@ def check_audit(book):
 
 @query("run_audit", """
     SELECT 'completion_time_state' AS rule, CAST(batch_date AS VARCHAR) AS batch_date, batch_run_id AS key
-    FROM attempt WHERE status = 'FAILED' AND orders % 5 = 0
+    FROM attempt WHERE status = 'FAILED' AND month(batch_date) = 5
     UNION ALL SELECT 'completed_before_start', CAST(batch_date AS VARCHAR), batch_run_id
-    FROM attempt WHERE orders % 7 = 0 AND NOT (status = 'FAILED' AND orders % 5 = 0)
+    FROM attempt WHERE month(batch_date) = 7
     UNION ALL SELECT 'message_without_failure', CAST(batch_date AS VARCHAR), batch_run_id
-    FROM attempt WHERE status = 'COMPLETED' AND orders = 9
+    FROM attempt WHERE status = 'COMPLETED' AND month(batch_date) = 9
     UNION ALL SELECT 'one_active_attempt', CAST(batch_date AS VARCHAR), '2' FROM attempt
-    WHERE orders = 3 AND status = 'COMPLETED'""")
+    WHERE month(batch_date) = 3 AND status = 'COMPLETED'""")
 def run_audit(book):
-    """Attempts with faults by how many orders the date had; three orders make the attempt appear twice."""
-    n, failed = F.col("orders"), F.col("status") == "FAILED"
+    """Attempts with a different fault in March, May, July and September."""
+    month, failed = F.month("batch_date"), F.col("status") == "FAILED"
     begun = F.timestamp_seconds(F.unix_date("batch_date") * 86400 + F.col("k") * 3600)
-    copies = F.when((n == 3) & ~failed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    again = (F.col("copy") == 1)
+    copies = F.when((month == 3) & ~failed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    again = F.col("copy") == 1
     runs = book.attempts.withColumn("copy", F.explode(copies)).select(
         F.when(again, F.concat("batch_run_id", F.lit("-again"))).otherwise(F.col("batch_run_id")).alias("batch_run_id"),
         "batch_date",
         "status",
         begun.alias("started_at"),
-        F.when(failed & (n % 5 == 0), F.lit(None))
-        .when(n % 7 == 0, begun - F.expr("INTERVAL 1 HOUR"))
+        F.when(failed & (month == 5), F.lit(None))
+        .when(month == 7, begun - F.expr("INTERVAL 1 HOUR"))
         .otherwise(begun + F.expr("INTERVAL 1 HOUR"))
         .alias("completed_at"),
-        F.when(failed | (n == 9), F.lit("note")).alias("error_message"),
+        F.when(failed | (month == 9), F.lit("note")).alias("error_message"),
     )
     return audits.run_audit(runs)
 
@@ -764,14 +764,16 @@ def scan_transaction_fw(book):
 
 
 @query("staged_with_lineage", """
-    SELECT CAST(batch_date AS VARCHAR) AS batch_date, 'transaction_' || strftime(batch_date, '%Y%m%d') || '.dat' AS source_file,
-           row_number() OVER (PARTITION BY batch_date ORDER BY transaction_id) AS source_line,
+    SELECT CAST(date_trunc('month', batch_date) AS DATE)::VARCHAR AS batch_date,
+           'transaction_' || strftime(batch_date, '%Y%m') || '01.dat' AS source_file,
+           row_number() OVER (PARTITION BY date_trunc('month', batch_date) ORDER BY transaction_id) AS source_line,
            transaction_id, account_id, type, amount
     FROM txn_all""")
 def staged_with_lineage(book):
-    """One dated file per business date, in transaction order; a busy date is cut into parts like any range."""
+    """One dated file per month, in transaction order; a big file is cut into parts like any range."""
+    first = F.trunc("batch_date", "month")
     rows = book.transactions.withColumn(
-        "source_file", F.concat(F.lit("transaction_"), fx.compact_date(F.col("batch_date")), F.lit(".dat"))
+        "source_file", F.concat(F.lit("transaction_"), fx.compact_date(first), F.lit(".dat"))
     )
     ordered = rows.repartitionByRange("source_file", "transaction_id").sortWithinPartitions(
         "source_file", "transaction_id"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.fields import checked_cents
 from daybook.operators import merge, posting, references
@@ -24,7 +25,7 @@ class BalanceStream:
         files.make_directory(spark, f"{self.folder}/ledger")
 
     def _ledger(self, before: int) -> DataFrame:
-        schema = TRANSACTION.schema.add("batch", "bigint")
+        schema = TRANSACTION.schema.add("batch", T.LongType())
         return self.spark.read.schema(schema).parquet(f"{self.folder}/ledger").where(F.col("batch") < before)
 
     def balances(self, number: int | None = None) -> DataFrame:
