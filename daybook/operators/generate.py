@@ -30,6 +30,8 @@ FIRST_NAMES = ("Ada", "Bruno", "Carla", "Dmitri", "Elif", "Farid", "Greta", "Hug
 LAST_NAMES = ("Ahmed", "Bauer", "Costa", "Dubois", "Evans", "Fischer", "García", "Hansen", "Ivanov", "Jansen")
 STREETS = ("Birch Ave", "Cedar Lane", "Elm St", "Harbour Rd", "King St", "Lake Shore", "Mill Rd", "Oak Cres")
 MAX_LIST = 10_000
+# Two numbers per row, 16 MB of data.
+MAX_BROADCAST_ACCOUNTS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -131,14 +133,20 @@ def unused_pairs(
     )
     if n > n_accounts * n_customers - n_taken:
         raise ValueError(f"{n} pairs asked for, {n_accounts * n_customers - n_taken} are unused")
-    numbers = spark.range(min(n + n_taken, n_accounts * n_customers)).select(
+    n_numbers = min(n + n_taken, n_accounts * n_customers)
+    # Few accounts with many customers each would be hot join keys, but then they are few enough to broadcast.
+    n_used_accounts = -(-n_numbers // max(n_customers, 1))
+    used_accounts = ranked["account_id"].where(F.col("account_id_position") < n_used_accounts)
+    if n_used_accounts <= MAX_BROADCAST_ACCOUNTS:
+        used_accounts = F.broadcast(used_accounts)
+    numbers = spark.range(n_numbers).select(
         F.col("id").alias("number"),
         F.expr(f"id div {max(n_customers, 1)}").alias("account_id_position"),
         (F.col("id") % max(n_customers, 1)).alias("customer_id_position"),
     )
     decoded = (
         numbers.join(ranked["customer_id"], "customer_id_position")
-        .join(ranked["account_id"], "account_id_position")
+        .join(used_accounts, "account_id_position")
         .join(taken, ["account_id", "customer_id"], "left_anti")
     )
     in_order = with_position(decoded.select("number", "account_id", "customer_id"), ["number"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -30,18 +31,25 @@ def upsert_audited(current: DataFrame, staged: DataFrame, keys: list[str]) -> Da
     return upsert(current, stamped, keys)
 
 
+def first_record(rows: DataFrame, keys: list[str], order: list[str], descending: bool = False) -> DataFrame:
+    """The whole record that comes first per key in ``order``.
+
+    Spark keeps one row per key and task before the shuffle (a window group limit), so a key with many records
+    costs no more than any other.
+    """
+    by = [F.desc(c) if descending else F.asc(c) for c in order]
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*by))
+    return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
 def first_copy(staged: DataFrame, keys: list[str]) -> DataFrame:
     """The record with the lowest source line per key."""
-    rest = [c for c in staged.columns if c not in (*keys, "source_line")]
-    first = staged.groupBy(*keys).agg(F.min(F.struct("source_line", *rest)).alias("first"))
-    return first.select(*keys, "first.*").select(*staged.columns)
+    return first_record(staged, keys, ["source_line"])
 
 
 def latest_record(staged: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last full record per key in ``order``, combined on the map side."""
-    rest = [c for c in staged.columns if c not in (*keys, *order)]
-    last = staged.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("last"))
-    return last.select(*keys, "last.*").select(*staged.columns)
+    """The last full record per key in ``order``."""
+    return first_record(staged, keys, order, descending=True)
 
 
 def new_keys(staged: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,49 +13,51 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daybook.functions.fields import checked_cents, in_cents_range
-from daybook.operators.merge import latest_record
+from daybook.operators.merge import first_record, latest_record
 from daybook.operators.posting import signed_amounts
 from daybook.operators.references import CONTENTS
 from daybook.operators.rules import duplicates
 from daybook.schemas import LAYOUTS
+from daybook.session import durable
 
 _PLACE = ["batch_date", "source_line"]
 
 
-def first_postings(feed: DataFrame) -> DataFrame:
-    """One row per transaction ID: the posting that wins, and how often it came again, same or different.
+def _by_contents(feed: DataFrame) -> DataFrame:
+    """Occurrences combined per transaction ID and contents: the first place and how often."""
+    return feed.groupBy("transaction_id", *CONTENTS).agg(
+        F.min(F.struct(*_PLACE)).alias("place"), F.count(F.lit(1)).alias("times")
+    )
 
-    IDs whose occurrences agree, nearly all, need one aggregation. Only the IDs whose contents differ are
-    counted by contents, from a second look at the feed.
-    """
-    contents = F.struct(*CONTENTS)
-    one = feed.groupBy("transaction_id").agg(
-        F.min(F.struct(*_PLACE, *CONTENTS)).alias("first"),
-        F.count(F.lit(1)).alias("times"),
-        F.max(contents).alias("highest"),
-        F.min(contents).alias("lowest"),
-    )
-    disputed = one.where(F.col("highest") != F.col("lowest")).select("transaction_id")
-    per_contents = (
-        feed.join(disputed, "transaction_id", "left_semi")
-        .groupBy("transaction_id", *CONTENTS)
-        .agg(F.min(F.struct(*_PLACE)).alias("place"), F.count(F.lit(1)).alias("times"))
-        .groupBy("transaction_id")
-        .agg(F.min_by("times", "place").alias("agreeing"))
-    )
-    agreeing = F.coalesce(F.col("agreeing"), F.col("times"))
-    return one.join(per_contents, "transaction_id", "left").select(
+
+def first_postings(feed: DataFrame) -> DataFrame:
+    """One row per transaction ID: the posting that wins, and how often it came again, same or different."""
+    per_id = _by_contents(feed).groupBy("transaction_id").agg(
+        F.min(F.struct("place", *CONTENTS, "times")).alias("first"), F.sum("times").alias("times")
+    )
+    return per_id.select(
         "transaction_id",
-        "first.*",
-        (agreeing - 1).alias("replays"),
-        (F.col("times") - agreeing).alias("conflicts"),
+        "first.place.*",
+        *[F.col(f"first.{c}").alias(c) for c in CONTENTS],
+        (F.col("first.times") - 1).alias("replays"),
+        (F.col("times") - F.col("first.times")).alias("conflicts"),
     )
 
 
 def winners(feed: DataFrame) -> DataFrame:
     """The postings a date-by-date run would make: the first occurrence of every transaction ID."""
-    first = feed.groupBy("transaction_id").agg(F.min(F.struct(*_PLACE, *CONTENTS)).alias("first"))
-    return first.select("transaction_id", "first.*")
+    return first_record(feed.select("transaction_id", *_PLACE, *CONTENTS), ["transaction_id"], _PLACE)
+
+
+def first_two_contents(feed: DataFrame) -> DataFrame:
+    """Per transaction ID the posting that wins (turn 1) and the first occurrence of other contents (turn 2)."""
+    turn = F.row_number().over(W.partitionBy("transaction_id").orderBy("place"))
+    return (
+        _by_contents(feed)
+        .withColumn("turn", turn)
+        .where(F.col("turn") <= 2)
+        .select("transaction_id", "place.*", *CONTENTS, "turn")
+    )
 
 
 def daily_deltas(postings: DataFrame) -> DataFrame:
@@ -189,11 +191,12 @@ def failing_dates(feeds: Feeds) -> DataFrame:
 
     Evaluated as if no earlier date had failed, which is exact for the first failing date overall.
     """
-    postings = winners(feeds.transaction)
+    turns = durable(first_two_contents(feeds.transaction), "turns")
+    postings = turns.where(F.col("turn") == 1)
     deltas = _running_totals(daily_deltas(postings))
     found = {
         "account_dates": feeds.account.where(F.col("end_date") < F.col("start_date")),
-        "conflicting_replay": conflicting_occurrences(feeds.transaction),
+        "conflicting_replay": turns.where(F.col("turn") == 2),
         "missing_account_relationship": _unknown(feeds.relationship, feeds.account, "account_id"),
         "missing_account_transaction": _unknown(feeds.transaction, feeds.account, "account_id"),
         "missing_customer": _unknown(feeds.relationship, feeds.customer, "customer_id"),
@@ -209,21 +212,6 @@ def failing_dates(feeds: Feeds) -> DataFrame:
     return result.where(F.col("batch_date").isNotNull())
 
 
-def conflicting_occurrences(feed: DataFrame) -> DataFrame:
-    """Per transaction ID with differing contents, the first date another contents than the winner's came."""
-    place = F.struct(*_PLACE)
-    by_contents = feed.groupBy("transaction_id", *CONTENTS).agg(F.min(place).alias("place"))
-    first = by_contents.groupBy("transaction_id").agg(
-        F.min("place").alias("winner"), F.count(F.lit(1)).alias("contents")
-    ).where(F.col("contents") > 1)
-    return (
-        by_contents.join(first, "transaction_id")
-        .where(F.col("place") != F.col("winner"))
-        .groupBy("transaction_id")
-        .agg(F.min("place.batch_date").alias("batch_date"))
-    )
-
-
 def postable_prefix(dates: DataFrame, feeds: Feeds) -> DataFrame:
     """Dates strictly before the first failing date."""
     stop = failing_dates(feeds).agg(F.min("batch_date").alias("stop")).scalar()

@@ -49,6 +49,7 @@ class Book:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.posted: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -262,7 +263,8 @@ class Book:
         return merge.upsert(self.core_account, self.clean_account, ["account_id"])
 
     @cached_property
-    def clean_transaction(self) -> DataFrame:
+    def clean_marked(self) -> DataFrame:
+        """Postable staged transactions with the ledger's contents of the same ID."""
         once = self.stg_transaction.where(F.col("source_line") < COPY)
         marked = references.with_posted(once, self.core_transaction)
         open_accounts = self.effective_clean_account.where(
@@ -272,9 +274,13 @@ class Book:
         return (
             marked.join(open_accounts, "account_id", "left")
             .where(same | (F.col("posted").isNull() & F.col("open")))
-            .select(*self.stg_transaction.columns)
+            .select(*marked.columns)
         )
 
+    @cached_property
+    def clean_transaction(self) -> DataFrame:
+        return self.clean_marked.drop("posted")
+
     # Many dates
 
     @cached_property

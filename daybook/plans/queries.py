@@ -77,7 +77,10 @@ def _clean_new_accounts(book: Book) -> DataFrame:
 
 
 def _clean_posted(book: Book) -> DataFrame:
-    return references.fresh(references.with_posted(book.clean_transaction, book.core_transaction))
+    """The new postings of the batch, met with the ledger once and written, as a run does."""
+    if book.posted is None:
+        book.posted = durable(references.fresh(book.clean_marked), "posted")
+    return book.posted
 
 
 def _clean_balances(book: Book) -> DataFrame:
@@ -156,7 +159,8 @@ def new_accounts(book):
     SELECT transaction_id, account_id, type, amount, CAST(batch_date AS VARCHAR) AS batch_date,
            'run-1' AS batch_run_id FROM clean_posted""")
 def ledger_append(book):
-    return posting.ledger_rows(_clean_posted(book), "run-1")
+    marked = references.with_posted(book.clean_transaction, book.core_transaction)
+    return posting.ledger_rows(references.fresh(marked), "run-1")
 
 
 @query("applied_counts", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def publish_lines(ordered: DataFrame, order: list[str], target: str, octet_bound
     if octet_bound == 0:
         create_file(spark, target)
         return
-    working = f"{parent}/.{name}.{abs(hash((target, id(ordered)))):x}.tmp"
+    working = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
     if octet_bound <= SINGLE_FILE_OCTETS:
         ordered.coalesce(1).sortWithinPartitions(*order).select("value").write.text(working)
         parts = [
