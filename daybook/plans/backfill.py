@@ -6,6 +6,7 @@ window over an account sees at most one row per business date however many trans
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 from daybook.functions.fields import checked_cents, in_cents_range
 from daybook.operators.merge import first_record, latest_record
 from daybook.operators.posting import signed_amounts
-from daybook.operators.references import CONTENTS
-from daybook.operators.rules import duplicates
+from daybook.operators.references import CONTENTS, posted_matches
+from daybook.operators.rules import State, duplicates
 from daybook.schemas import LAYOUTS
 from daybook.session import durable
 
 _PLACE = ["batch_date", "source_line"]
+# Stands for the published state: before any batch date a feed may hold.
+BEFORE = dt.date(1, 1, 1)
 
 
 def _by_contents(feed: DataFrame) -> DataFrame:
@@ -99,22 +102,27 @@ def effective_accounts(feed: DataFrame) -> DataFrame:
     )
 
 
-def snapshots_all_dates(postings: DataFrame, account_feed: DataFrame) -> DataFrame:
+def snapshots_all_dates(
+    postings: DataFrame, account_feed: DataFrame, opening: DataFrame | None = None
+) -> DataFrame:
     """The balance snapshot of every date: accounts first seen or posted to that day, at closing balance.
 
-    New accounts join the daily deltas as zero, so membership and running totals come out of one aggregation
-    and one window.
+    New accounts join the daily deltas as zero, and opening balances as a date before all others, so membership
+    and running totals come out of one aggregation and one window.
     """
     created = first_seen(account_feed, "account_id").select(
         "account_id",
         F.col("first_date").alias("batch_date"),
         F.lit(0).cast("decimal(29,0)").alias("delta"),
     )
-    members = (
-        daily_deltas(postings).unionByName(created).groupBy("account_id", "batch_date").agg(F.sum("delta").alias("delta"))
-    )
-    return _running_totals(members).select(
-        "batch_date", "account_id", checked_cents(F.col("total")).alias("balance")
+    rows = daily_deltas(postings).unionByName(created)
+    if opening is not None:
+        rows = rows.unionByName(_opening_deltas(opening))
+    members = rows.groupBy("account_id", "batch_date").agg(F.sum("delta").alias("delta"))
+    return (
+        _running_totals(members)
+        .where(F.col("batch_date") > F.lit(BEFORE))
+        .select("batch_date", "account_id", checked_cents(F.col("total")).alias("balance"))
     )
 
 
@@ -186,14 +194,44 @@ def _barred_dates(postings: DataFrame, account_feed: DataFrame) -> DataFrame:
     )
 
 
-def failing_dates(feeds: Feeds) -> DataFrame:
+def _opening_deltas(balances: DataFrame) -> DataFrame:
+    return balances.select(
+        "account_id", F.lit(BEFORE).alias("batch_date"), F.col("balance").cast("decimal(29,0)").alias("delta")
+    )
+
+
+def _as_records(current: DataFrame, feed: DataFrame) -> DataFrame:
+    lineage = {"batch_date": F.lit(BEFORE), "source_file": F.lit("")}
+    columns = [
+        lineage[c].alias(c) if c in lineage else F.monotonically_increasing_id().alias(c) if c == "source_line" else F.col(c)
+        for c in feed.columns
+    ]
+    return current.select(*columns)
+
+
+def on_state(feeds: Feeds, state: State) -> Feeds:
+    """The feeds with the published state in front: what is on file, and the ledger rows of the same IDs."""
+    posted = posted_matches(feeds.transaction, state.ledger).select("transaction_id", "posted.*")
+    return Feeds(
+        customer=feeds.customer.unionByName(_as_records(state.customer, feeds.customer)),
+        account=feeds.account.unionByName(_as_records(state.account, feeds.account)),
+        relationship=feeds.relationship,
+        transaction=feeds.transaction.unionByName(_as_records(posted, feeds.transaction)),
+    )
+
+
+def failing_dates(feeds: Feeds, opening: DataFrame | None = None) -> DataFrame:
     """The first failing date of each rule: (rule, batch_date). Later dates of a rule do not matter.
 
-    Evaluated as if no earlier date had failed, which is exact for the first failing date overall.
+    Evaluated as if no earlier date had failed, which is exact for the first failing date overall. With published
+    state, pass the feeds ``on_state`` and the opening balances.
     """
     turns = durable(first_two_contents(feeds.transaction), "turns")
-    postings = turns.where(F.col("turn") == 1)
-    deltas = _running_totals(daily_deltas(postings))
+    postings = turns.where((F.col("turn") == 1) & (F.col("batch_date") > F.lit(BEFORE)))
+    deltas = daily_deltas(postings)
+    if opening is not None:
+        deltas = deltas.unionByName(_opening_deltas(opening))
+    deltas = _running_totals(deltas)
     found = {
         "account_dates": feeds.account.where(F.col("end_date") < F.col("start_date")),
         "conflicting_replay": turns.where(F.col("turn") == 2),

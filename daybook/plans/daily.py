@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daybook import schemas
 from daybook.functions.fields import balance_line, batch_date
 from daybook.operators import admission, merge, posting, references, rules
-from daybook.plans.store import Store
-from daybook.schemas import LAYOUTS
-from daybook.session import durable
+from daybook.operators.staging import staged_counts
+from daybook.plans import backfill
+from daybook.plans.store import SNAPSHOT, Store
+from daybook.schemas import LAYOUTS, Layout
+from daybook.session import durable, local_rows
 from daybook.sources import files, fixed_width
 
 # A balance line is 39 positions and its LF.
@@ -44,87 +50,92 @@ class Ledger:
         """Replace the staged rows of a date by its four files, all of them or none."""
         date = batch_date(date)
         directory = directory.rstrip("/")
-        status = self._status(date)
-        if status in ("RUNNING", "COMPLETED"):
+        status = self.store.active_status(date)
+        if status:
             raise BatchRefused(f"cannot replace staging for {status} batch {date}")
         listing = files.list_directory(self.spark, directory)
         missing = admission.missing_input_files(self._one_date(date), listing).orderBy("name").first()
         if missing:
             raise BadInput(f"missing input file: {directory}/{missing['name']}")
-        lengths = {row["name"]: row["length"] for row in listing.where(F.col("name").endswith(".dat")).collect()}
         load = uuid.uuid4().hex
+        with ThreadPoolExecutor(len(LAYOUTS)) as pool:
+            loads = {
+                record: pool.submit(self._load, layout, [f"{directory}/{record}_{date:%Y%m%d}.dat"], load)
+                for record, layout in LAYOUTS.items()
+            }
         paths, counts = {}, {}
-        for record, layout in LAYOUTS.items():
-            name = f"{record}_{date:%Y%m%d}.dat"
-            if lengths[name] == 0:
-                counts[record] = 0
-                continue
-            path = f"{self.store.root}/staging/{record}/{load}"
-            lines = fixed_width.positioned_lines(self.spark, f"{directory}/{name}", layout)
-            lines.write.parquet(f"{path}/lines")
-            written = self.spark.read.schema(lines.schema).parquet(f"{path}/lines")
-            fixed_width.split_table(written).write.parquet(f"{path}/splits")
-            numbered = fixed_width.number_lines(written, self.spark.read.parquet(f"{path}/splits"))
-            bad = fixed_width.rejects(numbered, layout).orderBy("source_line").first()
-            if bad:
-                raise BadInput(f"{bad['source_file']}:{bad['source_line']}: {bad['reject_reason']}")
-            counts[record] = written.count()
-            if counts[record] == 0:
-                raise BadInput(f"{name}: no complete line in {lengths[name]} bytes")
-            paths[record] = path
-        self.store.append(
-            kind="ingested", batch_date=date, paths=paths, **{f"{r}_count": n for r, n in counts.items()}
-        )
+        for record, loaded in loads.items():
+            path, counts[record], fault = loaded.result()
+            if fault:
+                raise BadInput(fault)
+            if path:
+                paths[record] = path
+        event = dict(kind="ingested", batch_date=date, paths=paths)
+        self.store.append(event | {f"{r}_count": n for r, n in counts.items()})
         return counts
 
+    def _load(self, layout: Layout, names: list[str], load: str) -> tuple[str | None, int, str | None]:
+        """Parse files into a new staging directory: its path, its lines, and the first fault if any."""
+        names = [name for name in names if files.octets(self.spark, name) > 0]
+        if not names:
+            return None, 0, None
+        path = f"{self.store.root}/staging/{layout.record}/{load}"
+        numbered = self._stage(layout, names, path)
+        place = F.struct("source_file", "source_line")
+        found = numbered.agg(
+            F.count(F.lit(1)).alias("lines"), F.min(F.when(F.col("reject_reason").isNotNull(), place)).alias("bad")
+        ).first()
+        if found["bad"]:
+            at = (F.col("source_file") == found["bad"][0]) & (F.col("source_line") == found["bad"][1])
+            why = fixed_width.rejects(numbered.where(at), layout).first()["reject_reason"]
+            return path, found["lines"], f"{found['bad'][0]}:{found['bad'][1]}: {why}"
+        if not found["lines"]:
+            return path, 0, f"{names[0]}: no line in a file that is not empty"
+        return path, found["lines"], None
+
+    def _stage(self, layout: Layout, names: list[str], path: str) -> DataFrame:
+        lines = fixed_width.positioned_lines(self.spark, names, layout)
+        lines.write.parquet(f"{path}/lines")
+        written = self.spark.read.schema(lines.schema).parquet(f"{path}/lines")
+        fixed_width.split_table(written).write.parquet(f"{path}/splits")
+        return fixed_width.number_lines(written, self.spark.read.parquet(f"{path}/splits"))
+
     # Process
 
     def process(self, date: dt.date | str) -> dict[str, int]:
         """Post a staged date: validate, merge, append, balance, snapshot; all of it or none."""
         date = batch_date(date)
-        done = self.store.runs().where((F.col("batch_date") == F.lit(date)) & (F.col("status") == "COMPLETED")).first()
+        done = self.store.completed(date)
         if done:
             return {record: done[f"{record}_count"] for record in LAYOUTS}
         decision = self._admission(date)["process"]
         if decision != "run":
             raise BatchRefused(f"batch {date}: {decision}")
         run_id = uuid.uuid4().hex
-        self.store.append(kind="run", batch_date=date, batch_run_id=run_id, status="RUNNING")
+        attempt = dict(kind="run", batch_date=date, batch_run_id=run_id)
+        self.store.append(attempt | dict(status="RUNNING"))
         try:
             counts, record_count, paths = self._post(date, run_id)
         except Exception as failure:
-            self.store.append(
-                kind="run", batch_date=date, batch_run_id=run_id, status="FAILED", error_message=str(failure)[:2000]
-            )
+            self.store.append(attempt | dict(status="FAILED", error_message=str(failure)[:2000]))
             raise
-        self.store.append(
-            kind="run",
-            batch_date=date,
-            batch_run_id=run_id,
-            status="COMPLETED",
-            record_count=record_count,
-            paths=paths,
-            **{f"{r}_count": n for r, n in counts.items()},
-        )
+        applied = {f"{r}_count": n for r, n in counts.items()}
+        self.store.append(attempt | dict(status="COMPLETED", record_count=record_count, paths=paths) | applied)
         return counts
 
     def _post(self, date: dt.date, run_id: str) -> tuple[dict[str, int], int, dict[str, str]]:
         store = self.store
         staged = rules.Staged(date, **{record: store.staged(record, date) for record in LAYOUTS})
-        current = {name: store.state(name) for name in ("customer", "account", "relationship", "balance")}
-        state = rules.State(
-            **{name: df.drop("created_at", "updated_at") for name, df in current.items()}, ledger=store.ledger()
-        )
+        current, state = self._state()
         # The ledger is met once: validation, the append and the snapshot all use this copy.
         marked = durable(references.with_posted(staged.transaction, state.ledger), "marked")
         worst = rules.first_violation(rules.violations(staged, state, marked)).first()
         if worst:
             raise BatchRejected(worst["message"])
 
-        paths = store.state_paths()
-        counts = {}
+        paths, ingested, counts = store.state_paths(), store.ingested(date), {}
         for record in ("customer", "account", "relationship"):
-            counts[record] = staged.table(record).count()
+            counts[record] = ingested[f"{record}_count"]
             if counts[record]:
                 merged = merge.upsert_audited(current[record], staged.table(record), list(LAYOUTS[record].keys))
                 paths[record] = self._write(merged, f"state/{record}/{run_id}")
@@ -150,6 +161,11 @@ class Ledger:
             raise BatchRejected("Missing balance for output account")
         return counts, record_count, paths
 
+    def _state(self) -> tuple[dict[str, DataFrame], rules.State]:
+        current = {name: self.store.state(name) for name in ("customer", "account", "relationship", "balance")}
+        plain = {name: df.drop("created_at", "updated_at") for name, df in current.items()}
+        return current, rules.State(**plain, ledger=self.store.ledger())
+
     def _write(self, df: DataFrame, path: str) -> str:
         path = f"{self.store.root}/{path}"
         df.write.parquet(path)
@@ -180,7 +196,7 @@ class Ledger:
                 raise FileExistsError(f"output already exists with other contents: {target}")
         else:
             files.publish_lines(lines, ["account_id"], target, bound)
-        self.store.append(kind="exported", batch_date=date)
+        self.store.append(dict(kind="exported", batch_date=date))
         return target
 
     # All three
@@ -200,13 +216,124 @@ class Ledger:
             self.export(output_directory, date)
         return counts
 
-    def _one_date(self, date: dt.date) -> DataFrame:
-        return self.spark.createDataFrame([(date,)], "batch_date date")
+    # Many dates
+
+    def backfill(self, directory: str, dates: list[dt.date | str]) -> list[dt.date]:
+        """Post every date before the first that fails, in one plan, as a loop over ``run`` without its exports.
 
-    def _status(self, date: dt.date) -> str | None:
-        active = F.col("status").isin("RUNNING", "COMPLETED") & (F.col("batch_date") == F.lit(date))
-        row = self.store.runs().where(active).first()
-        return row["status"] if row else None
+        The failing date is recorded as a failed attempt. Returns the posted dates.
+        """
+        spark, store = self.spark, self.store
+        directory = directory.rstrip("/")
+        dates = sorted({batch_date(d) for d in dates})
+        wanted = self._dates(dates)
+        refused = (
+            admission.batch_admission(wanted, store.runs(), store.receipts(), store.exported(), wanted.limit(0))
+            .where(F.col("job") != "run")
+            .orderBy("batch_date")
+            .first()
+        )
+        if refused and refused["job"] != "blocked_by_earlier":
+            raise BatchRefused(f"batch {refused['batch_date']}: {refused['job']}")
+        if refused and not store.runs().where(F.col("batch_date").isin(dates) & (F.col("status") == "FAILED")).first():
+            raise BatchRefused(f"batch {refused['batch_date']}: {refused['job']}")
+
+        listing = files.list_directory(spark, directory)
+        stops = [admission.missing_input_files(wanted, listing).select(F.lit("missing_input").alias("rule"), "batch_date")]
+        filled = {r["name"] for r in listing.where(F.col("is_regular") & (F.col("length") > 0)).collect()}
+        load, feeds = uuid.uuid4().hex, {}
+        for record, layout in LAYOUTS.items():
+            names = [n for n in (f"{record}_{d:%Y%m%d}.dat" for d in dates) if n in filled]
+            if not names:
+                feeds[record] = local_rows(spark, [], schemas.staged_schema(layout))
+                continue
+            numbered = self._stage(
+                layout, [f"{directory}/{n}" for n in names], f"{store.root}/staging/{record}/{load}"
+            )
+            stops.append(
+                numbered.where(F.col("reject_reason").isNotNull()).select(F.lit("bad_input").alias("rule"), "batch_date")
+            )
+            feeds[record] = fixed_width.accepted(numbered, layout)
+        current, state = self._state()
+        staged = backfill.on_state(backfill.Feeds(**feeds), state)
+        stops.append(backfill.failing_dates(staged, state.balance))
+        stop = reduce(DataFrame.unionByName, stops).orderBy("batch_date", "rule").first()
+        posted_dates = [d for d in dates if stop is None or d < stop["batch_date"]]
+        if posted_dates:
+            self._post_many(posted_dates, load, staged, current, state)
+        if stop is not None:
+            attempt = dict(kind="run", batch_date=stop["batch_date"], batch_run_id=f"{load}-{stop['batch_date']}")
+            store.append(
+                attempt | dict(status="RUNNING"), attempt | dict(status="FAILED", error_message=stop["rule"])
+            )
+        return posted_dates
+
+    def _post_many(self, dates, load: str, staged: backfill.Feeds, current, state: rules.State) -> None:
+        store = self.store
+        within = F.col("batch_date").between(F.lit(dates[0]), F.lit(dates[-1]))
+        run_id = F.concat(F.lit(f"{load}-"), F.col("batch_date").cast("string")).alias("batch_run_id")
+        # Ranges of (date, ID) keep a task to few partitions and cut a date that holds most of the rows.
+        postings = backfill.winners(staged.transaction).where(within)
+        ledger = f"{store.root}/staging/ledger/{load}"
+        (
+            postings.select("transaction_id", "account_id", "type", "amount", "batch_date", run_id)
+            .repartitionByRange("batch_date", "transaction_id")
+            .write.partitionBy("batch_date", "batch_run_id")
+            .parquet(ledger)
+        )
+        posted = self.spark.read.schema(schemas.LEDGER).parquet(ledger)
+        accounts = staged.account.where(F.col("batch_date") <= F.lit(dates[-1]))
+        snapshot = f"{store.root}/staging/snapshot/{load}"
+        (
+            backfill.snapshots_all_dates(posted, accounts, state.balance)
+            .select("account_id", "balance", "batch_date", run_id)
+            .repartitionByRange("batch_date", "account_id")
+            .write.partitionBy("batch_date", "batch_run_id")
+            .parquet(snapshot)
+        )
+        members = self.spark.read.schema(SNAPSHOT).parquet(snapshot)
+
+        paths = store.state_paths()
+        for record in ("customer", "account", "relationship"):
+            layout = LAYOUTS[record]
+            sent = staged.table(record).where(within)
+            last = merge.latest_record(sent, list(layout.keys), ["batch_date", "source_line"]).select(*layout.columns)
+            merged = merge.upsert_audited(current[record], last, list(layout.keys))
+            paths[record] = self._write(merged, f"state/{record}/{load}")
+        created = merge.new_keys(accounts.where(within), state.account, ["account_id"])
+        opening = state.balance.unionByName(merge.initial_balances(created))
+        paths["balance"] = self._write(
+            posting.balances_after(opening, posting.account_deltas(posted)), f"state/balance/{load}"
+        )
+        per_date = self._counts_per_date(dates, staged, posted, members)
+        entries = []
+        for date in dates:
+            attempt = dict(kind="run", batch_date=date, batch_run_id=f"{load}-{date}")
+            counts = {f"{r}_count": per_date.get((date, r), 0) for r in LAYOUTS}
+            staged_counts = counts | dict(transaction_count=per_date.get((date, "staged"), 0))
+            entries.append(dict(kind="ingested", batch_date=date, paths={}) | staged_counts)
+            entries.append(attempt | dict(status="RUNNING"))
+            done = dict(status="COMPLETED", record_count=per_date.get((date, "snapshot"), 0), paths=paths)
+            entries.append(attempt | done | counts)
+        files.adopt_partitions(self.spark, ledger, f"{store.root}/ledger")
+        files.adopt_partitions(self.spark, snapshot, f"{store.root}/snapshot")
+        store.append(*entries)
+
+    def _counts_per_date(self, dates, staged: backfill.Feeds, posted: DataFrame, members: DataFrame) -> dict:
+        """Row counts per date and table: at most a handful of small rows per date."""
+        tables = {r: staged.table(r) for r in ("customer", "account", "relationship")}
+        tables |= {"transaction": posted, "staged": staged.transaction, "snapshot": members}
+        counted = staged_counts(tables).where(F.col("batch_date").between(F.lit(dates[0]), F.lit(dates[-1])))
+        return {(r["batch_date"], r["record"]): r["rows"] for r in counted.collect()}
+
+    # Control rows
+
+    def _dates(self, dates: list[dt.date]) -> DataFrame:
+        schema = T.StructType([schemas.LINEAGE["batch_date"]])
+        return local_rows(self.spark, [{"batch_date": d} for d in dates], schema)
+
+    def _one_date(self, date: dt.date) -> DataFrame:
+        return self._dates([date])
 
     def _admission(self, date: dt.date, missing: DataFrame | None = None):
         dates = self._one_date(date)

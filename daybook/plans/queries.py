@@ -814,7 +814,7 @@ def fw_line_quality(book):
         "source_file",
         "account_id",
         F.when(
-            (nation < 5) & (F.col("account_id") == F.col("first_account")), F.concat(F.lit("﻿"), body)
+            (nation < 5) & (F.col("account_id") == F.col("first_account")), F.concat(F.lit("\ufeff"), body)
         ).otherwise(body).alias("value"),
     )
     root = scratch_path(book.spark, "quality-files")
@@ -926,7 +926,7 @@ def fw_enums(book):
     FROM documents""")
 def fw_nfc_width(book):
     """Whole texts, each followed by a letter in decomposed form."""
-    text = F.concat("text", "lang", F.lit("é"))
+    text = F.concat("text", "lang", F.lit("e\u0301"))
     return book.table("documents").select("doc_id", fx.normalized(text).alias("line")).select(
         "doc_id",
         F.length("line").cast("bigint").alias("code_points"),

@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.schemas import LAYOUTS, RUN_COUNTS
+from daybook.session import local_rows
 from daybook.sources import files
 
 EVENT = T.StructType([
@@ -49,18 +50,31 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._read: tuple[list[str], list[Row]] = ([], [])
         for name in ("log", "ledger", "snapshot"):
             files.make_directory(spark, f"{self.root}/{name}")
 
-    def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT).json(f"{self.root}/log")
+    def entries(self) -> list[Row]:
+        """The log's events in order, a few per batch date; read again only when an entry was added."""
+        names = files.names(self.spark, f"{self.root}/log")
+        if names != self._read[0]:
+            rows = self.spark.read.schema(EVENT).json(f"{self.root}/log").orderBy("number").collect()
+            self._read = (names, rows)
+        return self._read[1]
 
-    def append(self, **event) -> None:
-        last = self.events().agg(F.max("number")).first()[0] or 0
-        event["number"] = last + 1
-        event["at"] = dt.datetime.now(dt.timezone.utc).isoformat()
-        text = json.dumps({k: str(v) if isinstance(v, dt.date) else v for k, v in event.items()})
-        files.create_file(self.spark, f"{self.root}/log/{last + 1:012d}.json", text + "\n")
+    def events(self) -> DataFrame:
+        return local_rows(self.spark, [e.asDict() for e in self.entries()], EVENT)
+
+    def append(self, *events: dict) -> None:
+        """Publish events together, in order, as one log entry."""
+        known = self.entries()
+        last = known[-1]["number"] if known else 0
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        lines = []
+        for number, event in enumerate(events, last + 1):
+            entry = {"at": now, **event, "number": number}
+            lines.append(json.dumps({k: str(v) if isinstance(v, dt.date) else v for k, v in entry.items()}))
+        files.create_file(self.spark, f"{self.root}/log/{last + 1:012d}.json", "\n".join(lines) + "\n")
 
     def runs(self) -> DataFrame:
         from daybook.operators.admission import current_runs
@@ -80,21 +94,30 @@ class Store:
             "batch_date", "batch_run_id", "record_count"
         )
 
-    def _latest_paths(self, condition) -> dict[str, str]:
-        row = self.events().where(condition).orderBy(F.desc("number")).select("paths").first()
-        return dict(row["paths"] or {}) if row else {}
+    def completed(self, date: dt.date) -> Row | None:
+        return next((e for e in self.entries() if e["status"] == "COMPLETED" and e["batch_date"] == date), None)
 
-    def state_paths(self) -> dict[str, str]:
-        return self._latest_paths((F.col("kind") == "run") & (F.col("status") == "COMPLETED"))
+    def active_status(self, date: dt.date) -> str | None:
+        """COMPLETED or RUNNING when an attempt of the date is neither absent nor failed."""
+        of_date = [e for e in self.entries() if e["kind"] == "run" and e["batch_date"] == date]
+        ended = {e["batch_run_id"] for e in of_date if e["status"] != "RUNNING"}
+        if any(e["status"] == "COMPLETED" for e in of_date):
+            return "COMPLETED"
+        return "RUNNING" if any(e["batch_run_id"] not in ended for e in of_date) else None
 
-    def staged_paths(self, date: dt.date) -> dict[str, str]:
-        return self._latest_paths((F.col("kind") == "ingested") & (F.col("batch_date") == F.lit(date)))
+    def ingested(self, date: dt.date) -> Row | None:
+        """The last ingestion of a date, with its counts and paths."""
+        return next((e for e in reversed(self.entries()) if e["kind"] == "ingested" and e["batch_date"] == date), None)
+
+    def state_paths(self) -> dict[str, str]:
+        last = next((e for e in reversed(self.entries()) if e["status"] == "COMPLETED"), None)
+        return dict(last["paths"] or {}) if last else {}
 
     def state(self, name: str) -> DataFrame:
         """The last published version of a current-state table; empty before the first."""
         path = self.state_paths().get(name)
         if path is None:
-            return self.spark.createDataFrame([], STATE_SCHEMAS[name])
+            return local_rows(self.spark, [], STATE_SCHEMAS[name])
         return self.spark.read.schema(STATE_SCHEMAS[name]).parquet(path)
 
     def _published(self, folder: str, schema: T.StructType) -> DataFrame:
@@ -118,16 +141,10 @@ class Store:
         from daybook.sources.fixed_width import accepted, number_lines
 
         layout = LAYOUTS[record]
-        path = self.staged_paths(date).get(record)
+        ingested = self.ingested(date)
+        path = dict(ingested["paths"] or {}).get(record) if ingested else None
         if path is None:
-            return self.spark.createDataFrame([], schemas.staged_schema(layout))
+            return local_rows(self.spark, [], schemas.staged_schema(layout))
         lines = self.spark.read.parquet(f"{path}/lines")
         splits = self.spark.read.parquet(f"{path}/splits")
         return accepted(number_lines(lines, splits), layout)
-
-    def staged_counts(self) -> DataFrame:
-        """Rows per ingested date, the last load of each."""
-        latest = self.events().where(F.col("kind") == "ingested").groupBy("batch_date").agg(
-            F.max_by(F.struct(*RUN_COUNTS), "number").alias("counts")
-        )
-        return latest.select("batch_date", "counts.*")

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores: str = "8", name: str = "daybook", **conf: str) -> SparkSession:
@@ -46,6 +50,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/daybook/{name}-{uuid.uuid4().hex}"
 
 
+def local_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A small control table from rows at hand, known to the optimizer with its size; empty ones prune plans."""
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return spark.range(1).where(F.lit(False)).select(*nothing)
+    columns = [{f.name: row.get(f.name) for f in schema.fields} for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(columns, schema=to_arrow_schema(schema)), schema)
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

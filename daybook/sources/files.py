@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import LISTING
-from daybook.session import durable
+from daybook.session import durable, local_rows
 
 # A dated file up to this size may be sorted and written by one task; larger ones are directories of parts.
 SINGLE_FILE_OCTETS = 256 * 1024 * 1024
@@ -30,6 +30,12 @@ def make_directory(spark: SparkSession, path: str) -> None:
     _fs(spark, path).mkdirs(_path(spark, path))
 
 
+def names(spark: SparkSession, directory: str) -> list[str]:
+    """File names of a small directory, sorted; side files are left out."""
+    found = (s.getPath().getName() for s in _fs(spark, directory).listStatus(_path(spark, directory)))
+    return sorted(name for name in found if not name.startswith((".", "_")))
+
+
 def octets(spark: SparkSession, path: str) -> int:
     """Size of a file or of all parts of a directory."""
     return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
@@ -52,6 +58,18 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot publish {target}")
 
 
+def adopt_partitions(spark: SparkSession, source: str, target: str) -> None:
+    """Move ``date=/run=`` directories of a finished write into a partitioned table, one rename per directory."""
+    fs = _fs(spark, target)
+    for outer in fs.listStatus(_path(spark, source)):
+        if not outer.isDirectory():
+            continue
+        parent = f"{target}/{outer.getPath().getName()}"
+        make_directory(spark, parent)
+        for inner in fs.listStatus(outer.getPath()):
+            rename(spark, inner.getPath().toString(), f"{parent}/{inner.getPath().getName()}")
+
+
 def list_directory(spark: SparkSession, directory: str) -> DataFrame:
     """Names and sizes below ``directory``. Zero-byte files, invisible to every Spark source, are included.
 
@@ -63,8 +81,9 @@ def list_directory(spark: SparkSession, directory: str) -> DataFrame:
             name = status.getPath().getName()
             parts = status.isDirectory() and name.endswith(".dat")
             length = octets(spark, status.getPath().toString()) if parts else status.getLen()
-            rows.append((directory, name, length, bool(status.isFile() or parts)))
-    return spark.createDataFrame(rows, LISTING)
+            regular = bool(status.isFile() or parts)
+            rows.append(dict(directory=directory, name=name, length=length, is_regular=regular))
+    return local_rows(spark, rows, LISTING)
 
 
 def publish_lines(ordered: DataFrame, order: list[str], target: str, octet_bound: int) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from daybook.functions.fields import checked_cents
 from daybook.operators import merge, posting, references
 from daybook.schemas import BALANCE, TRANSACTION
+from daybook.session import local_rows
 from daybook.sources import files
 
 
@@ -34,7 +35,7 @@ class BalanceStream:
             done = files.list_directory(self.spark, f"{self.folder}/balances").agg(F.max(F.col("name").cast("bigint")))
             number = done.first()[0]
         if number is None or number < 0:
-            return self.spark.createDataFrame([], BALANCE)
+            return local_rows(self.spark, [], BALANCE)
         return self.spark.read.schema(BALANCE).parquet(f"{self.folder}/balances/{number}")
 
     def on_batch(self, batch: DataFrame, number: int) -> None:
