@@ -137,6 +137,15 @@ def checked_cents(total: Column) -> Column:
     )
 
 
+def day(value: dt.date | str) -> Column:
+    """A date literal of any year from 1 on."""
+    return F.lit(value if isinstance(value, str) else value.isoformat()).cast("date")
+
+
+def compact(value: dt.date) -> str:
+    return value.isoformat().replace("-", "")
+
+
 def compact_date(date: Column) -> Column:
     return F.date_format(date, "yyyyMMdd")
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions import fields as fx
 from daybook.functions.ranking import with_position
 from daybook.operators.references import eligible_accounts
 from daybook.schemas import ACCOUNT_TYPES, LAYOUTS, RELATIONSHIP_TYPES, TRANSACTION_TYPES
@@ -183,7 +184,7 @@ def generate(
     )
     accounts = account_ids.select(
         "account_id",
-        F.lit(date).alias("start_date"),
+        fx.day(date).alias("start_date"),
         F.lit(None).cast("date").alias("end_date"),
         _pick(_draw(seed, date, "account-type", row), ACCOUNT_TYPES).alias("account_type"),
     )
@@ -229,7 +230,7 @@ def write_batch(spark: SparkSession, batch: dict[str, DataFrame], directory: str
     Every file is formatted before any is published, so a bad value publishes nothing. No trigger is written.
     """
     directory = directory.rstrip("/")
-    compact = f"{request.date:%Y%m%d}"
+    compact = f"{fx.compact(request.date)}"
     targets = {record: f"{directory}/{record}_{compact}.dat" for record in LAYOUTS}
     for path in (*targets.values(), f"{directory}/batch_{compact}.trg"):
         if files.exists(spark, path):

@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions import fields as fx
+
 CONTENTS = ["account_id", "type", "amount"]
 
 
@@ -89,9 +91,9 @@ def is_barred(date: Column) -> Column:
 
 def ineligible(unposted: DataFrame, accounts: DataFrame, date: dt.date) -> DataFrame:
     """Transactions not yet posted on accounts that are barred once the batch's accounts are merged."""
-    barred = accounts.where(is_barred(F.lit(date))).select("account_id")
+    barred = accounts.where(is_barred(fx.day(date))).select("account_id")
     return rows_with_keys(unposted, barred, ["account_id"])
 
 
 def eligible_accounts(accounts: DataFrame, date: dt.date) -> DataFrame:
-    return accounts.where(~is_barred(F.lit(date))).select("account_id")
+    return accounts.where(~is_barred(fx.day(date))).select("account_id")

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions import fields as fx
 from daybook.operators import merge, posting, references
 from daybook.schemas import LAYOUTS
 
@@ -149,7 +150,7 @@ def violations(staged: Staged, state: State, marked: DataFrame | None = None) ->
         merge.initial_balances(merge.new_keys(staged.account, state.account, ["account_id"]))
     )
     overflow = posting.overflowing(opening, posting.account_deltas(unposted)).withColumn(
-        "batch_date", F.lit(staged.date)
+        "batch_date", fx.day(staged.date)
     )
     found.append(
         _violation(

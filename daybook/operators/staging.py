@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions import fields as fx
 from daybook.operators.merge import latest_record
 
 
 def staging_by_date(staged: DataFrame, date) -> DataFrame:
     """The rows of one date; on date-partitioned files this prunes to that partition."""
-    return staged.where(F.col("batch_date") == F.lit(date))
+    return staged.where(F.col("batch_date") == fx.day(date))
 
 
 def staged_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daybook.functions.fields import checked_cents, in_cents_range
+from daybook.functions import fields as fx
 from daybook.operators.merge import first_record, latest_record
 from daybook.operators.posting import signed_amounts
 from daybook.operators.references import CONTENTS, posted_matches
@@ -79,7 +79,7 @@ def _running_totals(deltas: DataFrame) -> DataFrame:
 def closing_balances(postings: DataFrame) -> DataFrame:
     """Closing balance per account and date with postings."""
     return _running_totals(daily_deltas(postings)).select(
-        "account_id", "batch_date", checked_cents(F.col("total")).alias("balance")
+        "account_id", "batch_date", fx.checked_cents(F.col("total")).alias("balance")
     )
 
 
@@ -121,8 +121,8 @@ def snapshots_all_dates(
     members = rows.groupBy("account_id", "batch_date").agg(F.sum("delta").alias("delta"))
     return (
         _running_totals(members)
-        .where(F.col("batch_date") > F.lit(BEFORE))
-        .select("batch_date", "account_id", checked_cents(F.col("total")).alias("balance"))
+        .where(F.col("batch_date") > fx.day(BEFORE))
+        .select("batch_date", "account_id", fx.checked_cents(F.col("total")).alias("balance"))
     )
 
 
@@ -196,12 +196,12 @@ def _barred_dates(postings: DataFrame, account_feed: DataFrame) -> DataFrame:
 
 def _opening_deltas(balances: DataFrame) -> DataFrame:
     return balances.select(
-        "account_id", F.lit(BEFORE).alias("batch_date"), F.col("balance").cast("decimal(29,0)").alias("delta")
+        "account_id", fx.day(BEFORE).alias("batch_date"), F.col("balance").cast("decimal(29,0)").alias("delta")
     )
 
 
 def _as_records(current: DataFrame, feed: DataFrame) -> DataFrame:
-    lineage = {"batch_date": F.lit(BEFORE), "source_file": F.lit("")}
+    lineage = {"batch_date": fx.day(BEFORE), "source_file": F.lit("")}
     columns = [
         lineage[c].alias(c) if c in lineage else F.monotonically_increasing_id().alias(c) if c == "source_line" else F.col(c)
         for c in feed.columns
@@ -227,7 +227,7 @@ def failing_dates(feeds: Feeds, opening: DataFrame | None = None) -> DataFrame:
     state, pass the feeds ``on_state`` and the opening balances.
     """
     turns = durable(first_two_contents(feeds.transaction), "turns")
-    postings = turns.where((F.col("turn") == 1) & (F.col("batch_date") > F.lit(BEFORE)))
+    postings = turns.where((F.col("turn") == 1) & (F.col("batch_date") > fx.day(BEFORE)))
     deltas = daily_deltas(postings)
     if opening is not None:
         deltas = deltas.unionByName(_opening_deltas(opening))
@@ -239,7 +239,7 @@ def failing_dates(feeds: Feeds, opening: DataFrame | None = None) -> DataFrame:
         "missing_account_transaction": _unknown(feeds.transaction, feeds.account, "account_id"),
         "missing_customer": _unknown(feeds.relationship, feeds.customer, "customer_id"),
         "ineligible_transaction": _barred_dates(postings, feeds.account),
-        "balance_overflow": deltas.where(~in_cents_range(F.col("total"))),
+        "balance_overflow": deltas.where(~fx.in_cents_range(F.col("total"))),
     }
     for record, layout in LAYOUTS.items():
         found[f"duplicate_{record}"] = duplicates(feeds.table(record), list(layout.keys))

@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.fields import signed_amount
+from daybook.functions import fields as fx
 from daybook.operators import merge, references
 
 BATCH_DATE = dt.date(1998, 1, 1)
@@ -33,12 +33,8 @@ def _copies(extra: Column) -> Column:
     return F.explode(F.when(extra, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
-def _day(text: str) -> Column:
-    return F.lit(text).cast("date")
-
-
 def _opened(key: Column) -> Column:
-    return F.date_add(_day("1994-01-01"), ((key * 37) % 2000).cast("int"))
+    return F.date_add(fx.day("1994-01-01"), ((key * 37) % 2000).cast("int"))
 
 
 def _cents(amount: Column) -> Column:
@@ -69,10 +65,10 @@ class Book:
             F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "SAVINGS")
             .otherwise("CHECKING")
             .alias("account_type"),
-            (opened < _day("1997-07-01")).alias("on_file"),
+            (opened < fx.day("1997-07-01")).alias("on_file"),
             (
-                ((opened >= _day("1997-07-01")) & (opened < _day("1999-01-01")))
-                | ((opened < _day("1997-07-01")) & (F.col("c_mktsegment") == "MACHINERY"))
+                ((opened >= fx.day("1997-07-01")) & (opened < fx.day("1999-01-01")))
+                | ((opened < fx.day("1997-07-01")) & (F.col("c_mktsegment") == "MACHINERY"))
             ).alias("sent"),
         )
 
@@ -87,7 +83,7 @@ class Book:
             self.accounts.where("sent")
             .withColumn("copy", _copies(new & (nation == 3)))
             .select(
-                F.lit(BATCH_DATE).alias("batch_date"),
+                fx.day(BATCH_DATE).alias("batch_date"),
                 F.lit("account_19980101.dat").alias("source_file"),
                 (F.col("account_id") + F.col("copy") * F.lit(COPY)).alias("source_line"),
                 "account_id",
@@ -106,11 +102,11 @@ class Book:
         return (
             self.table("customer")
             .select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-            .withColumn("on_file", _opened(F.col("c_custkey")) < _day("1997-07-01"))
+            .withColumn("on_file", _opened(F.col("c_custkey")) < fx.day("1997-07-01"))
             .withColumn(
                 "sent",
                 F.when(F.col("on_file"), F.col("c_mktsegment") == "MACHINERY").otherwise(
-                    _opened(F.col("c_custkey")) < _day("1999-01-01")
+                    _opened(F.col("c_custkey")) < fx.day("1999-01-01")
                 ),
             )
             .join(nation, "c_nationkey")
@@ -143,7 +139,7 @@ class Book:
             self.customers.where("sent")
             .withColumn("copy", _copies(~F.col("on_file") & (F.col("c_nationkey") == 5)))
             .select(
-                F.lit(BATCH_DATE).alias("batch_date"),
+                fx.day(BATCH_DATE).alias("batch_date"),
                 F.lit("customer_19980101.dat").alias("source_file"),
                 (F.col("customer_id") + F.col("copy") * F.lit(COPY)).alias("source_line"),
                 "customer_id",
@@ -169,7 +165,7 @@ class Book:
             self.accounts.where("sent")
             .withColumn("copy", F.explode(copies))
             .select(
-                F.lit(BATCH_DATE).alias("batch_date"),
+                fx.day(BATCH_DATE).alias("batch_date"),
                 F.lit("relationship_19980101.dat").alias("source_file"),
                 (F.col("account_id") * 10 + F.col("copy")).alias("source_line"),
                 "account_id",
@@ -191,28 +187,28 @@ class Book:
             (F.col("o_custkey") + 1).alias("account_id"),
             F.when(F.col("o_orderstatus") == "F", "DR").otherwise("CR").alias("type"),
             _cents(F.col("o_totalprice")).alias("amount"),
-            (_opened(F.col("o_custkey")) < _day("1997-07-01")).alias("on_file"),
+            (_opened(F.col("o_custkey")) < fx.day("1997-07-01")).alias("on_file"),
             F.col("o_orderstatus").alias("status"),
             F.col("o_orderpriority").alias("priority"),
         )
 
     @cached_property
     def core_transaction(self) -> DataFrame:
-        return self.transactions.where((F.col("batch_date") < F.lit(BATCH_DATE)) & F.col("on_file")).select(
+        return self.transactions.where((F.col("batch_date") < fx.day(BATCH_DATE)) & F.col("on_file")).select(
             "transaction_id", "account_id", "type", "amount", "batch_date"
         )
 
     @cached_property
     def stg_transaction(self) -> DataFrame:
-        fresh = F.col("batch_date") >= F.lit(BATCH_DATE)
-        resent = (F.col("batch_date") >= _day("1997-11-01")) & F.col("on_file")
+        fresh = F.col("batch_date") >= fx.day(BATCH_DATE)
+        resent = (F.col("batch_date") >= fx.day("1997-11-01")) & F.col("on_file")
         twice = fresh & (F.col("status") == "P") & (F.col("priority") == "1-URGENT") & (F.col("amount") > 40000000)
         changed = ~fresh & (F.col("status") == "P") & (F.col("priority") == "5-LOW")
         return (
             self.transactions.where(fresh | resent)
             .withColumn("copy", _copies(twice))
             .select(
-                F.lit(BATCH_DATE).alias("batch_date"),
+                fx.day(BATCH_DATE).alias("batch_date"),
                 F.lit("transaction_19980101.dat").alias("source_file"),
                 (F.col("transaction_id") + F.col("copy") * F.lit(COPY)).alias("source_line"),
                 "transaction_id",
@@ -225,7 +221,7 @@ class Book:
     @cached_property
     def core_balance(self) -> DataFrame:
         sums = (
-            self.core_transaction.select("account_id", signed_amount(F.col("type"), F.col("amount")).alias("signed"))
+            self.core_transaction.select("account_id", fx.signed_amount(F.col("type"), F.col("amount")).alias("signed"))
             .groupBy("account_id")
             .agg(F.sum("signed").alias("total"))
         )
@@ -268,7 +264,7 @@ class Book:
         once = self.stg_transaction.where(F.col("source_line") < COPY)
         marked = references.with_posted(once, self.core_transaction)
         open_accounts = self.effective_clean_account.where(
-            F.col("end_date").isNull() & (F.col("start_date") <= F.lit(BATCH_DATE))
+            F.col("end_date").isNull() & (F.col("start_date") <= fx.day(BATCH_DATE))
         ).select("account_id", F.lit(True).alias("open"))
         same = F.col("posted").eqNullSafe(F.struct("account_id", "type", "amount"))
         return (
@@ -286,8 +282,8 @@ class Book:
     @cached_property
     def account_feed(self) -> DataFrame:
         key = F.col("c_custkey")
-        opened = F.date_add(_day("1994-03-01"), ((key * 37) % 300).cast("int"))
-        closed = F.date_add(_day("2000-01-01"), ((key * 7) % 200).cast("int"))
+        opened = F.date_add(fx.day("1994-03-01"), ((key * 37) % 300).cast("int"))
+        closed = F.date_add(fx.day("2000-01-01"), ((key * 7) % 200).cast("int"))
         saving = F.col("c_mktsegment").isin("MACHINERY", "BUILDING")
         first = F.when(saving, "SAVINGS").otherwise("CHECKING")
         second = F.when(saving, "CHECKING").otherwise("SAVINGS")
@@ -316,7 +312,7 @@ class Book:
 
     @cached_property
     def customer_feed(self) -> DataFrame:
-        opened = F.date_add(_day("1994-03-01"), ((F.col("c_custkey") * 37) % 300).cast("int"))
+        opened = F.date_add(fx.day("1994-03-01"), ((F.col("c_custkey") * 37) % 300).cast("int"))
         return self.table("customer").select(
             opened.alias("batch_date"),
             (F.col("c_custkey") + 1).alias("source_line"),
@@ -326,7 +322,7 @@ class Book:
     @cached_property
     def transaction_feed(self) -> DataFrame:
         again = (F.col("status") == "F") & (F.col("priority") == "5-LOW")
-        changed = (F.col("amount") > 45000000) & (F.col("batch_date") >= _day("1998-01-01"))
+        changed = (F.col("amount") > 45000000) & (F.col("batch_date") >= fx.day("1998-01-01"))
         copy = F.col("copy")
         return (
             self.transactions.withColumn("copy", _copies(again))
@@ -349,7 +345,7 @@ class Book:
     def line_items(self) -> DataFrame:
         """Line items as transactions of one date: the same order line may come several times."""
         return self.table("lineitem").select(
-            F.lit(BATCH_DATE).alias("batch_date"),
+            fx.day(BATCH_DATE).alias("batch_date"),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber") + 1).alias("transaction_id"),
             (F.col("l_partkey") * 10000 + F.col("l_suppkey") + 1).alias("source_line"),
         )
@@ -382,11 +378,11 @@ class Book:
         """Attempts per date: on the 15th the first fails and a second follows; July 2001 is open, with a failure
         on the 10th; dates on the 28th were never started."""
         date, k = F.col("batch_date"), F.col("k")
-        july = _day("2001-07-01")
+        july = fx.day("2001-07-01")
         return (
             self.business_dates.where(F.dayofmonth(date) != 28)
             .withColumn("k", F.explode(F.when(F.dayofmonth(date) == 15, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
-            .where((date < july) | ((date == _day("2001-07-10")) & (k == 1)))
+            .where((date < july) | ((date == fx.day("2001-07-10")) & (k == 1)))
             .select(
                 "batch_date",
                 F.concat(F.date_format(date, "yyyyMMdd"), F.lit("-"), k.cast("string")).alias("batch_run_id"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas
-from daybook.functions.fields import balance_line, batch_date
+from daybook.functions import fields as fx
 from daybook.operators import admission, merge, posting, references, rules
 from daybook.operators.staging import staged_counts
 from daybook.plans import backfill
@@ -48,7 +48,7 @@ class Ledger:
 
     def ingest(self, directory: str, date: dt.date | str) -> dict[str, int]:
         """Replace the staged rows of a date by its four files, all of them or none."""
-        date = batch_date(date)
+        date = fx.batch_date(date)
         directory = directory.rstrip("/")
         status = self.store.active_status(date)
         if status:
@@ -60,7 +60,7 @@ class Ledger:
         load = uuid.uuid4().hex
         with ThreadPoolExecutor(len(LAYOUTS)) as pool:
             loads = {
-                record: pool.submit(self._load, layout, [f"{directory}/{record}_{date:%Y%m%d}.dat"], load)
+                record: pool.submit(self._load, layout, [f"{directory}/{record}_{fx.compact(date)}.dat"], load)
                 for record, layout in LAYOUTS.items()
             }
         paths, counts = {}, {}
@@ -104,7 +104,7 @@ class Ledger:
 
     def process(self, date: dt.date | str) -> dict[str, int]:
         """Post a staged date: validate, merge, append, balance, snapshot; all of it or none."""
-        date = batch_date(date)
+        date = fx.batch_date(date)
         done = self.store.completed(date)
         if done:
             return {record: done[f"{record}_count"] for record in LAYOUTS}
@@ -175,19 +175,19 @@ class Ledger:
 
     def export(self, directory: str, date: dt.date | str) -> str:
         """Publish the balance file of a completed date. The same file again is left alone, another is refused."""
-        date = batch_date(date)
+        date = fx.batch_date(date)
         header = (
             admission.exportable_snapshots(self.store.snapshot_headers(), self.store.runs())
-            .where(F.col("batch_date") == F.lit(date))
+            .where(F.col("batch_date") == fx.day(date))
             .first()
         )
         if header is None:
             raise BatchRefused(f"no completed balance snapshot for {date}")
-        rows = self.store.snapshots().where(F.col("batch_date") == F.lit(date))
+        rows = self.store.snapshots().where(F.col("batch_date") == fx.day(date))
         if rows.count() != header["record_count"]:
             raise RuntimeError(f"snapshot record count mismatch for {date}")
-        lines = rows.select("account_id", balance_line(F.col("account_id"), F.col("balance")).alias("value"))
-        target = f"{directory.rstrip('/')}/balance_{date:%Y%m%d}.dat"
+        lines = rows.select("account_id", fx.balance_line(F.col("account_id"), F.col("balance")).alias("value"))
+        target = f"{directory.rstrip('/')}/balance_{fx.compact(date)}.dat"
         bound = header["record_count"] * BALANCE_LINE_OCTETS
         if files.exists(self.spark, target):
             copy = f"{self.store.root}/export/{uuid.uuid4().hex}/balance.dat"
@@ -203,7 +203,7 @@ class Ledger:
 
     def run(self, input_directory: str, output_directory: str, date: dt.date | str) -> dict[str, int]:
         """Ingest, post and export a date. After a committed posting only the export is repeated."""
-        date = batch_date(date)
+        date = fx.batch_date(date)
         listing = files.list_directory(self.spark, input_directory)
         missing = admission.missing_input_files(self._one_date(date), listing)
         decision = self._admission(date, missing)["job"]
@@ -225,7 +225,7 @@ class Ledger:
         """
         spark, store = self.spark, self.store
         directory = directory.rstrip("/")
-        dates = sorted({batch_date(d) for d in dates})
+        dates = sorted({fx.batch_date(d) for d in dates})
         wanted = self._dates(dates)
         refused = (
             admission.batch_admission(wanted, store.runs(), store.receipts(), store.exported(), wanted.limit(0))
@@ -243,7 +243,7 @@ class Ledger:
         filled = {r["name"] for r in listing.where(F.col("is_regular") & (F.col("length") > 0)).collect()}
         load, feeds = uuid.uuid4().hex, {}
         for record, layout in LAYOUTS.items():
-            names = [n for n in (f"{record}_{d:%Y%m%d}.dat" for d in dates) if n in filled]
+            names = [n for n in (f"{record}_{fx.compact(d)}.dat" for d in dates) if n in filled]
             if not names:
                 feeds[record] = local_rows(spark, [], schemas.staged_schema(layout))
                 continue
@@ -270,7 +270,7 @@ class Ledger:
 
     def _post_many(self, dates, load: str, staged: backfill.Feeds, current, state: rules.State) -> None:
         store = self.store
-        within = F.col("batch_date").between(F.lit(dates[0]), F.lit(dates[-1]))
+        within = F.col("batch_date").between(fx.day(dates[0]), fx.day(dates[-1]))
         run_id = F.concat(F.lit(f"{load}-"), F.col("batch_date").cast("string")).alias("batch_run_id")
         # Ranges of (date, ID) keep a task to few partitions and cut a date that holds most of the rows.
         postings = backfill.winners(staged.transaction).where(within)
@@ -282,7 +282,7 @@ class Ledger:
             .parquet(ledger)
         )
         posted = self.spark.read.schema(schemas.LEDGER).parquet(ledger)
-        accounts = staged.account.where(F.col("batch_date") <= F.lit(dates[-1]))
+        accounts = staged.account.where(F.col("batch_date") <= fx.day(dates[-1]))
         snapshot = f"{store.root}/staging/snapshot/{load}"
         (
             backfill.snapshots_all_dates(posted, accounts, state.balance)
@@ -323,7 +323,7 @@ class Ledger:
         """Row counts per date and table: at most a handful of small rows per date."""
         tables = {r: staged.table(r) for r in ("customer", "account", "relationship")}
         tables |= {"transaction": posted, "staged": staged.transaction, "snapshot": members}
-        counted = staged_counts(tables).where(F.col("batch_date").between(F.lit(dates[0]), F.lit(dates[-1])))
+        counted = staged_counts(tables).where(F.col("batch_date").between(fx.day(dates[0]), fx.day(dates[-1])))
         return {(r["batch_date"], r["record"]): r["rows"] for r in counted.collect()}
 
     # Control rows

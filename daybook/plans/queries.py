@@ -16,7 +16,7 @@ from daybook.functions import fields as fx
 from daybook.functions.ranking import with_position
 from daybook.operators import admission, audits, generate, merge, posting, references, rules, staging
 from daybook.plans import backfill
-from daybook.plans.book import BATCH_DATE, COPY, Book
+from daybook.plans.book import BATCH_DATE, Book
 from daybook.plans.oracle import statement
 from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, RELATIONSHIP, TRANSACTION, Layout
 from daybook.session import durable, scratch_path
@@ -120,7 +120,7 @@ def balance_snapshot(book):
 
 @query("snapshot_headers", "SELECT '1998-01-01' AS batch_date, count(*) AS record_count FROM clean_snapshot")
 def snapshot_headers(book):
-    return posting.snapshot_header(_clean_members(book)).select(F.lit(BATCH_DATE).alias("batch_date"), "record_count")
+    return posting.snapshot_header(_clean_members(book)).select(fx.day(BATCH_DATE).alias("batch_date"), "record_count")
 
 
 @query("balance_file_lines", """

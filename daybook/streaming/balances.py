@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.fields import checked_cents
-from daybook.operators import merge, posting, references
+from daybook.operators import posting, references
 from daybook.schemas import BALANCE, TRANSACTION
 from daybook.session import local_rows
 from daybook.sources import files

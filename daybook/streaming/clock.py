@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from daybook.functions import fields as fx
 from daybook.session import durable
 from daybook.sources import files
 
@@ -104,13 +105,13 @@ class ClockStream:
             before = row["active"]
         controls = batch.where(F.col("control_date").isNotNull()).select("control_date", "ts", "event_id")
         if before is not None:
-            controls = controls.where(F.date_add("control_date", 1) > F.lit(before))
+            controls = controls.where(F.date_add("control_date", 1) > fx.day(before))
         data = batch.where(F.col("control_date").isNull())
         stamped = assign_business_dates(data, controls)
         after = controls.agg(F.date_add(F.max("control_date"), 1).alias("active"))
         if before is not None:
-            stamped = stamped.withColumn("batch_date", F.coalesce("batch_date", F.lit(before)))
-            after = after.select(F.coalesce("active", F.lit(before)).alias("active"))
+            stamped = stamped.withColumn("batch_date", F.coalesce("batch_date", fx.day(before)))
+            after = after.select(F.coalesce("active", fx.day(before)).alias("active"))
         after.write.mode("overwrite").parquet(f"{folder}/active/{number}")
         now_active = spark.read.parquet(f"{folder}/active/{number}").first()["active"]
         if now_active is None:

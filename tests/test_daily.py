@@ -6,7 +6,9 @@ import pytest
 from conftest import account_line, customer_line, relationship_line, transaction_line, write_files
 from pyspark.sql import functions as F
 
+from daybook.operators import rules
 from daybook.plans.daily import BadInput, BatchRefused, BatchRejected, Ledger
+from daybook.schemas import LAYOUTS
 
 MAX = 2**63 - 1
 DAY = [f"2026-10-{d:02}" for d in range(9, 16)]
@@ -139,29 +141,58 @@ def test_extremes(bank):
     assert bank.balances() == {2: -(2**63), MAX: MAX}
 
 
+def test_every_rule_is_reported_in_order(bank):
+    """One batch that breaks every rule a batch can break on an empty ledger."""
+    bank.send(
+        DAY[0],
+        customer=[customer_line(1)] * 2,
+        account=[
+            account_line(2), account_line(2), account_line(3, end="2025-01-01"), account_line(4, "2027-01-01"),
+            account_line(5, end="2027-01-01"), account_line(6),
+        ],
+        relationship=[relationship_line(2, 1), relationship_line(2, 1), relationship_line(2, 999),
+                      relationship_line(999, 1)],
+        transaction=[
+            transaction_line(10, 2, "CR", 10), transaction_line(10, 2, "CR", 10), transaction_line(11, 999, "CR", 1),
+            transaction_line(12, 4, "CR", 1), transaction_line(13, 5, "CR", 1), transaction_line(14, 6, "DR", MAX),
+            transaction_line(15, 6, "DR", 2),
+        ],
+    )
+    day = dt.date.fromisoformat(DAY[0])
+    store = bank.ledger.store
+    staged = rules.Staged(day, **{record: store.staged(record, day) for record in LAYOUTS})
+    found = rules.violations(staged, bank.ledger._state()[1]).orderBy("rule_rank", "source_line").collect()
+    compact_day = compact(DAY[0])
+    assert [(r["rule"], r["source_line"], r["key"]) for r in found] == [
+        ("duplicate_customer", 1, "1"),
+        ("duplicate_account", 1, "2"),
+        ("duplicate_relationship", 1, "2,1"),
+        ("duplicate_transaction", 1, "10"),
+        ("account_dates", 3, "3"),
+        ("missing_account_relationship", 4, "999"),
+        ("missing_account_transaction", 3, "999"),
+        ("missing_customer", 3, "999"),
+        ("ineligible_transaction", 4, "12"),
+        ("ineligible_transaction", 5, "13"),
+        ("balance_overflow", 0, "6"),
+        ("missing_balance", 3, "999"),
+    ]
+    messages = {r["rule"]: r["message"] for r in found}
+    assert messages["duplicate_transaction"] == "Duplicate transaction business key; first source line 1"
+    assert messages["missing_customer"] == f"Missing customer at relationship_{compact_day}.dat:3"
+    with pytest.raises(BatchRejected, match="Duplicate customer"):
+        bank.ledger.process(DAY[0])
+
+
 def test_rejections_apply_nothing(bank):
     one = [transaction_line(10, 2, "CR", 10)]
-    bad = [
-        (dict(BASE, customer=BASE["customer"] * 2), "Duplicate customer"),
-        (dict(BASE, account=BASE["account"] * 2), "Duplicate account"),
-        (dict(BASE, relationship=BASE["relationship"] * 2), "Duplicate relationship"),
-        (dict(BASE, transaction=one * 2), "Duplicate transaction business key; first source line 1"),
-        (dict(BASE, relationship=[relationship_line(2, 999)]), "Missing customer"),
-        (dict(BASE, relationship=[relationship_line(999, 1)]), "Missing account"),
-        (dict(BASE, transaction=[transaction_line(10, 999, "CR", 1)]), "Missing account at transaction_"),
-        (dict(BASE, account=[account_line(2, end="2025-01-01")]), "precedes"),
-        (dict(BASE, account=[account_line(2, end="2027-01-01")], transaction=one), "Ineligible"),
-        (dict(BASE, account=[account_line(2, "2027-01-01")], transaction=one), "Ineligible"),
-    ]
-    for records, message in bad:
-        bank.send(DAY[0], **records)
-        with pytest.raises(BatchRejected, match=message):
-            bank.ledger.process(DAY[0])
+    bank.send(DAY[0], **dict(BASE, account=[account_line(2, end="2027-01-01")], transaction=one))
+    with pytest.raises(BatchRejected, match=f"Ineligible transaction at transaction_{compact(DAY[0])}.dat:1"):
+        bank.ledger.process(DAY[0])
     store = bank.ledger.store
     assert store.state("account").count() == store.state("customer").count() == store.ledger().count() == 0
-    runs = store.runs().collect()
-    assert [r["status"] for r in runs] == ["FAILED"] * len(bad)
-    assert {r["customer_count"] for r in runs} == {0} and all(r["error_message"] for r in runs)
+    failed = store.runs().collect()
+    assert [(r["status"], r["customer_count"]) for r in failed] == [("FAILED", 0)] and failed[0]["error_message"]
 
     # Corrected and retried; then a conflicting replay on the next date.
     bank.post(DAY[0], **BASE, transaction=one)
