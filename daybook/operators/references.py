@@ -1,9 +1,10 @@
 """Joins of staged rows with the ledger, accounts and customers.
 
-Each check first reduces the staged rows to their distinct keys (combined on the map side, so a key that holds a
-large share of the rows costs one row per task), joins keys with keys, and only then fetches the rows of the
-keys it is after. Nothing is shuffled by a hot key unless its rows are themselves the result, and those inner
-joins are what adaptive skew handling splits.
+Each check reduces the staged rows to their distinct keys, combined on the map side so that a key with a large
+share of the rows costs one row per task, and joins keys with keys. The offending keys are written: few or none
+in a sound batch, so Spark knows their size, broadcasts them, and the staged rows are not shuffled at all. Should
+they be many, the join that fetches their rows has a plain shuffle on either side, which is the form adaptive
+skew handling can split.
 """
 
 from __future__ import annotations
@@ -14,22 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import fields as fx
+from daybook.session import durable
 
 CONTENTS = ["account_id", "type", "amount"]
 
 
-def rows_with_keys(staged: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Staged rows whose key is in ``keys``, which holds each key once."""
-    wanted = staged.select(*on).distinct()
-    return staged.join(wanted.join(keys.select(*on), on, "left_semi"), on).select(*staged.columns)
+def rows_of(staged: DataFrame, keys: DataFrame) -> DataFrame:
+    """Staged rows with one of ``keys``, a written table that holds each key once."""
+    return staged.join(keys, keys.columns).select(*staged.columns)
 
 
-def rows_without_keys(staged: DataFrame, known: list[DataFrame], on: list[str]) -> DataFrame:
-    """Staged rows whose key is in none of ``known``."""
-    lacking = staged.select(*on).distinct()
+def unknown_keys(staged: DataFrame, known: list[DataFrame], key: str) -> DataFrame:
+    """Distinct staged keys that none of ``known`` holds."""
+    lacking = staged.select(key).distinct()
     for keys in known:
-        lacking = lacking.join(keys.select(*on), on, "left_anti")
-    return staged.join(lacking, on).select(*staged.columns)
+        lacking = lacking.join(keys.select(key), key, "left_anti")
+    return lacking
 
 
 def posted_matches(staged: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -47,10 +48,12 @@ def posted_matches(staged: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def with_posted(staged: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Staged transactions with the ledger's contents of the same ID, null where there is none."""
-    return staged.join(posted_matches(staged, ledger), "transaction_id", "left").select(
-        *staged.columns, "posted"
-    )
+    """Staged transactions with the ledger's contents of the same ID, null where there is none.
+
+    The matches are written, so the ledger is met once however often the result is used.
+    """
+    matches = durable(posted_matches(staged, ledger), "posted-matches")
+    return staged.join(matches, "transaction_id", "left").select(*staged.columns, "posted")
 
 
 def _same_contents() -> Column:
@@ -73,15 +76,15 @@ def fresh(marked: DataFrame) -> DataFrame:
 
 
 def missing_accounts(staged: DataFrame, current: DataFrame, staged_accounts: DataFrame) -> DataFrame:
-    return rows_without_keys(staged, [current, staged_accounts], ["account_id"])
+    return rows_of(staged, durable(unknown_keys(staged, [current, staged_accounts], "account_id"), "missing"))
 
 
 def missing_customers(staged: DataFrame, current: DataFrame, staged_customers: DataFrame) -> DataFrame:
-    return rows_without_keys(staged, [current, staged_customers], ["customer_id"])
+    return rows_of(staged, durable(unknown_keys(staged, [current, staged_customers], "customer_id"), "missing"))
 
 
 def missing_balances(staged: DataFrame, balances: DataFrame) -> DataFrame:
-    return rows_without_keys(staged, [balances], ["account_id"])
+    return rows_of(staged, durable(unknown_keys(staged, [balances], "account_id"), "missing"))
 
 
 def is_barred(date: Column) -> Column:
@@ -89,10 +92,15 @@ def is_barred(date: Column) -> Column:
     return F.col("end_date").isNotNull() | (F.col("start_date") > date)
 
 
+def barred_keys(unposted: DataFrame, accounts: DataFrame, date: dt.date) -> DataFrame:
+    """Accounts of the batch's new transactions that take none on the date."""
+    barred = accounts.where(is_barred(fx.day(date))).select("account_id")
+    return unposted.select("account_id").distinct().join(barred, "account_id", "left_semi")
+
+
 def ineligible(unposted: DataFrame, accounts: DataFrame, date: dt.date) -> DataFrame:
     """Transactions not yet posted on accounts that are barred once the batch's accounts are merged."""
-    barred = accounts.where(is_barred(fx.day(date))).select("account_id")
-    return rows_with_keys(unposted, barred, ["account_id"])
+    return rows_of(unposted, durable(barred_keys(unposted, accounts, date), "barred"))
 
 
 def eligible_accounts(accounts: DataFrame, date: dt.date) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from daybook.functions import fields as fx
 from daybook.operators import merge, posting, references
 from daybook.schemas import LAYOUTS
+from daybook.session import durable
 
 COLUMNS = ["rule_rank", "rule", "batch_date", "source_file", "source_line", "key", "message"]
 
@@ -101,7 +102,7 @@ def violations(staged: Staged, state: State, marked: DataFrame | None = None) ->
     """Every violation of every rule. An empty result means the batch may be posted.
 
     ``marked`` is the staged transactions with their ledger matches (``references.with_posted``); a pipeline
-    passes the durable copy it also posts from, so the ledger is met once.
+    passes the one it also posts from, so the ledger is met once.
     """
     if marked is None:
         marked = references.with_posted(staged.transaction, state.ledger)
@@ -130,22 +131,8 @@ def violations(staged: Staged, state: State, marked: DataFrame | None = None) ->
             _at("Conflicting transaction ID"),
         )
     )
-    for record in ("relationship", "transaction"):
-        rows = references.missing_accounts(staged.table(record), state.account, staged.account)
-        found.append(_violation(rows, f"missing_account_{record}", ["account_id"], _at("Missing account")))
-    orphans = references.missing_customers(staged.relationship, state.customer, staged.customer)
-    found.append(_violation(orphans, "missing_customer", ["customer_id"], _at("Missing customer")))
-
     accounts = effective_accounts(state.account, staged.account)
     unposted = references.fresh(marked)
-    found.append(
-        _violation(
-            references.ineligible(unposted, accounts, staged.date),
-            "ineligible_transaction",
-            ["transaction_id"],
-            _at("Ineligible transaction"),
-        )
-    )
     opening = state.balance.unionByName(
         merge.initial_balances(merge.new_keys(staged.account, state.account, ["account_id"]))
     )
@@ -160,14 +147,39 @@ def violations(staged: Staged, state: State, marked: DataFrame | None = None) ->
             F.concat(F.lit("Balance out of range for account "), F.col("account_id").cast("string")),
         )
     )
-    found.append(
-        _violation(
-            references.missing_balances(staged.transaction, opening),
-            "missing_balance",
-            ["account_id"],
-            F.lit("Missing balance for transaction account"),
-        )
+    # The offending keys of all reference rules are found and written by one job.
+    on_file = [state.account, staged.account]
+    offending = {
+        "missing_account_relationship": references.unknown_keys(staged.relationship, on_file, "account_id"),
+        "missing_account_transaction": references.unknown_keys(staged.transaction, on_file, "account_id"),
+        "missing_customer": references.unknown_keys(
+            staged.relationship, [state.customer, staged.customer], "customer_id"
+        ),
+        "ineligible_transaction": references.barred_keys(unposted, accounts, staged.date),
+        "missing_balance": references.unknown_keys(staged.transaction, [opening], "account_id"),
+    }
+    keys = durable(
+        reduce(
+            DataFrame.unionByName,
+            [df.select(F.lit(rule).alias("rule"), F.col(df.columns[0]).alias("key")) for rule, df in offending.items()],
+        ),
+        "offending-keys",
     )
+
+    def offenders(rule: str, rows: DataFrame, on: str, shown: str, message: Column) -> DataFrame:
+        of_rule = keys.where(F.col("rule") == rule).select(F.col("key").alias(on))
+        return _violation(references.rows_of(rows, of_rule), rule, [shown], message)
+
+    account, customer, transaction = "account_id", "customer_id", "transaction_id"
+    no_account, no_customer = _at("Missing account"), _at("Missing customer")
+    no_balance = F.lit("Missing balance for transaction account")
+    found += [
+        offenders("missing_account_relationship", staged.relationship, account, account, no_account),
+        offenders("missing_account_transaction", staged.transaction, account, account, no_account),
+        offenders("missing_customer", staged.relationship, customer, customer, no_customer),
+        offenders("ineligible_transaction", unposted, account, transaction, _at("Ineligible transaction")),
+        offenders("missing_balance", staged.transaction, account, account, no_balance),
+    ]
     return reduce(DataFrame.unionByName, found)
 
 

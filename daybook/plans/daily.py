@@ -127,8 +127,8 @@ class Ledger:
         store = self.store
         staged = rules.Staged(date, **{record: store.staged(record, date) for record in LAYOUTS})
         current, state = self._state()
-        # The ledger is met once: validation, the append and the snapshot all use this copy.
-        marked = durable(references.with_posted(staged.transaction, state.ledger), "marked")
+        # The ledger is met once: validation and the append use the same written matches.
+        marked = references.with_posted(staged.transaction, state.ledger)
         worst = rules.first_violation(rules.violations(staged, state, marked)).first()
         if worst:
             raise BatchRejected(worst["message"])

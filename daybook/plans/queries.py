@@ -385,8 +385,7 @@ _VIOLATION_COLUMNS = """CAST(rule_rank AS BIGINT) AS rule_rank, rule, CAST(batch
 
 @query("violations_report", f"SELECT {_VIOLATION_COLUMNS} FROM ({_VIOLATIONS}) v")
 def violations_report(book):
-    marked = durable(references.with_posted(book.stg_transaction, book.core_transaction), "marked")
-    return rules.violations(_staged(book), _state(book), marked)
+    return rules.violations(_staged(book), _state(book))
 
 
 @query("first_violation", f"""
