@@ -12,10 +12,8 @@ from pyspark.sql import types as T
 
 from daybook.schemas import Field
 
-# Characters no field may hold, and the accepted text forms of numbers and dates.
+# Characters no field may hold, and the range of cents.
 FORBIDDEN = r"[\x{0000}-\x{001F}\x{007F}-\x{009F}\x{FEFF}\x{2028}\x{2029}]"
-DIGITS = r"\A[0-9]+\z"
-ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 MIN_CENTS = -(2**63)
 MAX_CENTS = 2**63 - 1
 
@@ -41,9 +39,14 @@ def has_forbidden(text: Column) -> Column:
 
 
 def digits_value(raw: Column) -> Column:
-    """Unsigned decimal digits that fit 64 bits, else null."""
+    """Unsigned decimal digits that fit 64 bits, else null.
+
+    The cast alone takes signs and strips more than spaces, so the digits must read back as they were written.
+    """
     text = F.trim(raw)
-    return F.when(text.rlike(DIGITS), text.try_cast("bigint"))
+    value = text.try_cast("bigint")
+    digits = F.when(value == 0, "").otherwise(value.cast("string"))
+    return F.when((text != "") & (value >= 0) & (F.ltrim(text, F.lit("0")) == digits), value)
 
 
 def id_value(raw: Column) -> Column:
@@ -53,7 +56,8 @@ def id_value(raw: Column) -> Column:
 
 def date_value(raw: Column) -> Column:
     """A real calendar day in exactly YYYY-MM-DD; the raw field is not trimmed."""
-    return F.when(raw.rlike(ISO_DATE), raw.try_cast("date"))
+    value = raw.try_cast("date")
+    return F.when(value.cast("string") == raw, value)
 
 
 def enum_value(raw: Column, values: tuple[str, ...]) -> Column:

@@ -133,11 +133,9 @@ def balance_file_lines(book):
     lines = rows.select("account_id", fx.balance_line(F.col("account_id"), F.col("balance")).alias("value"))
     target = f"{scratch_path(book.spark, 'output')}/balance_19980101.dat"
     files.publish_lines(lines, ["account_id"], target, rows.count() * 40)
-    written = fixed_width.read_lines(book.spark, target).withColumn("octets", F.octet_length("value"))
-    numbered = fixed_width.number_lines(
-        durable(written.withColumn("reject_reason", F.lit(None).cast("string")), "balance-lines")
+    return fixed_width.plain_lines(book.spark, target).select(
+        F.col("source_line").alias("line_number"), F.col("value").alias("line")
     )
-    return numbered.select(F.col("source_line").alias("line_number"), F.col("value").alias("line"))
 
 
 @query("balances_after_run", "SELECT account_id, balance FROM clean_balance_after")
@@ -976,7 +974,7 @@ def fw_rejects(book):
     )
     path = scratch_path(book.spark, "faulty-files")
     rows.select(broken.alias("value")).write.text(path)
-    parsed = fixed_width.parse_lines(fixed_width.read_lines(book.spark, path), TRANSACTION)
+    parsed = fixed_width.parse_lines(fixed_width.read_lines(book.spark, path, positions=False), TRANSACTION)
     return fixed_width.rejects(parsed, TRANSACTION).select(F.col("value").alias("line"), "reject_reason")
 
 

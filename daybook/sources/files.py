@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import LISTING
-from daybook.session import durable, local_rows
+from daybook.session import local_rows
 
 # A dated file up to this size may be sorted and written by one task; larger ones are directories of parts.
 SINGLE_FILE_OCTETS = 256 * 1024 * 1024
@@ -118,18 +118,12 @@ def publish_lines(ordered: DataFrame, order: list[str], target: str, octet_bound
 
 def same_lines(spark: SparkSession, left: str, right: str) -> bool:
     """Whether two published files hold the same lines in the same order, compared as a join on line numbers."""
-    from daybook.sources.fixed_width import number_lines, read_lines
+    from daybook.sources.fixed_width import plain_lines
 
     if octets(spark, left) != octets(spark, right):
         return False
     if octets(spark, left) == 0:
         return True
-
-    def numbered(path: str) -> DataFrame:
-        lines = read_lines(spark, path).withColumn("octets", F.octet_length("value"))
-        positioned = durable(lines.withColumn("reject_reason", F.lit(None).cast("string")), "compare")
-        return number_lines(positioned).select("source_line", "value")
-
-    old, new = numbered(left), numbered(right).withColumnRenamed("value", "other")
+    old, new = plain_lines(spark, left), plain_lines(spark, right).withColumnRenamed("value", "other")
     differing = old.join(new, "source_line", "full_outer").where(~F.col("value").eqNullSafe(F.col("other")))
     return differing.limit(1).count() == 0

@@ -21,30 +21,37 @@ DATED_FILE = r"([a-z]+_[0-9]{8}\.dat)"
 # A split is one row of about 150 bytes, so this many stay near 100 MB when broadcast.
 MAX_BROADCAST_SPLITS = 700_000
 
+# A rejected line whose fault nobody has asked for yet.
 _UNRESOLVED = "unresolved"
 _POSITION = ["file_path", "file_size", "split_start", "row_id"]
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """LF-separated lines as they are, with what is needed to number them later.
+def read_lines(spark: SparkSession, paths: str | Sequence[str], positions: bool = True) -> DataFrame:
+    """LF-separated lines as they are, on request with what is needed to number them later.
 
-    Carriage returns and malformed bytes survive so that they can be rejected. The position columns are taken
-    before any filter.
+    Carriage returns and malformed bytes survive so that they can be rejected.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_size"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("row_id"),
-        )
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    if not positions:
+        return lines.select("value")
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.octet_length("value").alias("octets"),
     )
 
 
+def plain_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The numbered lines of a file without a layout: (source_line, value)."""
+    lines = read_lines(spark, path).select(
+        "*", F.monotonically_increasing_id().alias("row_id"), F.lit(None).cast("string").alias("reject_reason")
+    )
+    return number_lines(durable(lines, "plain-lines")).select("source_line", "value")
+
+
 def _raw_fields(line: Column, layout: Layout) -> dict[str, Column]:
     raws, start = {}, 1
     for field in layout.fields:
@@ -70,47 +77,55 @@ def _first_fault(value: Column, line: Column, layout: Layout) -> Column:
 def parse_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     """Typed columns plus ``reject_reason``; rejected lines have null fields.
 
-    Only layouts with text fields can hold a valid line that is not ASCII, so only they normalize in the hot
-    path. For the others such a line is a reject whatever its normal form; ``rejects`` finds out why.
+    Every field is parsed once, next to a row id: Spark pushes no filter below a row id, so asking for the
+    accepted lines does not parse them again. Here a line is only judged; ``rejects`` finds out what is wrong
+    with a faulty one. In a layout without text fields a line of the right length whose fields all parse is
+    ASCII and clean, so neither the character checks nor the normal form, which needs Python, are in its way.
     """
     others = [c for c in lines.columns if c != "value"]
-    if layout.has_text:
-        lined = lines.select("value", *others, fx.normalized(F.col("value")).alias("line"))
-        reason = _first_fault(F.col("value"), F.col("line"), layout)
-    else:
-        lined = lines.select("value", *others, F.col("value").alias("line"))
-        reason = F.when(~fx.is_ascii(F.col("value")), F.lit(_UNRESOLVED)).otherwise(
-            _first_fault(F.col("value"), F.col("line"), layout)
-        )
-    raws = _raw_fields(F.col("line"), layout)
-    judged = lined.withColumn("reject_reason", reason)
-    return judged.select(
+    value, line = F.col("value"), F.col("line")
+    lined = lines.select(*others, value, (fx.normalized(value) if layout.has_text else value).alias("line"))
+    raws = _raw_fields(line, layout)
+    parsed = lined.select(
         *others,
         "value",
-        "reject_reason",
+        "line",
+        F.monotonically_increasing_id().alias("row_id"),
+        *[fx.field_value(raws[f.name], f).alias(f.name) for f in layout.fields],
         *[
-            F.when(F.col("reject_reason").isNull(), fx.field_value(raws[f.name], f)).alias(f.name)
+            (raws[f.name] == " " * f.width).alias(f"{f.name}_absent")
             for f in layout.fields
+            if f.kind == "optional_date"
         ],
     )
+    sound = F.length(line) == layout.width
+    if layout.has_text:
+        sound &= F.is_valid_utf8(value) & ~fx.has_forbidden(line)
+    for field in layout.fields:
+        if field.kind == "optional_date":
+            sound &= F.col(field.name).isNotNull() | F.col(f"{field.name}_absent")
+        elif field.kind != "text":
+            sound &= F.col(field.name).isNotNull()
+    judged = parsed.withColumn("reject_reason", F.when(~F.coalesce(sound, F.lit(False)), F.lit(_UNRESOLVED)))
+    fine = F.col("reject_reason").isNull()
+    return judged.select(
+        *others, "row_id", "value", "reject_reason", *[F.when(fine, F.col(c)).alias(c) for c in layout.columns]
+    )
 
 
 def accepted(parsed: DataFrame, layout: Layout) -> DataFrame:
     keep = [c for c in ("batch_date", "source_file", "source_line") if c in parsed.columns]
-    return parsed.where(F.col("reject_reason").isNull()).select(*keep, *layout.columns)
+    fine = F.col("reject_reason").isNull()
+    if "row_id" in parsed.columns:
+        fine &= F.col("row_id") >= 0
+    return parsed.where(fine).select(*keep, *layout.columns)
 
 
 def rejects(parsed: DataFrame, layout: Layout) -> DataFrame:
-    """Rejected lines with the reason of the first failing check. Python runs on these rows alone."""
-    bad = parsed.where(F.col("reject_reason").isNotNull())
-    if not layout.has_text:
-        exact = bad.withColumn("line", fx.normalized(F.col("value")))
-        bad = exact.withColumn(
-            "reject_reason",
-            F.when(
-                F.col("reject_reason") == _UNRESOLVED, _first_fault(F.col("value"), F.col("line"), layout)
-            ).otherwise(F.col("reject_reason")),
-        )
+    """Rejected lines with the reason of the first failing check. The search runs on these rows alone."""
+    value, line, reason = F.col("value"), F.col("line"), F.col("reject_reason")
+    bad = parsed.where(reason.isNotNull()).withColumn("line", fx.normalized(value))
+    bad = bad.withColumn("reject_reason", F.when(reason == _UNRESOLVED, _first_fault(value, line, layout)).otherwise(reason))
     keep = [c for c in ("batch_date", "source_file", "source_line") if c in parsed.columns]
     return bad.select(
         F.lit(layout.record).alias("record"), *keep, F.make_valid_utf8("value").alias("value"), "reject_reason"
@@ -119,7 +134,7 @@ def rejects(parsed: DataFrame, layout: Layout) -> DataFrame:
 
 def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
     """Accepted records of the files, in one pass and without line numbers."""
-    return accepted(parse_lines(read_lines(spark, paths), layout), layout)
+    return accepted(parse_lines(read_lines(spark, paths, positions=False), layout), layout)
 
 
 def split_table(positioned: DataFrame) -> DataFrame:
@@ -176,17 +191,15 @@ def number_lines(positioned: DataFrame, splits: DataFrame | None = None) -> Data
         "source_file",
         (F.col("row_id") - F.col("first_row_id") + 1 + F.col("lines_before")).alias("source_line"),
         "value",
-        F.when(F.col("bom") & F.coalesce(F.col("reject_reason") != "malformed_utf8", F.lit(True)),
-               F.lit("forbidden_character")).otherwise(F.col("reject_reason")).alias("reject_reason"),
+        F.when(F.col("bom"), F.lit("forbidden_character")).otherwise(F.col("reject_reason")).alias("reject_reason"),
         *[F.when(~F.col("bom"), F.col(c)).alias(c) for c in fields],
     )
 
 
 def positioned_lines(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
     """Parsed lines with their positions, to be written once. Only rejected lines keep their bytes."""
-    lines = read_lines(spark, paths).withColumn("octets", F.octet_length("value"))
     rejected = F.col("reject_reason").isNotNull()
-    return parse_lines(lines, layout).withColumn("value", F.when(rejected, F.col("value")))
+    return parse_lines(read_lines(spark, paths), layout).withColumn("value", F.when(rejected, F.col("value")))
 
 
 def scan_with_lineage(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
@@ -204,7 +217,7 @@ def line_quality(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.count(F.lit(1)).alias("lines"),
             F.count_if(~F.is_valid_utf8(value)).alias("malformed_lines"),
             F.count_if(value.endswith("\r")).alias("crlf_lines"),
-            (F.max("file_size") - F.sum(F.octet_length(value) + 1)).alias("spare_octets"),
+            (F.max("file_size") - F.sum(F.col("octets") + 1)).alias("spare_octets"),
         )
         .withColumn("source_file", F.regexp_extract("file_path", DATED_FILE, 1))
     )
