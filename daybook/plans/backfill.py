@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -243,11 +244,8 @@ def failing_dates(feeds: Feeds, opening: DataFrame | None = None) -> DataFrame:
     }
     for record, layout in LAYOUTS.items():
         found[f"duplicate_{record}"] = duplicates(feeds.table(record), list(layout.keys))
-    result = None
-    for rule, rows in found.items():
-        first = rows.agg(F.min("batch_date").alias("batch_date")).select(F.lit(rule).alias("rule"), "batch_date")
-        result = first if result is None else result.unionByName(first)
-    return result.where(F.col("batch_date").isNotNull())
+    dates = [rows.select(F.lit(rule).alias("rule"), "batch_date") for rule, rows in found.items()]
+    return reduce(DataFrame.unionByName, dates).groupBy("rule").agg(F.min("batch_date").alias("batch_date"))
 
 
 def postable_prefix(dates: DataFrame, feeds: Feeds) -> DataFrame:
