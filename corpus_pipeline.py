@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import mixing, quality_classifier, quality_rules, simhash
+from daybook.llm import mixing, quality_classifier, quality_rules, sentencepieces, simhash
 from daybook.llm.common import durable, read
 
 
@@ -37,11 +37,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.repeated(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document of the mix as ids of pieces, best segmentation first, with its best scores."""
+    encoded = sentencepieces.encode(docs, ["doc_id", "lang", "source"])
+    return encoded.select("row.*", *sentencepieces.OUTPUTS.names)
+
+
 STAGES = [
     ("quality classifier", quality),
     ("quality rules", rules),
     ("simhash near-dedup", near_dedup),
     ("mixing sources to target weights", mix),
+    ("sentencepiece encoding", encode),
 ]
 
 #: Hashes, learning and segmentation cannot be expressed in SQL; tests hold the stages against brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import licenses, mixing, quality_classifier, quality_rules, simhash
+from daybook.llm import language_id, licenses, mixing, quality_classifier, quality_rules, sentencepieces, simhash, toxicity
 from daybook.llm.common import durable, read
 from daybook.llm.sql import LICENSES, QUALITY_RULES
 
@@ -28,6 +28,19 @@ def quality_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, labels, "quality", folds=3, fold=1)
 
 
+def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(read(spark, sf_dir, "documents"), ["doc_id"]).select("row.doc_id", *sentencepieces.OUTPUTS.names)
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels, "toxic", folds=5, fold=0)
+
+
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"), folds=3, fold=1)
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
@@ -43,7 +56,10 @@ def rules_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": source_mixing,
     "op4_simhash_near_dedup": simhash_near_dedup,
+    "op5_sentencepiece": piece_encoding,
+    "op6_toxicity": toxicity_scores,
     "op7_quality_classifier": quality_classification,
+    "op8_language_id": language_identification,
     "op9_license_scan": license_scan,
     "op10_quality_rules": rules_verdict,
 }
