@@ -30,7 +30,7 @@ REPEATS = 2
 #: Slots for each document (so a block is a part of a typical document), and the least number of slots.
 SLOTS_PER_DOC = 2
 MIN_SLOTS = 1 << 16
-RUN = 1 << 16
+RUN = 1 << 12
 BUCKET = 4096
 #: The golden ratio's fraction times 2^32, and the bits of a point that name its cell.
 GOLDEN = 2654435769
