@@ -7,11 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import language_id, licenses, mixing, quality_classifier, quality_rules, sentencepieces, simhash, toxicity
+from daybook.llm import (
+    language_id,
+    licenses,
+    mixing,
+    nearest,
+    quality_classifier,
+    quality_rules,
+    sentencepieces,
+    simhash,
+    toxicity,
+    wrappers,
+)
 from daybook.llm.common import durable, read
 from daybook.llm.sql import LICENSES, QUALITY_RULES
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,6 +74,8 @@ def rules_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": html_extraction,
+    "op2_nearest_neighbours": nearest_neighbours,
     "op3_source_mixing": source_mixing,
     "op4_simhash_near_dedup": simhash_near_dedup,
     "op5_sentencepiece": piece_encoding,
