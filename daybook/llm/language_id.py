@@ -120,14 +120,15 @@ class Parser:
         for language in self.languages:
             signs = [0 if c == " " else codes.get(c, 1) for c in samples[language]]
             following = suffix_automaton(signs)
-            table = np.full((len(following), self.size), -1, dtype=np.int32)
+            table = np.full((len(following) + 1, self.size), -1, dtype=np.int32)  # the last state lies between phrases
             for state, edges in enumerate(following):
                 for sign, target in edges.items():
                     table[state, sign] = (offset + target) * self.size
-            restart = np.where(table[0] >= 0, table[0], np.int32(offset * self.size)) | _MISS
+            between = (offset + len(following)) * self.size
+            restart = np.where(table[0] >= 0, table[0], np.int32(between)) | _MISS
             tables.append(np.where(table >= 0, table, restart))
-            starts.append(offset * self.size)
-            offset += len(following)
+            starts.append(between)
+            offset += len(table)
         assert offset * self.size < _MISS
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, dtype=np.int32)
         self.starts = np.array(starts, dtype=np.int32)
@@ -158,7 +159,7 @@ class Parser:
         order = np.argsort(-length, kind="stable")
         owner, begin, length = owner[order], begin[order], length[order]
         state = np.repeat(self.starts[:, None], len(owner), axis=1)
-        found = np.ones(state.shape, dtype=np.int32)
+        found = np.zeros(state.shape, dtype=np.int32)
         active = np.searchsorted(-length, -np.arange(length[0]), side="left")  # segments longer than each step
         for step in range(int(length[0])):
             n = active[step]
