@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from daybook.session import durable
 
-__all__ = ["SPACE", "WORD", "annotate", "durable", "held_out", "n_words", "read", "with_label"]
+__all__ = ["SPACE", "WORD", "annotate", "durable", "held_out", "n_words", "read"]
 
 #: Words are what stands between ASCII white space; ``bytes.split()`` in Python cuts at the same six characters.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -36,20 +36,6 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def with_label(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
-    """``doc_id, text, label`` of the rows to learn from: labelled, not held out, with a key.
-
-    A key labelled more than once takes its smallest label; null labels are no labels.
-    """
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
-        .groupBy("doc_id")
-        .agg(F.min(label).cast("int").alias("label"))
-    )
-    rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
-    return rows.join(known, "doc_id")
-
-
 def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch of (row, text) in slices of at most ``PIECE_BYTES`` of text, or one row."""
     lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()

@@ -9,11 +9,12 @@ A word's two log-likelihoods are compared. Differences of up to ``MARGIN`` are w
 to be more common in one class bring about, and count as none; so do words that ordinary text says more often, as they
 make an insult no milder. A text's evidence is the sum of what exceeds the margin, over its number of words.
 
-Counts are taken of all labelled rows of the training folds: words by class, then runs of signs, then continuation
-counts, each an aggregation that is combined before its shuffle. What is needed for scoring is the log ratio of each
-run of five signs, and of the back-off mass of each context; both are hashed into ``2 ** BITS`` slots, a bound that does
-not depend on the data. The log ratio is turned into a probability by a logistic curve in the evidence, fitted on at
-most ``CALIBRATION_ROWS`` labelled rows of one fold that the counts leave out.
+The shared distribution is gathered from the words of all documents, so it grows with the corpus. The counts of the
+classes are those of a bounded sample of labelled rows (``TRAIN_ROWS``, smallest hash of the key first), which is found
+without shuffling texts. Each count is an aggregation that is combined before its shuffle, and the counts of all orders
+are taken together. They are hashed into ``2 ** BITS`` slots, a bound that does not depend on the data, and
+broadcast. The evidence is turned into a probability by a logistic curve, fitted on at most ``CALIBRATION_ROWS``
+labelled rows of one fold that the counts leave out.
 
 Defined cases: a null text, or one without letters, has no evidence and scores what the curve gives for none (below
 one half); without labelled rows of both classes all scores are 0; keys labelled twice take their smallest label;
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import annotate, durable, held_out, with_label
+from daybook.llm.common import annotate, durable, held_out
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -39,6 +40,7 @@ STRENGTH = 1.0
 #: Log ratio of a word up to which the classes count as alike.
 MARGIN = 3.0
 BITS = 20
+TRAIN_ROWS = 40_000
 CALIBRATION_ROWS = 6_000
 THRESHOLD = 0.5
 #: Signs that stand for the start and the end of a word.
@@ -68,121 +70,103 @@ def spelt(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return signs, np.where(nth >= ORDER - 1, owner, -1)
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, toxic, ordinary``: how often each class has each word (runs of letters in lower case)."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
-    counted = rows.select("label", F.explode(words).alias("word")).groupBy("label", "word").agg(F.count("*").alias("n"))
-    of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
-    return counted.groupBy("word").agg(of(1).alias("toxic"), of(0).alias("ordinary"))
+def words_of(text: str) -> Column:
+    """All words of a text: runs of letters in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
-def run_counts(words: DataFrame) -> DataFrame:
+def run_counts(rows: DataFrame) -> DataFrame:
     """``run, toxic, ordinary``: how often each class has each run of ``ORDER`` signs within padded words."""
+    counted = rows.select("label", F.explode(words_of("text")).alias("word")).groupBy("label", "word").agg(F.count("*").alias("n"))
     padded = F.concat(F.lit(START * (ORDER - 1)), "word", F.lit(END))
     runs = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, ORDER))
-    return (
-        words.select(F.explode(runs).alias("run"), "toxic", "ordinary")
-        .groupBy("run")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    )
+    of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
+    runs = counted.select("label", "n", F.explode(runs).alias("run"))
+    return runs.groupBy("run").agg(of(1).alias("toxic"), of(0).alias("ordinary"))
 
 
-def shared_backoff(runs: DataFrame) -> DataFrame:
-    """``run, shared``: for each run of ``ORDER - 1`` signs the shared probability of its last sign after the others."""
-    types = runs.select("run")
-    levels = []
-    for length in range(ORDER - 1, 0, -1):
-        types = types.select(F.substring("run", 2, length).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
-        types = durable(types, f"continuations-{length}")
-        levels.append(types)
-    below = None
-    for length, types in zip(range(1, ORDER), reversed(levels), strict=True):
-        context = F.substring("run", 1, length - 1)
-        of_context = types.groupBy(context.alias("context")).agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-        rows = types.withColumn("context", context).join(of_context, "context")
-        kept = (F.col("n") - DISCOUNT) / F.col("all")
-        mass = F.col("kinds") * DISCOUNT / F.col("all")
-        if below is None:  # single signs: the rest is spread evenly over one sign more than there are
-            rows = rows.withColumn("lower", 1.0 / (F.col("kinds") + 1))
-        else:
-            lower = below.select(F.col("run").alias("suffix"), F.col("shared").alias("lower"))
-            rows = rows.withColumn("suffix", F.substring("run", 2, length - 1)).join(lower, "suffix")
-        below = rows.select("run", (kept + mass * F.col("lower")).alias("shared"))
-    return below
-
-
-def _class_terms(label: str) -> list[Column]:
-    return [
-        F.sum(label).alias(f"{label}_all"),
-        F.count(F.when(F.col(label) > 0, 1)).alias(f"{label}_kinds"),
-    ]
-
-
-def ratios(runs: DataFrame) -> DataFrame:
-    """``run, length, ratio, weight``: log of the toxic over the ordinary probability.
-
-    For runs of ``ORDER`` signs that of the last sign after the others, for contexts that of the mass either class
-    leaves to the shared distribution; ``weight`` is how often it was seen.
-    """
-    classes = ("toxic", "ordinary")
-    context = F.substring("run", 1, ORDER - 1)
-    contexts = runs.groupBy(context.alias("context")).agg(*[c for label in classes for c in _class_terms(label)])
-    contexts = durable(contexts, "contexts")
-
-    def left(label: str) -> Column:
-        return (STRENGTH + F.col(f"{label}_kinds") * DISCOUNT) / (STRENGTH + F.col(f"{label}_all"))
-
-    def probability(label: str) -> Column:
-        own = F.greatest(F.col(label) - DISCOUNT, F.lit(0.0)) / (STRENGTH + F.col(f"{label}_all"))
-        return own + left(label) * F.col("shared")
-
-    shared = shared_backoff(runs).select(F.col("run").alias("suffix"), "shared")
-    rows = runs.withColumn("context", context).withColumn("suffix", F.substring("run", 2, ORDER - 1))
-    rows = rows.join(contexts, "context").join(shared, "suffix")
-    of_runs = rows.select(
-        "run",
-        F.lit(ORDER).alias("length"),
-        F.log(probability("toxic") / probability("ordinary")).alias("ratio"),
-        (F.col("toxic") + F.col("ordinary")).alias("weight"),
-    )
-    of_contexts = contexts.select(
-        F.col("context").alias("run"),
-        F.lit(ORDER - 1).alias("length"),
-        F.log(left("toxic") / left("ordinary")).alias("ratio"),
-        (F.col("toxic_all") + F.col("ordinary_all")).alias("weight"),
-    )
-    return of_runs.unionByName(of_contexts)
+def continuations(docs: DataFrame) -> DataFrame:
+    """``run, n``: for each run of up to ``ORDER - 1`` signs, how many different signs stand before it in the corpus."""
+    words = docs.select(F.explode(words_of("text")).alias("word")).distinct()
+    padded = F.concat(F.lit(START * (ORDER - 1)), "word", F.lit(END))
+    ends = F.sequence(F.lit(ORDER), F.length(padded))
+    longer = [F.transform(ends, lambda i, k=k: F.substring(padded, i - k, k + 1)) for k in range(1, ORDER)]
+    kinds = words.select(F.explode(F.concat(*longer)).alias("longer")).distinct()
+    return kinds.groupBy(F.substring("longer", 2, ORDER).alias("run")).agg(F.count("*").alias("n"))
+
+
+#: What the slots hold, by the kind of the row they come from.
+RUN, CONTEXT, SHARED_RUN, SHARED_CONTEXT = range(4)
 
 
 def _slotted(batches):
     for batch in batches:
-        texts, lengths = batch.column("run").to_pylist(), batch.column("length").to_numpy()
-        found = np.array(
-            [slots(np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64), len(t))[-1] for t in texts],
-            dtype=np.int64,
-        )
-        weighted = batch.column("ratio").to_numpy() * batch.column("weight").to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lengths), pa.array(found), pa.array(weighted), batch.column("weight").cast(pa.float64())],
-            names=["length", "slot", "weighted", "weight"],
-        )
+        texts = [t.encode("utf-32-le") for t in batch.column("run").to_pylist()]
+        found = [slots(np.frombuffer(t, dtype=np.uint32).astype(np.uint64), len(t) // 4)[-1] if t else 0 for t in texts]
+        columns = [batch.column("kind"), pa.array(found, pa.int64()), *[batch.column(c) for c in "abcd"]]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "slot", *"abcd"])
 
 
-class Evidence:
-    """Log ratios by slot: of runs (missing where none was seen), and of contexts (0 where none was seen)."""
+def tables(classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """``kind, slot, a, b, c, d``: counts of runs and of contexts, of both classes and of the shared distribution."""
+
+    def rows(frame: DataFrame, kind: int, run: Column, *values: Column) -> DataFrame:
+        filled = [*values, *[F.lit(0)] * (4 - len(values))]
+        return frame.select(F.lit(kind).alias("kind"), run.alias("run"), *[v.cast("double").alias(c) for v, c in zip(filled, "abcd", strict=True)])
+
+    both = ("toxic", "ordinary")
+    context = F.substring("run", 1, ORDER - 1)
+    kinds = [F.count(F.when(F.col(label) > 0, 1)).alias(f"{label}_kinds") for label in both]
+    contexts = classes.groupBy(context.alias("run")).agg(*[F.sum(label).alias(label) for label in both], *kinds)
+    shorter = F.expr("substring(run, 1, length(run) - 1)")
+    of_length = shared.groupBy(shorter.alias("context"), F.length("run").alias("length"))
+    shared_contexts = of_length.agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
+    return (
+        rows(classes, RUN, F.col("run"), *map(F.col, both))
+        .union(rows(contexts, CONTEXT, F.col("run"), *map(F.col, both), F.col("toxic_kinds"), F.col("ordinary_kinds")))
+        .union(rows(shared, SHARED_RUN, F.col("run"), F.col("n")))
+        .union(rows(shared_contexts, SHARED_CONTEXT, F.col("context"), F.col("all"), F.col("kinds")))
+    )
+
 
-    def __init__(self, of_runs: np.ndarray, of_contexts: np.ndarray) -> None:
-        self.of_runs, self.of_contexts = of_runs, of_contexts
+class Evidence:
+    """Both class models over the shared one, from counts by slot."""
+
+    def __init__(self, kind: np.ndarray, slot: np.ndarray, counts: np.ndarray) -> None:
+        self.counts = []
+        for k, width in ((RUN, 2), (CONTEXT, 4), (SHARED_RUN, 1), (SHARED_CONTEXT, 2)):
+            filled = np.zeros((1 << BITS, width), dtype=np.float32)
+            filled[slot[kind == k]] = counts[kind == k, :width]
+            self.counts.append(filled)
+
+    def shared(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Interpolated Kneser-Ney probability of the signs at these places, from one sign up to ``ORDER - 1``."""
+        found = None
+        for length in range(1, ORDER):
+            own = self.counts[SHARED_RUN][slots(signs, length)[at], 0]
+            context = slots(signs, length - 1)[at - 1] if length > 1 else np.zeros(len(at), dtype=np.int64)
+            whole, kinds = self.counts[SHARED_CONTEXT][context].T
+            known = np.maximum(whole, 1.0)
+            below = 1.0 / (kinds + 1.0) if found is None else found
+            held = np.maximum(own - DISCOUNT, 0.0) / known + kinds * DISCOUNT / known * below
+            found = np.where(whole > 0, held, below)
+        return found
+
+    def log_ratio(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log of the toxic over the ordinary probability of the signs at these places."""
+        run, context = self.counts[RUN][slots(signs, ORDER)[at]], self.counts[CONTEXT][slots(signs, ORDER - 1)[at - 1]]
+        shared = self.shared(signs, at)
+        probability = []
+        for label in range(2):
+            whole, kinds = context[:, label] + STRENGTH, context[:, 2 + label]
+            left = (STRENGTH + kinds * DISCOUNT) / whole
+            probability.append(np.maximum(run[:, label] - DISCOUNT, 0.0) / whole + np.minimum(left, 1.0) * shared)
+        return np.log(probability[0] / probability[1])
 
     def of_words(self, words: list[str]) -> np.ndarray:
         signs, owner = spelt(words)
         at = np.nonzero(owner >= 0)[0]
-        seen = self.of_runs[slots(signs, ORDER)[at]]
-        missing = np.isnan(seen)
-        if missing.any():
-            seen = seen.copy()
-            seen[missing] = self.of_contexts[slots(signs, ORDER - 1)[at[missing] - 1]]
-        return np.bincount(owner[at], weights=seen, minlength=len(words))
+        return np.bincount(owner[at], weights=self.log_ratio(signs, at), minlength=len(words))
 
     def of_texts(self, texts: list[str | None], memo: dict[str, float]) -> np.ndarray:
         tokens = [TOKEN.findall(t.lower()) if t else [] for t in texts]
@@ -196,24 +180,26 @@ class Evidence:
         return np.array(means, dtype=np.float64)
 
 
+def sample(labels: DataFrame, rows: Column, label: str, bound: int) -> DataFrame:
+    """``doc_id, label`` of at most ``bound`` labelled keys for which ``rows`` holds, smallest hash first."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & rows)
+    known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
+    return durable(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound), "sample")
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> Evidence | None:
-    """The evidence that words give, from all labelled rows but those of the held-out and the next fold."""
-    apart = (fold + 1) % folds
+    """The evidence that words give, with labels from neither the held-out nor the next fold; None without both."""
     key = F.col("doc_id")
-    rows = with_label(docs.where(~held_out(key, folds, apart)), labels.where(~held_out(key, folds, apart)), label, folds, fold)
-    words = durable(word_counts(rows), "words")
-    seen = words.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).first()
-    if not seen["toxic"] or not seen["ordinary"]:
+    learnt = ~held_out(key, folds, fold) & ~held_out(key, folds, (fold + 1) % folds)
+    chosen = sample(labels, learnt, label, TRAIN_ROWS)
+    if chosen.agg(F.count_distinct("label")).first()[0] < 2:
         return None
-    found = ratios(durable(run_counts(words), "runs"))
-    slotted = found.mapInArrow(_slotted, "length int, slot long, weighted double, weight double")
-    merged = slotted.groupBy("length", "slot").agg((F.sum("weighted") / F.sum("weight")).cast("float").alias("ratio"))
-    table = merged.toArrow()  # two rows for each slot at most
-    length, slot, ratio = (table.column(c).to_numpy() for c in ("length", "slot", "ratio"))
-    of_runs, of_contexts = np.full(1 << BITS, np.nan, np.float32), np.zeros(1 << BITS, np.float32)
-    of_runs[slot[length == ORDER]] = ratio[length == ORDER]
-    of_contexts[slot[length < ORDER]] = ratio[length < ORDER]
-    return Evidence(of_runs, of_contexts)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAIN_ROWS pairs of numbers
+    found = tables(durable(run_counts(rows), "runs"), durable(continuations(docs), "continuations"))
+    slotted = found.mapInArrow(_slotted, "kind int, slot long, a double, b double, c double, d double")
+    table = slotted.groupBy("kind", "slot").agg(*[F.sum(c).alias(c) for c in "abcd"]).toArrow()  # one row a slot
+    kind, slot, *counts = (table.column(c).to_numpy() for c in ("kind", "slot", *"abcd"))
+    return Evidence(kind, slot, np.stack(counts, axis=1))
 
 
 def evidence(docs: DataFrame, keep: list[str], known: Evidence) -> DataFrame:
@@ -253,9 +239,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int)
     if known is None:
         nothing = docs.select("doc_id", held_out(key, folds, fold).alias("held_out"), F.lit(0.0).alias("score"))
         return nothing.select("*", F.lit(0).alias("predicted"), F.lit(0.0).alias("evidence"))
-    apart = labels.where(held_out(key, folds, (fold + 1) % folds) & F.col(label).isNotNull())
-    apart = apart.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    apart = durable(apart.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS), "calibration")
+    apart = sample(labels, held_out(key, folds, (fold + 1) % folds), label, CALIBRATION_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(apart), "doc_id")  # at most CALIBRATION_ROWS pairs
     found = evidence(rows, ["label"], known).select("row.label", "evidence").toPandas()
     centre, slope = calibrate(found["evidence"].to_numpy(), found["label"].to_numpy())

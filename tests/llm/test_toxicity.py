@@ -26,11 +26,32 @@ def test_parts_of_known_words_carry_over_to_new_ones(spark, documents):
     assert seen > toxicity.MARGIN and new > toxicity.MARGIN and plain < toxicity.MARGIN
 
 
-def test_probabilities_of_a_context_sum_to_one(spark, documents):
+def test_shared_probabilities_of_a_context_sum_to_one(spark, documents):
     docs, labels = labelled(spark, documents)
-    runs = toxicity.run_counts(toxicity.word_counts(docs.join(labels, "doc_id").withColumnRenamed("toxic", "label")))
-    shared = toxicity.shared_backoff(runs).groupBy(F.substring("run", 1, toxicity.ORDER - 2)).agg(F.sum("shared").alias("p"))
-    assert all(0.3 < r["p"] <= 1.0 + 1e-9 for r in shared.collect())
+    known = toxicity.learn(docs, labels, "toxic", 5, 0)
+    letters = sorted(set("calm plain words of a page number more you utter zorkhead")) + [toxicity.END]
+    for before in ("", "p", "pla", "zor", "qq"):
+        total = 0.0
+        for letter in letters:
+            text = toxicity.START * 4 + before + letter
+            signs = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+            total += known.shared(signs, np.array([len(text) - 1]))[0]
+        assert 0.9 < total <= 1.1, before  # slots may collide
+
+
+def test_continuations_equal_brute_force(documents):
+    texts = ["abc ab", "Bab cab", None, "x9y"]
+    found = {r["run"]: r["n"] for r in toxicity.continuations(documents(list(enumerate(texts)))).collect()}
+    words = {"abc", "ab", "bab", "cab", "x", "y"}
+    expected = {}
+    for length in range(1, toxicity.ORDER):
+        longer = set()
+        for word in words:
+            padded = toxicity.START * 4 + word + toxicity.END
+            longer |= {padded[i - length : i + 1] for i in range(4, len(padded))}
+        for run in longer:
+            expected[run[1:]] = expected.get(run[1:], 0) + 1
+    assert found == expected
 
 
 def test_odd_rows_and_missing_labels(spark, documents, odd, empty):
