@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +18,25 @@ MIN_CENTS = -(2**63)
 MAX_CENTS = 2**63 - 1
 
 
-@F.pandas_udf(T.StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
+# The signs that are not ASCII but whose normal form is, and that form (KELVIN SIGN, GREEK QUESTION
+# MARK, GREEK VARIA).
+ASCII_TWINS = {"\u212a": "K", "\u037e": ";", "\u1fef": "`"}
+
+
+@F.arrow_udf(T.StringType())
+def nfc(text: pa.Array) -> pa.Array:
+    """A batch is normalized in one call; NUL separates its texts, as it composes with nothing."""
+    texts = text.drop_null().to_pylist()
+    found = unicodedata.normalize("NFC", "\0".join(texts)).split("\0")
+    if len(found) != len(texts):  # none at all, or some hold the separator
+        found = [unicodedata.normalize("NFC", t) for t in texts]
+    filled = iter(found)
+    return pa.array([next(filled) if known else None for known in text.is_valid().to_pylist()], pa.string())
+
+
+def ascii_normalized(text: Column) -> Column:
+    """NFC of texts whose normal form is ASCII, without Python; other texts keep a sign that is not ASCII."""
+    return F.translate(text, "".join(ASCII_TWINS), "".join(ASCII_TWINS.values()))
 
 
 def is_ascii(text: Column) -> Column:

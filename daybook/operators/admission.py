@@ -44,17 +44,33 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     )
 
 
+def latest_jobs(jobs: DataFrame) -> DataFrame:
+    """Per date whether its last launch ended well, from events (number, batch_date, status).
+
+    A launch covers ingestion, posting and export. One that only started counts as unfinished, as its driver may
+    have been lost.
+    """
+    last = F.max_by("status", "number")
+    return jobs.groupBy("batch_date").agg((last == "COMPLETED").alias("finished"))
+
+
 def batch_admission(
-    dates: DataFrame, runs: DataFrame, receipts: DataFrame, exported: DataFrame, missing_files: DataFrame
+    dates: DataFrame,
+    runs: DataFrame,
+    receipts: DataFrame,
+    exported: DataFrame,
+    missing_files: DataFrame,
+    jobs: DataFrame | None = None,
 ) -> DataFrame:
     """Decide every date at once: (batch_date, ingest, process, job).
 
     ``ingest``: ok, or ingest_locked while an attempt runs or has completed.
     ``process``: noop, blocked_running, not_ingested, out_of_order or run; refusals leave no attempt behind.
     ``job``: the same with its own barriers: export_only after posting, blocked_by_earlier while an earlier date
-    is unfinished, missing_input before anything is staged.
+    is unfinished, missing_input before anything is staged. A date is unfinished if its last posting attempt failed,
+    or if its last launch (``jobs``, events) did not end well, be it for its input, its posting or its export.
 
-    The barriers between dates are scalar subqueries over the runs.
+    The barriers between dates are scalar subqueries over the runs and launches.
     """
     latest = latest_runs(runs)
     facts = (
@@ -69,6 +85,9 @@ def batch_admission(
     running = latest.agg(F.count_if("running")).scalar() > 0
     last_completed = latest.where("completed").agg(F.max("batch_date")).scalar()
     first_failed = latest.where(F.col("last_status") == "FAILED").agg(F.min("batch_date")).scalar()
+    if jobs is not None:
+        first_unfinished = latest_jobs(jobs).where(~F.col("finished")).agg(F.min("batch_date")).scalar()
+        first_failed = F.least(first_failed, first_unfinished)
     late = F.coalesce(F.col("batch_date") < last_completed, F.lit(False))
     behind_failure = F.coalesce(first_failed < F.col("batch_date"), F.lit(False))
     return facts.select(

@@ -224,7 +224,9 @@ def generate(
     }
 
 
-def write_batch(spark: SparkSession, batch: dict[str, DataFrame], directory: str, request: Request) -> list[str]:
+def write_batch(
+    spark: SparkSession, batch: dict[str, DataFrame], directory: str, request: Request, as_parts: bool = False
+) -> list[str]:
     """Publish the four dated files; types without rows become zero-byte files and nothing is overwritten.
 
     Every file is formatted before any is published, so a bad value publishes nothing. No trigger is written.
@@ -245,8 +247,6 @@ def write_batch(spark: SparkSession, batch: dict[str, DataFrame], directory: str
         record: durable(fixed_width.format_lines(batch[record], layout), f"generated-{record}")
         for record, layout in LAYOUTS.items()
     }
-    for record, layout in LAYOUTS.items():
-        # A code point takes up to four bytes of UTF-8.
-        bound = wanted[record] * (layout.width * (4 if layout.has_text else 1) + 1)
-        files.publish_lines(lines[record], ["value"], targets[record], bound)
+    for record in LAYOUTS:
+        files.publish_lines(lines[record], ["value"], targets[record], empty=not wanted[record], as_parts=as_parts)
     return list(targets.values())

@@ -10,7 +10,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,8 +23,11 @@ from daybook.schemas import LAYOUTS
 from daybook.session import durable
 
 _PLACE = ["batch_date", "source_line"]
-# Stands for the published state: before any batch date a feed may hold.
-BEFORE = dt.date(1, 1, 1)
+
+
+def _before() -> Column:
+    """Stands for the published state: the day before the first date that Python, and so a batch, can name."""
+    return F.date_sub(fx.day(dt.date.min), 1)
 
 
 def _by_contents(feed: DataFrame) -> DataFrame:
@@ -122,7 +125,7 @@ def snapshots_all_dates(
     members = rows.groupBy("account_id", "batch_date").agg(F.sum("delta").alias("delta"))
     return (
         _running_totals(members)
-        .where(F.col("batch_date") > fx.day(BEFORE))
+        .where(F.col("batch_date") > _before())
         .select("batch_date", "account_id", fx.checked_cents(F.col("total")).alias("balance"))
     )
 
@@ -197,12 +200,12 @@ def _barred_dates(postings: DataFrame, account_feed: DataFrame) -> DataFrame:
 
 def _opening_deltas(balances: DataFrame) -> DataFrame:
     return balances.select(
-        "account_id", fx.day(BEFORE).alias("batch_date"), F.col("balance").cast("decimal(29,0)").alias("delta")
+        "account_id", _before().alias("batch_date"), F.col("balance").cast("decimal(29,0)").alias("delta")
     )
 
 
 def _as_records(current: DataFrame, feed: DataFrame) -> DataFrame:
-    lineage = {"batch_date": fx.day(BEFORE), "source_file": F.lit("")}
+    lineage = {"batch_date": _before(), "source_file": F.lit("")}
     columns = [
         lineage[c].alias(c) if c in lineage else F.monotonically_increasing_id().alias(c) if c == "source_line" else F.col(c)
         for c in feed.columns
@@ -228,7 +231,7 @@ def failing_dates(feeds: Feeds, opening: DataFrame | None = None) -> DataFrame:
     state, pass the feeds ``on_state`` and the opening balances.
     """
     turns = durable(first_two_contents(feeds.transaction), "turns")
-    postings = turns.where((F.col("turn") == 1) & (F.col("batch_date") > fx.day(BEFORE)))
+    postings = turns.where((F.col("turn") == 1) & (F.col("batch_date") > _before()))
     deltas = daily_deltas(postings)
     if opening is not None:
         deltas = deltas.unionByName(_opening_deltas(opening))

@@ -21,9 +21,6 @@ from daybook.schemas import LAYOUTS, Layout
 from daybook.session import durable, local_rows
 from daybook.sources import files, fixed_width
 
-# A balance line is 39 positions and its LF.
-BALANCE_LINE_OCTETS = 40
-
 
 class BatchRefused(RuntimeError):
     """The date may not be worked on now; nothing was recorded."""
@@ -117,7 +114,7 @@ class Ledger:
         try:
             counts, record_count, paths = self._post(date, run_id)
         except Exception as failure:
-            self.store.append(attempt | dict(status="FAILED", error_message=str(failure)[:2000]))
+            self.store.append(attempt | dict(status="FAILED", error_message=str(failure)))
             raise
         applied = {f"{r}_count": n for r, n in counts.items()}
         self.store.append(attempt | dict(status="COMPLETED", record_count=record_count, paths=paths) | applied)
@@ -173,8 +170,11 @@ class Ledger:
 
     # Export
 
-    def export(self, directory: str, date: dt.date | str) -> str:
-        """Publish the balance file of a completed date. The same file again is left alone, another is refused."""
+    def export(self, directory: str, date: dt.date | str, as_parts: bool = False) -> str:
+        """Publish the balance file of a completed date. The same file again is left alone, another is refused.
+
+        It is one plain file, or with ``as_parts`` a directory of that name with its parts in order.
+        """
         date = fx.batch_date(date)
         header = (
             admission.exportable_snapshots(self.store.snapshot_headers(), self.store.runs())
@@ -188,32 +188,45 @@ class Ledger:
             raise RuntimeError(f"snapshot record count mismatch for {date}")
         lines = rows.select("account_id", fx.balance_line(F.col("account_id"), F.col("balance")).alias("value"))
         target = f"{directory.rstrip('/')}/balance_{fx.compact(date)}.dat"
-        bound = header["record_count"] * BALANCE_LINE_OCTETS
+        empty = not header["record_count"]
         if files.exists(self.spark, target):
             copy = f"{self.store.root}/export/{uuid.uuid4().hex}/balance.dat"
-            files.publish_lines(lines, ["account_id"], copy, bound)
+            files.publish_lines(lines, ["account_id"], copy, empty, as_parts)
             if not files.same_lines(self.spark, target, copy):
                 raise FileExistsError(f"output already exists with other contents: {target}")
         else:
-            files.publish_lines(lines, ["account_id"], target, bound)
+            files.publish_lines(lines, ["account_id"], target, empty, as_parts)
         self.store.append(dict(kind="exported", batch_date=date))
         return target
 
     # All three
 
     def run(self, input_directory: str, output_directory: str, date: dt.date | str) -> dict[str, int]:
-        """Ingest, post and export a date. After a committed posting only the export is repeated."""
+        """Ingest, post and export a date. After a committed posting only the export is repeated.
+
+        A launch that fails, be it for its input, is recorded and blocks later dates until the date is repeated.
+        """
         date = fx.batch_date(date)
         listing = files.list_directory(self.spark, input_directory)
         missing = admission.missing_input_files(self._one_date(date), listing)
         decision = self._admission(date, missing)["job"]
+        job = dict(kind="job", batch_date=date)
+        if decision == "missing_input":
+            self.store.append(job | dict(status="STARTED"), job | dict(status="FAILED", error_message=decision))
         if decision not in ("run", "noop", "export_only"):
             raise BatchRefused(f"batch {date}: {decision}")
-        if decision == "run":
-            self.ingest(input_directory, date)
-        counts = self.process(date)
-        if decision != "noop":
+        if decision == "noop":
+            return self.process(date)
+        self.store.append(job | dict(status="STARTED"))
+        try:
+            if decision == "run":
+                self.ingest(input_directory, date)
+            counts = self.process(date)
             self.export(output_directory, date)
+        except Exception as failure:
+            self.store.append(job | dict(status="FAILED", error_message=str(failure)))
+            raise
+        self.store.append(job | dict(status="COMPLETED"))
         return counts
 
     # Many dates
@@ -221,27 +234,30 @@ class Ledger:
     def backfill(self, directory: str, dates: list[dt.date | str]) -> list[dt.date]:
         """Post every date before the first that fails, in one plan, as a loop over ``run`` without its exports.
 
-        The failing date is recorded as a failed attempt. Returns the posted dates.
+        A date that breaks a rule has its receipt and a failed attempt; one whose files are missing or malformed has
+        neither, as nothing of it was staged. Either blocks later dates. Returns the posted dates.
         """
         spark, store = self.spark, self.store
         directory = directory.rstrip("/")
         dates = sorted({fx.batch_date(d) for d in dates})
         wanted = self._dates(dates)
         refused = (
-            admission.batch_admission(wanted, store.runs(), store.receipts(), store.exported(), wanted.limit(0))
+            admission.batch_admission(
+                wanted, store.runs(), store.receipts(), store.exported(), wanted.limit(0), store.jobs()
+            )
             .where(F.col("job") != "run")
             .orderBy("batch_date")
             .first()
         )
         if refused and refused["job"] != "blocked_by_earlier":
             raise BatchRefused(f"batch {refused['batch_date']}: {refused['job']}")
-        if refused and not store.runs().where(F.col("batch_date").isin(dates) & (F.col("status") == "FAILED")).first():
+        if refused and min(store.unfinished()) not in dates:
             raise BatchRefused(f"batch {refused['batch_date']}: {refused['job']}")
 
         listing = files.list_directory(spark, directory)
         stops = [admission.missing_input_files(wanted, listing).select(F.lit("missing_input").alias("rule"), "batch_date")]
         filled = {r["name"] for r in listing.where(F.col("is_regular") & (F.col("length") > 0)).collect()}
-        load, feeds = uuid.uuid4().hex, {}
+        load, feeds, loaded = uuid.uuid4().hex, {}, {}
         for record, layout in LAYOUTS.items():
             names = [n for n in (f"{record}_{fx.compact(d)}.dat" for d in dates) if n in filled]
             if not names:
@@ -250,6 +266,7 @@ class Ledger:
             numbered = self._stage(
                 layout, [f"{directory}/{n}" for n in names], f"{store.root}/staging/{record}/{load}"
             )
+            loaded[record] = f"{store.root}/staging/{record}/{load}"
             stops.append(
                 numbered.where(F.col("reject_reason").isNotNull()).select(F.lit("bad_input").alias("rule"), "batch_date")
             )
@@ -260,15 +277,21 @@ class Ledger:
         stop = reduce(DataFrame.unionByName, stops).orderBy("batch_date", "rule").first()
         posted_dates = [d for d in dates if stop is None or d < stop["batch_date"]]
         if posted_dates:
-            self._post_many(posted_dates, load, staged, current, state)
+            self._post_many(posted_dates, load, loaded, staged, current, state)
         if stop is not None:
-            attempt = dict(kind="run", batch_date=stop["batch_date"], batch_run_id=f"{load}-{stop['batch_date']}")
-            store.append(
-                attempt | dict(status="RUNNING"), attempt | dict(status="FAILED", error_message=stop["rule"])
-            )
+            date, why = stop["batch_date"], dict(status="FAILED", error_message=stop["rule"])
+            events = [dict(kind="job", batch_date=date) | why]
+            if stop["rule"] not in ("missing_input", "bad_input"):
+                attempt = dict(kind="run", batch_date=date, batch_run_id=f"{load}-{date}")
+                received = staged_counts({r: staged.table(r).where(F.col("batch_date") == fx.day(date)) for r in LAYOUTS})
+                counts = {f"{r['record']}_count": r["rows"] for r in received.where(F.col("batch_date") == fx.day(date)).collect()}
+                receipt = dict(kind="ingested", batch_date=date, paths=loaded)
+                zero = {f"{r}_count": 0 for r in LAYOUTS}
+                events = [receipt | zero | counts, attempt | dict(status="RUNNING"), attempt | why, *events]
+            store.append(*events)
         return posted_dates
 
-    def _post_many(self, dates, load: str, staged: backfill.Feeds, current, state: rules.State) -> None:
+    def _post_many(self, dates, load: str, loaded: dict[str, str], staged: backfill.Feeds, current, state: rules.State) -> None:
         store = self.store
         within = F.col("batch_date").between(fx.day(dates[0]), fx.day(dates[-1]))
         run_id = F.concat(F.lit(f"{load}-"), F.col("batch_date").cast("string")).alias("batch_run_id")
@@ -311,7 +334,7 @@ class Ledger:
             attempt = dict(kind="run", batch_date=date, batch_run_id=f"{load}-{date}")
             counts = {f"{r}_count": per_date.get((date, r), 0) for r in LAYOUTS}
             staged_counts = counts | dict(transaction_count=per_date.get((date, "staged"), 0))
-            entries.append(dict(kind="ingested", batch_date=date, paths={}) | staged_counts)
+            entries.append(dict(kind="ingested", batch_date=date, paths=loaded) | staged_counts)
             entries.append(attempt | dict(status="RUNNING"))
             done = dict(status="COMPLETED", record_count=per_date.get((date, "snapshot"), 0), paths=paths)
             entries.append(attempt | done | counts)
@@ -339,4 +362,6 @@ class Ledger:
         dates = self._one_date(date)
         missing = dates.limit(0) if missing is None else missing
         store = self.store
-        return admission.batch_admission(dates, store.runs(), store.receipts(), store.exported(), missing).first()
+        return admission.batch_admission(
+            dates, store.runs(), store.receipts(), store.exported(), missing, store.jobs()
+        ).first()

@@ -132,7 +132,7 @@ def balance_file_lines(book):
     rows = durable(_clean_snapshot(book), "snapshot")
     lines = rows.select("account_id", fx.balance_line(F.col("account_id"), F.col("balance")).alias("value"))
     target = f"{scratch_path(book.spark, 'output')}/balance_19980101.dat"
-    files.publish_lines(lines, ["account_id"], target, rows.count() * 40)
+    files.publish_lines(lines, ["account_id"], target, empty=rows.isEmpty())
     return fixed_width.plain_lines(book.spark, target).select(
         F.col("source_line").alias("line_number"), F.col("value").alias("line")
     )
@@ -279,9 +279,11 @@ def bad_account_dates(book):
 
 
 @query("conflicting_replays", """
-    SELECT t.source_line, t.transaction_id, t.amount, o.amount AS posted_amount
-    FROM stg_transaction t JOIN core_transaction o ON t.transaction_id = o.transaction_id
-    WHERE (t.account_id, t.type, t.amount) IS DISTINCT FROM (o.account_id, o.type, o.amount)""")
+    WITH unlike AS (SELECT transaction_id, account_id, type, amount FROM stg_transaction
+                    EXCEPT SELECT transaction_id, account_id, type, amount FROM core_transaction)
+    SELECT sent.source_line, transaction_id, sent.amount, kept.amount AS posted_amount
+    FROM stg_transaction sent SEMI JOIN unlike USING (transaction_id, account_id, type, amount)
+    JOIN core_transaction kept USING (transaction_id)""")
 def conflicting_replays(book):
     marked = references.with_posted(book.stg_transaction, book.core_transaction)
     return references.conflicting(marked).select(
@@ -298,11 +300,13 @@ def replayed_transactions(book):
     return references.replayed(marked).select("source_line", "transaction_id")
 
 
+# A transaction that is not in the ledger needs an open account that has begun: what is left over is ineligible.
 _INELIGIBLE = """
     SELECT t.source_file, t.source_line, t.transaction_id, t.account_id
-    FROM stg_transaction t JOIN effective_account a ON t.account_id = a.account_id
-    LEFT JOIN core_transaction o ON t.transaction_id = o.transaction_id
-    WHERE o.transaction_id IS NULL AND (a.end_date IS NOT NULL OR a.start_date > t.batch_date)"""
+    FROM stg_transaction t
+    WHERE t.transaction_id IN (SELECT transaction_id FROM stg_transaction EXCEPT SELECT transaction_id FROM core_transaction)
+      AND t.account_id IN (SELECT account_id FROM effective_account)
+      AND t.account_id NOT IN (SELECT account_id FROM effective_account WHERE end_date IS NULL AND start_date <= t.batch_date)"""
 
 
 @query("ineligible_transactions", _INELIGIBLE)
@@ -329,9 +333,8 @@ def _line_rule(rank: int, rule: str, text: str, key: str, source: str) -> str:
     FROM ({source}) s"""
 
 
-_NO_ACCOUNT = """SELECT * FROM stg_{0} t
-    WHERE NOT EXISTS (SELECT 1 FROM core_account a WHERE a.account_id = t.account_id)
-      AND NOT EXISTS (SELECT 1 FROM stg_account a WHERE a.account_id = t.account_id)"""
+_UNKNOWN = """SELECT * FROM stg_{0} WHERE {1}_id IN (
+    SELECT {1}_id FROM stg_{0} EXCEPT (SELECT {1}_id FROM core_{1} UNION SELECT {1}_id FROM stg_{1}))"""
 
 _VIOLATIONS = " UNION ALL ".join([
     _duplicate_rule(1, "customer", "customer_id", "CAST(customer_id AS VARCHAR)"),
@@ -347,16 +350,15 @@ _VIOLATIONS = " UNION ALL ".join([
     ),
     _line_rule(
         6, "conflicting_replay", "Conflicting transaction ID", "transaction_id",
-        """SELECT t.* FROM stg_transaction t JOIN core_transaction o ON t.transaction_id = o.transaction_id
-           WHERE (t.account_id, t.type, t.amount) IS DISTINCT FROM (o.account_id, o.type, o.amount)""",
+        """SELECT * FROM stg_transaction WHERE transaction_id IN (SELECT transaction_id FROM core_transaction)
+           AND (transaction_id, account_id, type, amount) NOT IN (
+             SELECT (transaction_id, account_id, type, amount) FROM core_transaction)""",
     ),
-    _line_rule(7, "missing_account_relationship", "Missing account", "account_id", _NO_ACCOUNT.format("relationship")),
-    _line_rule(8, "missing_account_transaction", "Missing account", "account_id", _NO_ACCOUNT.format("transaction")),
+    _line_rule(7, "missing_account_relationship", "Missing account", "account_id", _UNKNOWN.format("relationship", "account")),
+    _line_rule(8, "missing_account_transaction", "Missing account", "account_id", _UNKNOWN.format("transaction", "account")),
     _line_rule(
         9, "missing_customer", "Missing customer", "customer_id",
-        """SELECT * FROM stg_relationship t
-           WHERE NOT EXISTS (SELECT 1 FROM core_customer a WHERE a.customer_id = t.customer_id)
-             AND NOT EXISTS (SELECT 1 FROM stg_customer a WHERE a.customer_id = t.customer_id)""",
+        _UNKNOWN.format("relationship", "customer"),
     ),
     _line_rule(
         10, "ineligible_transaction", "Ineligible transaction", "transaction_id",
@@ -1237,8 +1239,8 @@ def stream_balances(book):
     copies = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     feed = book.transactions.withColumn("copy", F.explode(copies)).select(*TRANSACTION.columns)
     folder = scratch_path(book.spark, "balance-stream")
-    feed.repartition(3).write.parquet(f"{folder}/input")
-    stream = book.spark.readStream.schema(TRANSACTION.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/input")
+    feed.write.parquet(f"{folder}/input")
+    stream = book.spark.readStream.schema(TRANSACTION.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/input")
     balances = balance_stream.BalanceStream(book.spark, f"{folder}/state")
     balance_stream.run_to_end(stream, balances.on_batch, f"{folder}/checkpoint")
     return balances.balances()

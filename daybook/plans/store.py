@@ -21,7 +21,7 @@ from daybook.sources import files
 
 EVENT = T.StructType([
     T.StructField("number", T.LongType()),
-    T.StructField("kind", T.StringType()),  # ingested, run or exported
+    T.StructField("kind", T.StringType()),  # ingested, run, exported or job
     T.StructField("batch_date", T.DateType()),
     T.StructField("batch_run_id", T.StringType()),
     T.StructField("status", T.StringType()),
@@ -86,6 +86,16 @@ class Store:
             "batch_date", F.col("at").alias("ingested_at")
         )
 
+    def jobs(self) -> DataFrame:
+        """Launches of whole dates: started, then completed or failed."""
+        return self.events().where(F.col("kind") == "job").select("number", "batch_date", "status")
+
+    def unfinished(self) -> set[dt.date]:
+        """Dates whose last posting attempt failed or whose last launch did not end well."""
+        runs = {e["batch_date"]: e["status"] for e in self.entries() if e["kind"] == "run" and e["status"] != "RUNNING"}
+        jobs = {e["batch_date"]: e["status"] for e in self.entries() if e["kind"] == "job"}
+        return {d for d, s in runs.items() if s == "FAILED"} | {d for d, s in jobs.items() if s != "COMPLETED"}
+
     def exported(self) -> DataFrame:
         return self.events().where(F.col("kind") == "exported").select("batch_date").distinct()
 
@@ -95,7 +105,10 @@ class Store:
         )
 
     def completed(self, date: dt.date) -> Row | None:
-        return next((e for e in self.entries() if e["status"] == "COMPLETED" and e["batch_date"] == date), None)
+        return next((e for e in self._completed_runs() if e["batch_date"] == date), None)
+
+    def _completed_runs(self) -> list[Row]:
+        return [e for e in self.entries() if e["kind"] == "run" and e["status"] == "COMPLETED"]
 
     def active_status(self, date: dt.date) -> str | None:
         """COMPLETED or RUNNING when an attempt of the date is neither absent nor failed."""
@@ -110,8 +123,8 @@ class Store:
         return next((e for e in reversed(self.entries()) if e["kind"] == "ingested" and e["batch_date"] == date), None)
 
     def state_paths(self) -> dict[str, str]:
-        last = next((e for e in reversed(self.entries()) if e["status"] == "COMPLETED"), None)
-        return dict(last["paths"] or {}) if last else {}
+        done = self._completed_runs()
+        return dict(done[-1]["paths"] or {}) if done else {}
 
     def state(self, name: str) -> DataFrame:
         """The last published version of a current-state table; empty before the first."""
@@ -147,4 +160,5 @@ class Store:
             return local_rows(self.spark, [], schemas.staged_schema(layout))
         lines = self.spark.read.parquet(f"{path}/lines")
         splits = self.spark.read.parquet(f"{path}/splits")
-        return accepted(number_lines(lines, splits), layout)
+        # A backfill stages the files of many dates together.
+        return accepted(number_lines(lines, splits).where(F.col("batch_date") == F.lit(date)), layout)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from daybook.schemas import LISTING
 from daybook.session import local_rows
 
-# A dated file up to this size may be sorted and written by one task; larger ones are directories of parts.
-SINGLE_FILE_OCTETS = 256 * 1024 * 1024
-
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -86,23 +83,23 @@ def list_directory(spark: SparkSession, directory: str) -> DataFrame:
     return local_rows(spark, rows, LISTING)
 
 
-def publish_lines(ordered: DataFrame, order: list[str], target: str, octet_bound: int) -> None:
+def publish_lines(ordered: DataFrame, order: list[str], target: str, empty: bool, as_parts: bool = False) -> None:
     """Write ``value`` lines in ``order`` and publish them under ``target`` with one rename.
 
-    ``octet_bound`` is a proven upper bound of the text's size. Up to ``SINGLE_FILE_OCTETS`` one task sorts and
-    writes a plain file; beyond it every range-partitioned part is written by its own task and ``target`` is the
-    directory of parts in order. Nothing passes through the driver.
+    The caller chooses the form, whatever the size: one plain file, merged by one task from parts that were sorted
+    apart, or with ``as_parts`` the directory of the range-partitioned parts in order, each written by its own
+    task. The scans read both. Nothing passes through the driver.
     """
     spark = ordered.sparkSession
     parent, name = target.rsplit("/", 1)
     make_directory(spark, parent)
     if exists(spark, target):
         raise FileExistsError(target)
-    if octet_bound == 0:
+    if empty:
         create_file(spark, target)
         return
     working = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
-    if octet_bound <= SINGLE_FILE_OCTETS:
+    if not as_parts:
         ordered.coalesce(1).sortWithinPartitions(*order).select("value").write.text(working)
         parts = [
             s.getPath().toString()

@@ -80,11 +80,12 @@ def parse_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     Every field is parsed once, next to a row id: Spark pushes no filter below a row id, so asking for the
     accepted lines does not parse them again. Here a line is only judged; ``rejects`` finds out what is wrong
     with a faulty one. In a layout without text fields a line of the right length whose fields all parse is
-    ASCII and clean, so neither the character checks nor the normal form, which needs Python, are in its way.
+    ASCII and clean, so the character checks are not in its way, and of the normal form, which needs Python, only
+    the signs matter that turn into ASCII.
     """
     others = [c for c in lines.columns if c != "value"]
     value, line = F.col("value"), F.col("line")
-    lined = lines.select(*others, value, (fx.normalized(value) if layout.has_text else value).alias("line"))
+    lined = lines.select(*others, value, (fx.normalized(value) if layout.has_text else fx.ascii_normalized(value)).alias("line"))
     raws = _raw_fields(line, layout)
     parsed = lined.select(
         *others,
@@ -132,9 +133,24 @@ def rejects(parsed: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+class MalformedFile(ValueError):
+    """A file opens with a byte order mark, which the text source would drop in silence."""
+
+
 def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
-    """Accepted records of the files, in one pass and without line numbers."""
-    return accepted(parse_lines(read_lines(spark, paths, positions=False), layout), layout)
+    """All records of the files, without line numbers. Files must be sound: the job stops at a rejected line.
+
+    A byte order mark is found beforehand, by comparing sizes of files with the octets of their lines. To keep the
+    sound lines of faulty files and learn what is wrong with the others, use ``scan_with_lineage``, ``accepted``
+    and ``rejects``.
+    """
+    marked = line_quality(spark, paths).where("has_bom").select("source_file").first()
+    if marked:
+        raise MalformedFile(f"byte order mark in {marked['source_file']}")
+    parsed = parse_lines(read_lines(spark, paths, positions=False), layout)
+    line = F.format_string("malformed %s line: %s", F.lit(layout.record), F.make_valid_utf8("value"))
+    sound = F.when(F.col("reject_reason").isNotNull(), F.raise_error(line).cast("boolean")).otherwise(F.lit(True))
+    return parsed.where(sound).select(*layout.columns)
 
 
 def split_table(positioned: DataFrame) -> DataFrame:

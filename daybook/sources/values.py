@@ -9,10 +9,12 @@ from daybook.functions import fields as fx
 
 
 def read_values(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """Values of a list in NFC; one that does not fit ``width`` stops the job, as does an empty list on use."""
+    """Values of a list in NFC. One that does not fit ``width`` stops the job; an empty list is an error at once."""
     lines = spark.read.option("lineSep", "\n").text(path).where(
         ~F.col("value").rlike(r"\A\s*\z") & ~F.col("value").startswith("#")
     )
+    if lines.isEmpty():
+        raise ValueError(f"value list without values: {path}")
     text = F.col("text")
     return lines.select(fx.normalized(F.col("value")).alias("text")).select(
         F.when(fx.has_forbidden(text), F.raise_error(F.lit("forbidden character in a value list")))

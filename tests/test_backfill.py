@@ -1,10 +1,14 @@
 """Posting many dates in one plan gives what posting them one after the other gives."""
 
+import datetime as dt
 import random
 
+import pytest
 from conftest import account_line, customer_line, relationship_line, transaction_line, write_files
 
-from daybook.plans.daily import BadInput, BatchRejected, Ledger
+from daybook.plans import backfill
+from daybook.plans.daily import BadInput, BatchRefused, BatchRejected, Ledger
+from daybook.schemas import LAYOUTS
 
 DAYS = [f"2026-10-{d:02}" for d in range(10, 15)]
 
@@ -45,6 +49,10 @@ def contents(ledger):
     tables["ledger"] = store.ledger().drop("batch_run_id")
     tables["snapshot"] = store.snapshots().drop("batch_run_id")
     tables["runs"] = store.runs().drop("batch_run_id", "started_at", "completed_at", "error_message")
+    tables |= {
+        f"staged {record} {day}": store.staged(record, dt.date.fromisoformat(day)) for record in LAYOUTS for day in DAYS
+    }
+    tables["receipts"] = store.receipts().select("batch_date").distinct()
     tables["headers"] = store.snapshot_headers().drop("batch_run_id")
     return {name: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr) for name, df in tables.items()}
 
@@ -81,10 +89,26 @@ def test_backfill_stops_at_bad_and_missing_input(spark, tmp_path):
     (tmp_path / "input" / "account_20261013.dat").unlink()
     ledger = Ledger(spark, str(tmp_path / "ledger"))
     assert [str(d) for d in ledger.backfill(folder, DAYS)] == DAYS[:2]
-    failed = [r for r in ledger.store.runs().collect() if r["status"] == "FAILED"]
-    assert [(str(r["batch_date"]), r["error_message"]) for r in failed] == [(DAYS[2], "bad_input")]
+    assert [r["status"] for r in ledger.store.runs().collect()] == ["COMPLETED"] * 2
+    assert DAYS[2] not in [str(r["batch_date"]) for r in ledger.store.receipts().collect()]
+    with pytest.raises(BatchRefused, match="blocked_by_earlier"):
+        ledger.run(folder, str(tmp_path / "output"), DAYS[4])
+    with pytest.raises(BatchRefused, match="blocked_by_earlier"):
+        ledger.backfill(folder, DAYS[3:])
     try:
         ledger.ingest(folder, DAYS[2])
         raise AssertionError("a bad line was staged")
     except BadInput as fault:
         assert "transaction_20261012.dat:1: record_length" in str(fault)
+
+
+def test_the_first_date_there_is_has_a_snapshot(spark):
+    first = dt.date(1, 1, 1)
+    postings = spark.createDataFrame(
+        [(1, 7, "CR", 5, first), (2, 7, "DR", 2, dt.date(2026, 1, 1))],
+        "transaction_id long, account_id long, type string, amount long, batch_date date",
+    )
+    accounts = spark.createDataFrame([(7, first)], "account_id long, batch_date date")
+    opening = spark.createDataFrame([(7, 100)], "account_id long, balance long")
+    rows = backfill.snapshots_all_dates(postings, accounts, opening).collect()
+    assert sorted((r["batch_date"], r["balance"]) for r in rows) == [(first, 105), (dt.date(2026, 1, 1), 103)]

@@ -248,3 +248,70 @@ def test_failed_attempt_leaves_no_rows(bank, monkeypatch):
     bank.ledger.process(DAY[0])
     assert store.ledger().count() == 1 and bank.snapshot(DAY[0]) == {2: 5}
     assert [s for _, s in bank.statuses()] == ["COMPLETED", "FAILED"]
+
+
+def run(bank, day):
+    return bank.ledger.run(str(bank.root / "input"), str(bank.root / "output"), day)
+
+
+def test_an_earlier_launch_that_failed_blocks_until_it_is_repeated(bank):
+    def files(day, **records):
+        write_files(bank.root / "input", compact(day), **records)
+
+    files(DAY[1], **BASE, transaction=["bad"])
+    files(DAY[2], customer=[customer_line(5)])
+    with pytest.raises(BadInput, match="record_length"):
+        run(bank, DAY[1])
+    with pytest.raises(BatchRefused, match="blocked_by_earlier"):
+        run(bank, DAY[2])
+    files(DAY[1], **BASE, transaction=[transaction_line(1, 2, "CR", 5)])
+    assert run(bank, DAY[1])["transaction"] == 1 and run(bank, DAY[2])["customer"] == 1
+    with pytest.raises(BatchRefused, match="missing_input"):
+        run(bank, DAY[3])
+    files(DAY[4])
+    with pytest.raises(BatchRefused, match="blocked_by_earlier"):
+        run(bank, DAY[4])
+    files(DAY[3])
+    run(bank, DAY[3]), run(bank, DAY[4])
+
+
+def test_a_failed_export_blocks_and_is_repeated_alone(bank):
+    write_files(bank.root / "input", compact(DAY[1]), **BASE)
+    write_files(bank.root / "input", compact(DAY[2]))
+    other = bank.root / "output" / f"balance_{compact(DAY[1])}.dat"
+    other.parent.mkdir()
+    other.write_text("something else\n")
+    with pytest.raises(FileExistsError):
+        run(bank, DAY[1])
+    with pytest.raises(BatchRefused, match="blocked_by_earlier"):
+        run(bank, DAY[2])
+    other.unlink()
+    run(bank, DAY[1]), run(bank, DAY[2])
+    assert bank.statuses() == [(DAY[1], "COMPLETED"), (DAY[2], "COMPLETED")]
+
+
+def test_the_form_of_the_balance_file_is_the_callers_choice(bank):
+    bank.post(DAY[1], **BASE, transaction=[transaction_line(1, 2, "CR", 5)])
+    whole = bank.export(DAY[1])
+    target = bank.ledger.export(str(bank.root / "parts"), DAY[1], as_parts=True)
+    parts = sorted((bank.root / "parts" / target.rsplit("/", 1)[1]).glob("part-*"))
+    assert "".join(p.read_text() for p in parts) == whole
+
+
+def test_a_failure_keeps_its_whole_message(bank, monkeypatch):
+    bank.send(DAY[1], **BASE)
+    monkeypatch.setattr(rules, "violations", lambda *_: (_ for _ in ()).throw(RuntimeError("x" * 5000)))
+    with pytest.raises(RuntimeError):
+        bank.ledger.process(DAY[1])
+    assert [len(r["error_message"]) for r in bank.ledger.store.runs().collect()] == [5000]
+
+
+def test_an_empty_value_list_is_an_error(spark, tmp_path):
+    from daybook.sources.values import read_values
+
+    path = tmp_path / "names.txt"
+    path.write_text("# none\n\n")
+    with pytest.raises(ValueError, match="without values"):
+        read_values(spark, str(path), 10)
+    path.write_text("# one\nAnn\n")
+    assert [r["value"] for r in read_values(spark, str(path), 10).collect()] == ["Ann"]
