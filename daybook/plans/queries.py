@@ -279,11 +279,12 @@ def bad_account_dates(book):
 
 
 @query("conflicting_replays", """
-    WITH unlike AS (SELECT transaction_id, account_id, type, amount FROM stg_transaction
-                    EXCEPT SELECT transaction_id, account_id, type, amount FROM core_transaction)
-    SELECT sent.source_line, transaction_id, sent.amount, kept.amount AS posted_amount
-    FROM stg_transaction sent SEMI JOIN unlike USING (transaction_id, account_id, type, amount)
-    JOIN core_transaction kept USING (transaction_id)""")
+    SELECT source_line, transaction_id, amount, posted_amount
+    FROM stg_transaction SEMI JOIN (
+      SELECT transaction_id, account_id, type, amount FROM stg_transaction
+      EXCEPT SELECT transaction_id, account_id, type, amount FROM core_transaction) AS unlike
+      USING (transaction_id, account_id, type, amount)
+    JOIN (SELECT transaction_id, amount AS posted_amount FROM core_transaction) AS kept USING (transaction_id)""")
 def conflicting_replays(book):
     marked = references.with_posted(book.stg_transaction, book.core_transaction)
     return references.conflicting(marked).select(
