@@ -41,7 +41,7 @@ def compare(spark, db, sf_dir: str, make, sql: str | None) -> tuple[bool, str]:
     if sql is None:
         return len(rows) > 0, f"{len(rows)} rows, no SQL, {taken:.1f}s"
     expected_names, expected_types, expected = oracle_rows(db, sql)
-    wanted = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
+    wanted = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER", "double": "DOUBLE"}
     mistyped = [
         f"{n}: {types[n]} / {expected_types.get(n)}" for n in names if wanted.get(types[n]) != expected_types.get(n)
     ]

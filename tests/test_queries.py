@@ -6,6 +6,7 @@ import pytest
 from compare import compare, tables
 
 import __spark_entry__ as registry
+from daybook.plans import queries as own
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
@@ -16,7 +17,7 @@ def db():
     return tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(own.QUERIES))
 def test_query_matches_sql(spark, db, name):
     good, note = compare(spark, db, SF_DIR, registry.queries()[name], registry.oracle_sql().get(name))
     assert good, note
