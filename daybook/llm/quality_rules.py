@@ -27,7 +27,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 #: Rates judged by an upper fence, with the least distance (in the rate's unit) between a fence and its quartile.
-UPPER_SLACK = {"symbol_rate": 200, "dup_line_rate": 500, "repeat_rate": 350, "word_length": 200}
+UPPER_SLACK = {"symbol_rate": 200, "dup_line_rate": 500, "repeat_rate": 450, "word_length": 200}
 LOWER_SLACK = {"word_length": 200}
 SPREAD = 3
 SUPPORT = 200
