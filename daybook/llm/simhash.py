@@ -111,10 +111,11 @@ def keep_one(docs: DataFrame, length: int = SHINGLE, radius: int = RADIUS) -> Da
     found = near_duplicates(docs, length, radius)
     first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
     first = durable(first, "kept")
-    single, several = first.where("copies = 1"), first.where("copies > 1")
-    kept = docs.join(single.select("doc_id"), "doc_id", "left_semi").select(columns)
-    repeated = docs.join(several.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns)
-    kept = kept.unionByName(repeated)
+    chosen = first.where("copies = 1").select("doc_id")
+    kept = docs.join(chosen, "doc_id", "left_semi").select(columns)
+    several = first.where("copies > 1").select("doc_id")
+    if not several.isEmpty():  # texts are shuffled for them only if there are any
+        kept = kept.unionByName(docs.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns))
     nameless = docs.where("doc_id is null")
     if nameless.isEmpty():
         return kept
