@@ -36,17 +36,18 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch of (row, text) in slices of at most ``PIECE_BYTES`` of text, or one row."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+def pieces(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[tuple[pa.Array, list]]:
+    """Rows of a batch with their texts, in slices of at most ``PIECE_BYTES`` of text, or one row."""
+    rows = batch.column(0)
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     begin = size = 0
     for i, length in enumerate(lengths):
         if i > begin and size + length > PIECE_BYTES:
-            yield batch.slice(begin, i - begin)
+            yield rows.slice(begin, i - begin), texts.slice(begin, i - begin).to_pylist()
             begin, size = i, 0
         size += length
     if begin < batch.num_rows:
-        yield batch.slice(begin)
+        yield rows.slice(begin), texts.slice(begin).to_pylist()
 
 
 def annotate(
@@ -59,12 +60,14 @@ def annotate(
     """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), *outputs.fields])
+    within = keep.index(text) if text in keep else None  # a text that is kept is sent once
+    packed = packed if within is None else packed.select("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            for piece in pieces(batch):
-                arrays = function(piece.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column(0), *arrays], names=["row", *outputs.names])
+            texts = batch.column(1) if within is None else batch.column(0).field(within)
+            for rows, piece in pieces(batch, texts):
+                yield pa.RecordBatch.from_arrays([rows, *function(piece)], names=["row", *outputs.names])
 
     return packed.mapInArrow(run, schema)
