@@ -205,7 +205,7 @@ class Book:
         twice = fresh & (F.col("status") == "P") & (F.col("priority") == "1-URGENT") & (F.col("amount") > 40000000)
         changed = ~fresh & (F.col("status") == "P") & (F.col("priority") == "5-LOW")
         return (
-            self.transactions.where(fresh | resent)
+            self.transactions.where(fresh | resent | ~F.col("on_file"))
             .withColumn("copy", _copies(twice))
             .select(
                 fx.day(BATCH_DATE).alias("batch_date"),
@@ -246,8 +246,9 @@ class Book:
 
     @cached_property
     def clean_relationship(self) -> DataFrame:
-        own = self.stg_relationship.where(F.col("account_id") == F.col("customer_id"))
-        unique = own.groupBy("batch_date", "source_file", "account_id", "customer_id", "type").agg(
+        known = self.core_customer.select("customer_id").union(self.clean_customer.select("customer_id")).distinct()
+        valid = self.stg_relationship.join(known, "customer_id", "left_semi")
+        unique = valid.groupBy("batch_date", "source_file", "account_id", "customer_id", "type").agg(
             F.min("source_line").alias("source_line")
         )
         return unique.join(self.effective_clean_account.select("account_id"), "account_id", "left_semi").select(

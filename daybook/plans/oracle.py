@@ -67,7 +67,7 @@ VIEWS = {
         FROM txn_all, (VALUES (0), (1)) d(k)
         WHERE (batch_date >= DATE '1998-01-01'
                AND (k = 0 OR (status = 'P' AND priority = '1-URGENT' AND amount > 40000000)))
-           OR (batch_date >= DATE '1997-11-01' AND batch_date < DATE '1998-01-01' AND on_file AND k = 0)""",
+           OR (batch_date < DATE '1998-01-01' AND k = 0 AND (batch_date >= DATE '1997-11-01' OR NOT on_file))""",
     "core_balance": """
         SELECT a.account_id, CAST(coalesce(sum(CASE WHEN t.type = 'CR' THEN t.amount ELSE -t.amount END), 0) AS BIGINT)
                  AS balance
@@ -94,7 +94,7 @@ VIEWS = {
     "clean_relationship": """
         SELECT batch_date, source_file, min(source_line) AS source_line, account_id, customer_id, type
         FROM stg_relationship r
-        WHERE account_id = customer_id
+        WHERE customer_id IN (SELECT customer_id FROM core_customer UNION SELECT customer_id FROM clean_customer)
           AND EXISTS (SELECT 1 FROM effective_clean_account a WHERE a.account_id = r.account_id)
         GROUP BY batch_date, source_file, account_id, customer_id, type""",
     "clean_transaction": """
