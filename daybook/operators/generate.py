@@ -229,7 +229,8 @@ def write_batch(
 ) -> list[str]:
     """Publish the four dated files; types without rows become zero-byte files and nothing is overwritten.
 
-    Every file is formatted before any is published, so a bad value publishes nothing. No trigger is written.
+    Every file is formatted before any is published, so a bad value publishes nothing, and if a publication fails
+    the files published before it are taken back. No trigger is written.
     """
     directory = directory.rstrip("/")
     compact = f"{fx.compact(request.date)}"
@@ -247,6 +248,13 @@ def write_batch(
         record: durable(fixed_width.format_lines(batch[record], layout), f"generated-{record}")
         for record, layout in LAYOUTS.items()
     }
-    for record in LAYOUTS:
-        files.publish_lines(lines[record], ["value"], targets[record], empty=not wanted[record], as_parts=as_parts)
+    published: list[str] = []
+    try:
+        for record, target in targets.items():
+            files.publish_lines(lines[record], ["value"], target, empty=not wanted[record], as_parts=as_parts)
+            published.append(target)
+    except Exception:
+        for target in published:
+            files.delete(spark, target)
+        raise
     return list(targets.values())

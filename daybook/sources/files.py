@@ -47,6 +47,10 @@ def create_file(spark: SparkSession, path: str, text: str = "") -> None:
         stream.close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs = _fs(spark, target)
     if fs.exists(_path(spark, target)):

@@ -88,3 +88,23 @@ def test_requests_and_value_lists(spark, tmp_path):
     with pytest.raises(Exception, match="exceeds 3"):
         read_values(spark, str(path), 3).collect()
     assert {f.name for f in TRANSACTION.fields} == {"transaction_id", "account_id", "type", "amount"}
+
+
+def test_a_failed_publication_takes_back_what_was_published(spark, tmp_path, monkeypatch):
+    from daybook.sources import files
+
+    request = generate.Request(DATE, 2, 2, 2, 2, 42)
+    batch = generate.generate(spark, pools(spark), request)
+    publish = files.publish_lines
+
+    def failing(lines, order, target, **how):
+        if "transaction" in target:
+            raise OSError("no space")
+        publish(lines, order, target, **how)
+
+    monkeypatch.setattr(files, "publish_lines", failing)
+    with pytest.raises(OSError, match="no space"):
+        generate.write_batch(spark, batch, str(tmp_path / "out"), request)
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == []
+    monkeypatch.undo()
+    assert len(generate.write_batch(spark, batch, str(tmp_path / "out"), request)) == 4
