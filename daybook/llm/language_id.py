@@ -6,8 +6,9 @@ text. The number of phrases times the logarithm of the sample's length, over the
 the cross entropy; the language with the smallest value wins.
 
 Case is folded, and every run of signs that are not letters is one space. Texts are parsed in segments of
-``SEGMENT`` signs, all segments of a batch in step, one table look-up a sign; a cut costs each language one phrase at
-most. The sample is ``SAMPLE_DOCS`` documents of each language, smallest hash of the key first, a slice of each; the
+``SEGMENT`` signs, all segments of a batch in step; a cut costs each language one phrase at most. Every letter of the
+samples is a sign of its own and transitions are kept sparse, in a hash table of state and sign, so the alphabet of
+all scripts together has no bound; a letter that a language's sample lacks is a miss there. The sample is ``SAMPLE_DOCS`` documents of each language, smallest hash of the key first, a slice of each; the
 samples of all languages together are bounded by ``SAMPLE_SIGNS``, whatever the size of the corpus.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if no language was
@@ -36,9 +37,7 @@ SLICE = 500
 LANGUAGE_SIGNS = 24_000
 SAMPLE_SIGNS = 600_000
 SEGMENT = 2048
-#: Letters told apart: those the samples hold most often. All others count as one.
-LETTERS = 120
-_MISS = np.int32(1 << 30)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def folded(text: str) -> str:
@@ -101,37 +100,64 @@ def suffix_automaton(signs: list[int]) -> list[dict[int, int]]:
     return following
 
 
+class Edges:
+    """Targets by key (a state and a sign in one number) as a hash table with linear probing, at most half full."""
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        bits = max((2 * len(keys)).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        self.last = (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.targets = np.full(1 << bits, -1, dtype=np.int64)
+        place, left = self.place(keys), np.arange(len(keys))
+        while len(left):
+            open_ = left[self.keys[place[left]] < 0]
+            put = open_[np.unique(place[open_], return_index=True)[1]]
+            self.keys[place[put]] = keys[put]
+            self.targets[place[put]] = targets[put]
+            left = left[self.keys[place[left]] != keys[left]]
+            place[left] = (place[left] + 1) & self.last
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _GOLDEN) >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The target of each key, -1 if there is none."""
+        at = self.place(keys)
+        held = self.keys.take(at)
+        found = np.where(held == keys, self.targets.take(at), -1)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = next_ = (at[left] + 1) & self.last
+            held, wanted = self.keys.take(next_), keys[left]
+            same = held == wanted
+            found[left[same]] = self.targets.take(next_[same])
+            left = left[~same & (held >= 0)]
+        return found
+
+
 class Parser:
-    """Automata of all languages as one table, and phrase counts of texts against each. Ties go to the first."""
+    """Automata of all languages in one table, and phrase counts of texts against each. Ties go to the first."""
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.languages = list(samples)
-        counts: dict[str, int] = {}
-        for text in samples.values():
-            for sign in text.replace(" ", ""):
-                counts[sign] = counts.get(sign, 0) + 1
-        known = sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS]
-        self.size = len(known) + 2  # a space is 0, a letter that is not listed 1
-        codes = {sign: i + 2 for i, sign in enumerate(known)}
-        self.code_of = alphabet().copy()
-        for sign, code in codes.items():
-            self.code_of[ord(sign)] = code
-        tables, starts, offset = [], [], 0
+        known = sorted({sign for text in samples.values() for sign in text if sign != " "})
+        size = len(known) + 2  # a space is 0, a letter that no sample holds 1
+        codes = {sign: i + 2 for i, sign in enumerate(known)} | {" ": 0}
+        self.code_of = alphabet().astype(np.int32)
+        self.code_of[[ord(sign) for sign in known]] = np.arange(2, size)
+        keys, targets, roots, starts, offset = [], [], [], [], 0
         for language in self.languages:
-            signs = [0 if c == " " else codes.get(c, 1) for c in samples[language]]
-            following = suffix_automaton(signs)
-            table = np.full((len(following) + 1, self.size), -1, dtype=np.int32)  # the last state lies between phrases
-            for state, edges in enumerate(following):
-                for sign, target in edges.items():
-                    table[state, sign] = (offset + target) * self.size
-            between = (offset + len(following)) * self.size
-            restart = np.where(table[0] >= 0, table[0], np.int32(between)) | _MISS
-            tables.append(np.where(table >= 0, table, restart))
-            starts.append(between)
-            offset += len(table)
-        assert offset * self.size < _MISS
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, dtype=np.int32)
-        self.starts = np.array(starts, dtype=np.int32)
+            following = suffix_automaton([codes[c] for c in samples[language]])
+            for state, edges in enumerate(following, offset):
+                keys += [state * size + sign for sign in edges]
+                targets += [(offset + target) * size for target in edges.values()]
+            roots.append(offset * size)
+            starts.append((offset + len(following)) * size)  # a state without transitions lies between phrases
+            offset += len(following) + 1
+        self.edges = Edges(np.array(keys, dtype=np.int64), np.array(targets, dtype=np.int64))
+        self.roots = np.array(roots, dtype=np.int64)
+        self.starts = np.array(starts, dtype=np.int64)
         self.weight = np.array([math.log2(len(samples[x]) + 1) for x in self.languages])
 
     def codes(self, text: str) -> np.ndarray:
@@ -160,18 +186,24 @@ class Parser:
         owner, begin, length = owner[order], begin[order], length[order]
         state = np.repeat(self.starts[:, None], len(owner), axis=1)
         found = np.zeros(state.shape, dtype=np.int32)
+        language = np.repeat(np.arange(len(self.languages)), len(owner)).reshape(state.shape)
         active = np.searchsorted(-length, -np.arange(length[0]), side="left")  # segments longer than each step
         for step in range(int(length[0])):
             n = active[step]
-            reached = self.table.take(state[:, :n] + flat.take(begin[:n] + step))
-            found[:, :n] += reached >= _MISS
-            state[:, :n] = reached & (_MISS - 1)
+            signs = flat.take(begin[:n] + step)
+            reached = self.edges.find((state[:, :n] + signs).ravel())
+            missed = np.flatnonzero(reached < 0)
+            of, nth = language[:, :n].ravel()[missed], missed % n
+            again = self.edges.find(self.roots[of] + signs[nth])
+            reached[missed] = np.where(again >= 0, again, self.starts[of])
+            found[of, nth] += 1
+            state[:, :n] = reached.reshape(-1, n)
         for i in range(len(self.languages)):
             total[i] = np.bincount(owner, weights=found[i], minlength=len(texts))
         return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        codes = [self.codes(t) if t else np.empty(0, dtype=np.uint8) for t in texts]
+        codes = [self.codes(t) if t else np.empty(0, dtype=np.int32) for t in texts]
         found = self.phrases(codes)
         names, scores = [], []
         for i, code in enumerate(codes):

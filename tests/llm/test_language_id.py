@@ -48,6 +48,32 @@ def test_phrase_counts_equal_greedy_parsing():
         assert [brute_phrases(text, samples[x]) for x in parser.languages] == found[:, i].tolist()
 
 
+def test_every_letter_of_every_script_is_told_apart():
+    draw = random.Random(9)
+    scripts = {"zh": 0x4E00, "ja": 0x5200, "ko": 0xAC00, "ru": 0x430, "en": 0x61}
+    letters = {x: [chr(begin + i) for i in range(400 if begin > 0x1000 else 26)] for x, begin in scripts.items()}
+    prose = lambda x, n: " ".join("".join(draw.choices(letters[x], k=4)) for _ in range(n))
+    samples = {x: prose(x, 300 if x in ("zh", "ja", "ko") else 1000) for x in scripts}
+    parser = language_id.Parser(samples)
+    unseen = "".join(chr(0x0E01 + i) for i in range(40))  # Thai, in no sample: one phrase for each letter
+    texts = [prose(x, 40) for x in scripts] + [samples["zh"][300:500].strip(), unseen]
+    found = parser.phrases([parser.codes(t) for t in texts])
+    for i, text in enumerate(texts):
+        assert [brute_phrases(text, samples[x]) for x in parser.languages] == found[:, i].tolist()
+    names, scores = parser.predict(texts[:-1])
+    assert names == [*scripts, "zh"] and min(scores) > 0
+
+
+def test_the_hash_table_finds_each_key_and_no_other():
+    draw = np.random.default_rng(10)
+    keys = np.unique(draw.integers(0, 1 << 40, 5000))
+    edges = language_id.Edges(keys[::2].copy(), np.arange(len(keys[::2])))
+    found = edges.find(keys)
+    assert np.array_equal(found[::2], np.arange(len(keys[::2]))) and (found[1::2] == -1).all()
+    none = language_id.Edges(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+    assert none.find(keys).max() == -1
+
+
 def test_segments_cost_a_phrase_at_most(monkeypatch):
     samples = {"x": "abc abd abe " * 20}
     parser = language_id.Parser(samples)
