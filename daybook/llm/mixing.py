@@ -6,6 +6,10 @@ Blocks are cut from each source's shuffled documents, laid end to end, every blo
 (the last one of a source may be shorter). Slots are ranked within their source; the rank, modulo the number of
 blocks, is the block it takes, so a source runs through all its blocks before it repeats one.
 
+A source whose target is worth fewer than ``MIN_SLOTS / FEW_PART`` blocks would miss it by whole blocks, so it is cut
+into blocks of one word: its target, to the nearest word, is the number of its slots, and the turns of its words follow
+from that number alone. The slots of the mix that fall into its interval stand for these and take no block themselves.
+
 Nothing is ranked or summed over a whole source in one task: slots are numbered within runs of ``RUN`` slots,
 documents within buckets of about ``BUCKET`` documents of their hash, and only the runs' and buckets' totals are
 summed in order. Only DataFrame functions are used.
@@ -31,6 +35,8 @@ REPEATS = 2
 SLOTS_PER_DOC = 2
 MIN_SLOTS = 1 << 16
 RUN = 1 << 12
+#: A source with a target of fewer than the ``MIN_SLOTS / FEW_PART`` blocks of the mix is cut into single words.
+FEW_PART = 1 << 8
 BUCKET = 4096
 #: The golden ratio's fraction times 2^32, and the bits of a point that name its cell.
 GOLDEN = 2654435769
@@ -82,12 +88,16 @@ def point(i: Column) -> Column:
     return F.pmod(F.pmod(upper, F.lit(1 << 16)) * (1 << 16) + lower, F.lit(1 << 32))
 
 
+def is_small(target: Column, block: int) -> Column:
+    return target < float(MIN_SLOTS // FEW_PART * block)
+
+
 def schedule(sources: DataFrame, n_slots: int, block: int) -> DataFrame:
-    """``slot, sid, rank, block, turn``: which block of which source each slot of the mix takes."""
+    """``slot, sid, rank, block, turn``: which block of which source each slot of the mix takes, but small sources."""
     spark = sources.sparkSession
     slots = spark.range(n_slots).select(F.col("id").alias("slot"), point(F.col("id")).alias("point"))
     slots = slots.withColumn("cell", F.floor(F.col("point") / CELL)).withColumn("run", F.floor(F.col("slot") / RUN))
-    held = sources.where("high > low").withColumn(
+    held = sources.where((F.col("high") > F.col("low")) & ~is_small(F.col("target"), block)).withColumn(
         "cell", F.explode(F.sequence(F.floor(F.col("low") / CELL), F.floor((F.col("high") - 1) / CELL)))
     )
     n_blocks = F.ceil(F.col("source_size") / block)
@@ -136,6 +146,12 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+def words_taken(at: Column, slots: Column) -> Column:
+    """Words taken before word ``at`` of a source whose ``slots`` slots take one word each, in order and again."""
+    turns = F.floor(slots / F.nullif(F.col("source_size"), F.lit(0)))
+    return turns * at + F.least(at, slots - turns * F.col("source_size"))
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """One row for each document: ``doc_id, place, size, source_size, target, taken`` (words, repeats counted)."""
     sizes = durable(sized(docs), "sizes")
@@ -156,7 +172,10 @@ def mix(docs: DataFrame) -> DataFrame:
         part = F.col(f"{end}_turns") * (F.col(end) - F.col(f"{end}_block") * block)
         words = F.coalesce(F.col(f"{end}_earlier") + part, F.col("all_taken"), F.lit(0))
         where = where.withColumn(f"{end}_taken", words)
-    taken = F.when(F.col("size") > 0, F.col("finish_taken") - F.col("begin_taken")).otherwise(0).cast("long")
+        where = where.withColumn(f"{end}_words", words_taken(F.col(end), F.round("target").cast("long")))
+    small = is_small(F.col("target"), block)
+    of = lambda end: F.when(small, F.col(f"{end}_words")).otherwise(F.col(f"{end}_taken"))
+    taken = F.when(F.col("size") > 0, of("finish") - of("begin")).otherwise(0).cast("long")
     return where.select("doc_id", "place", "size", "source_size", "target", taken.alias("taken"))
 
 

@@ -84,6 +84,52 @@ def test_taken_equals_the_schedule_walked_slot_by_slot(documents, monkeypatch):
     assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == expected
 
 
+def test_small_sources_reach_their_targets(documents):
+    """A long tail of sources, each below or about a block of the mix (21 words), beside large ones."""
+    draw = random.Random(5)
+    sizes = [1, 3, 20, 22, 23, 30, 43, 50, 100, 700, 2500, 6000, *[draw.randrange(1, 200) for _ in range(60)]]
+    rows = [(i, "w " * 600, "en", "abc"[i % 3]) for i in range(1500)]
+    for k, words in enumerate(sizes):
+        parts = [words // 3, words // 3, words - 2 * (words // 3)]
+        rows += [(10_000 + 10 * k + i, "w " * part, "en", f"host{k:03}") for i, part in enumerate(parts)]
+    source_of = {i: s for i, _, _, s in rows}
+    taken, wanted = {}, {}
+    found = mixing.mix(documents(rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        source = source_of[r["doc_id"]]
+        taken[source] = taken.get(source, 0) + r["taken"]
+        wanted[source] = r["target"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert len(wanted) == len(sizes) + 3
+    for source in wanted:
+        assert abs(taken[source] - wanted[source]) <= max(0.5, 0.01 * wanted[source]), source
+
+
+def test_a_target_below_a_block_is_met_among_many_like_it(documents):
+    """Every third source stays below its limit, where its weight decides and the target ends inside a document."""
+    rows = [(10 * k + i, "w " * 400, "en", f"s{k:04}") for k in range(300) for i in range(2 if k % 3 != 1 else 5)]
+    source_of = {i: s for i, _, _, s in rows}
+    taken, wanted = {}, {}
+    for r in mixing.mix(documents(rows)).collect():
+        source = source_of[r["doc_id"]]
+        taken[source] = taken.get(source, 0) + r["taken"]
+        wanted[source] = r["target"]
+    assert any(t % 400 for t in wanted.values())
+    for source in wanted:
+        assert abs(taken[source] - wanted[source]) <= 0.5, source
+
+
+def test_words_of_a_small_source_are_taken_in_turn(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(at, slots, size) for size in (1, 7, 10) for slots in range(2 * size + 1) for at in range(size + 1)]
+    table = spark.createDataFrame(rows, "at long, slots long, source_size long")
+    got = table.select("*", mixing.words_taken(F.col("at"), F.col("slots")).alias("words")).collect()
+    for r in got:
+        assert r["words"] == sum(slot % r["source_size"] < r["at"] for slot in range(r["slots"]))
+
+
 def test_points_are_multiples_of_the_golden_ratio(spark):
     from pyspark.sql import functions as F
 
