@@ -173,7 +173,8 @@ class Ledger:
     def export(self, directory: str, date: dt.date | str, as_parts: bool = False) -> str:
         """Publish the balance file of a completed date. The same file again is left alone, another is refused.
 
-        It is one plain file, or with ``as_parts`` a directory of that name with its parts in order.
+        It is one plain file joined from sorted parts, or with ``as_parts`` a directory of that name with the parts in
+        order, which no single process writes.
         """
         date = fx.batch_date(date)
         header = (

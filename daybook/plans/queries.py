@@ -132,7 +132,7 @@ def balance_file_lines(book):
     rows = durable(_clean_snapshot(book), "snapshot")
     lines = rows.select("account_id", fx.balance_line(F.col("account_id"), F.col("balance")).alias("value"))
     target = f"{scratch_path(book.spark, 'output')}/balance_19980101.dat"
-    files.publish_lines(lines, ["account_id"], target, empty=rows.isEmpty())
+    files.publish_lines(lines, ["account_id"], target, empty=rows.isEmpty(), as_parts=True)
     return fixed_width.plain_lines(book.spark, target).select(
         F.col("source_line").alias("line_number"), F.col("value").alias("line")
     )
@@ -1127,7 +1127,7 @@ def _generated(book: Book) -> tuple[generate.Request, dict[str, DataFrame]]:
 def gen_batch(book):
     """The published files of a generated batch, scanned again: lines and distinct business keys."""
     request, batch = _generated(book)
-    paths = generate.write_batch(book.spark, batch, scratch_path(book.spark, "generated"), request)
+    paths = generate.write_batch(book.spark, batch, scratch_path(book.spark, "generated"), request, as_parts=True)
     parts = [
         fixed_width.scan(book.spark, path, layout).agg(
             F.lit(record).alias("record"),

@@ -90,9 +90,9 @@ def list_directory(spark: SparkSession, directory: str) -> DataFrame:
 def publish_lines(ordered: DataFrame, order: list[str], target: str, empty: bool, as_parts: bool = False) -> None:
     """Write ``value`` lines in ``order`` and publish them under ``target`` with one rename.
 
-    The caller chooses the form, whatever the size: one plain file, merged by one task from parts that were sorted
-    apart, or with ``as_parts`` the directory of the range-partitioned parts in order, each written by its own
-    task. The scans read both. Nothing passes through the driver.
+    Range-partitioned parts are sorted and written apart, each by its own task. The caller chooses the form, whatever
+    the size: with ``as_parts`` the directory of the parts in order, otherwise one plain file that is joined from
+    them. The scans read both.
     """
     spark = ordered.sparkSession
     parent, name = target.rsplit("/", 1)
@@ -103,18 +103,33 @@ def publish_lines(ordered: DataFrame, order: list[str], target: str, empty: bool
         create_file(spark, target)
         return
     working = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
-    if not as_parts:
-        ordered.coalesce(1).sortWithinPartitions(*order).select("value").write.text(working)
-        parts = [
-            s.getPath().toString()
-            for s in _fs(spark, working).listStatus(_path(spark, working))
-            if s.getPath().getName().startswith("part-")
-        ]
-        rename(spark, parts[0], target)
-        _fs(spark, working).delete(_path(spark, working), True)
-    else:
-        ordered.orderBy(*order).select("value").write.text(working)
+    ordered.orderBy(*order).select("value").write.text(working)
+    if as_parts:
         rename(spark, working, target)
+    else:
+        rename(spark, join_parts(spark, working), target)
+        delete(spark, working)
+
+
+def join_parts(spark: SparkSession, directory: str) -> str:
+    """Join the parts of a finished write, in order, to one plain file beside them, and return its path.
+
+    Bytes are copied from stream to stream by the driver's JVM, in a buffer of fixed size and without sorting.
+    """
+    fs = _fs(spark, directory)
+    parts = [s.getPath() for s in fs.listStatus(_path(spark, directory)) if s.getPath().getName().startswith("part-")]
+    joined = f"{directory}/joined"
+    target = fs.create(_path(spark, joined), False)
+    try:
+        for part in sorted(parts, key=lambda p: int(p.getName().split("-")[1])):
+            source = fs.open(part)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, target, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        target.close()
+    return joined
 
 
 def same_lines(spark: SparkSession, left: str, right: str) -> bool:

@@ -108,3 +108,36 @@ def test_a_failed_publication_takes_back_what_was_published(spark, tmp_path, mon
     assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == []
     monkeypatch.undo()
     assert len(generate.write_batch(spark, batch, str(tmp_path / "out"), request)) == 4
+
+
+def test_a_plain_file_is_joined_from_parts_that_were_sorted_apart(spark, tmp_path, monkeypatch):
+    from daybook.sources import files
+
+    joined, join = [], files.join_parts
+
+    def counting(session, directory):
+        joined.append(sum(name.startswith("part-") for name in files.names(session, directory)))
+        return join(session, directory)
+
+    monkeypatch.setattr(files, "join_parts", counting)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = spark.range(0, 20_000, 1, 4).select((F.col("id") * 7919 % 20_011).alias("key"))
+        lines = lines.select("key", F.format_string("%06d", "key").alias("value"))
+        files.publish_lines(lines, ["key"], str(tmp_path / "plain.dat"), empty=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    text = (tmp_path / "plain.dat").read_text()
+    assert joined == [2] and text == "".join(sorted(f"{i * 7919 % 20_011:06d}\n" for i in range(20_000)))
+    assert [p.name for p in tmp_path.iterdir() if p.is_dir()] == []
+
+
+@pytest.mark.parametrize("name", ["balance_file_lines", "gen_batch"])
+def test_queries_publish_ordered_parts(spark, monkeypatch, name):
+    from daybook.plans import queries
+    from daybook.sources import files
+
+    forms, publish = [], files.publish_lines
+    monkeypatch.setattr(files, "publish_lines", lambda *a, **how: (forms.append(how["as_parts"]), publish(*a, **how)))
+    assert queries.run(name, spark, "/root/testdata/sf0.001").count() > 0
+    assert forms and all(forms)
