@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import account_line, customer_line, relationship_line, transaction_line, write_files
+from ledger_files import account_line, customer_line, relationship_line, transaction_line, write_files
 
 from daybook.plans import backfill
 from daybook.plans.daily import BadInput, BatchRefused, BatchRejected, Ledger

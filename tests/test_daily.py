@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import account_line, customer_line, relationship_line, transaction_line, write_files
+from ledger_files import account_line, customer_line, relationship_line, transaction_line, write_files
 from pyspark.sql import functions as F
 
 from daybook.operators import rules
