@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
+    exact_dedup,
     language_id,
     licenses,
     mixing,
@@ -20,7 +21,7 @@ from daybook.llm import (
     wrappers,
 )
 from daybook.llm.common import durable, read
-from daybook.llm.sql import LICENSES, QUALITY_RULES
+from daybook.llm.sql import EXACT_DEDUP, LICENSES, QUALITY_RULES
 
 
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,11 @@ def rules_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(measured, limits).select(F.col("row.doc_id").alias("doc_id"), *names)
 
 
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extraction,
     "op2_nearest_neighbours": nearest_neighbours,
@@ -84,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_identification,
     "op9_license_scan": license_scan,
     "op10_quality_rules": rules_verdict,
+    "op11_exact_dedup": exact_duplicates,
 }
 
 SQL: dict[str, str] = {
     "op9_license_scan": LICENSES,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_exact_dedup": EXACT_DEDUP,
 }
