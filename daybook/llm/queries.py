@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
+    conversations,
     exact_dedup,
     language_id,
     licenses,
@@ -79,6 +80,10 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extraction,
     "op2_nearest_neighbours": nearest_neighbours,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": license_scan,
     "op10_quality_rules": rules_verdict,
     "op11_exact_dedup": exact_duplicates,
+    "op12_conversation_repair": conversation_repair,
 }
 
 SQL: dict[str, str] = {
