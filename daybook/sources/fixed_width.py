@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from daybook.functions import fields as fx
 from daybook.schemas import Layout
 from daybook.session import durable
+from daybook.sources import files
 
-# Fixed value: the shape of a dated file name.
+# The byte order mark that the text source drops, and the shape of a dated file name.
+BOM = b"\xef\xbb\xbf"
 DATED_FILE = r"([a-z]+_[0-9]{8}\.dat)"
 # A split is one row of about 150 bytes, so this many stay near 100 MB when broadcast.
 MAX_BROADCAST_SPLITS = 700_000
@@ -140,16 +142,19 @@ class MalformedFile(ValueError):
 def scan(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
     """All records of the files, without line numbers. Files must be sound: the job stops at a rejected line.
 
-    A byte order mark is found beforehand, by comparing sizes of files with the octets of their lines. To keep the
-    sound lines of faulty files and learn what is wrong with the others, use ``scan_with_lineage``, ``accepted``
-    and ``rejects``.
+    The text is read once; a byte order mark is looked for in the first three bytes of each file. The check of a line
+    stands above its row id, where the optimizer leaves it: below, parsing would be written once for every use of a
+    field, and the generated method would be too long for the JVM to compile. To keep the sound lines of faulty files
+    and learn what is wrong with the others, use ``scan_with_lineage``, ``accepted`` and ``rejects``.
     """
-    marked = line_quality(spark, paths).where("has_bom").select("source_file").first()
+    lines = read_lines(spark, paths, positions=False)
+    marked = files.opening_with(spark, lines.inputFiles(), BOM)
     if marked:
-        raise MalformedFile(f"byte order mark in {marked['source_file']}")
-    parsed = parse_lines(read_lines(spark, paths, positions=False), layout)
+        raise MalformedFile(f"byte order mark in {marked[0]}")
+    parsed = parse_lines(lines, layout)
     line = F.format_string("malformed %s line: %s", F.lit(layout.record), F.make_valid_utf8("value"))
-    sound = F.when(F.col("reject_reason").isNotNull(), F.raise_error(line).cast("boolean")).otherwise(F.lit(True))
+    faulty = F.col("reject_reason").isNotNull() & (F.col("row_id") >= 0)
+    sound = F.when(faulty, F.raise_error(line).cast("boolean")).otherwise(F.lit(True))
     return parsed.where(sound).select(*layout.columns)
 
 
