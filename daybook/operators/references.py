@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import fields as fx
 from daybook.session import durable
+from daybook.sources.buckets import matching
 
 CONTENTS = ["account_id", "type", "amount"]
 
@@ -33,26 +34,23 @@ def unknown_keys(staged: DataFrame, known: list[DataFrame], key: str) -> DataFra
     return lacking
 
 
-def posted_matches(staged: DataFrame, ledger: DataFrame) -> DataFrame:
+def posted_matches(staged: DataFrame, ledger: DataFrame, buckets: int | None = None) -> DataFrame:
     """The ledger rows that share an ID with the batch, as ``(transaction_id, posted)``.
 
-    The ledger is reduced by the batch's IDs before anything else sees it: a small batch is broadcast against
-    the ledger scan, a large one shuffles IDs and contents of the ledger once.
+    The ledger is reduced by the batch's IDs before anything else sees it. If it is laid out in ``buckets`` of its ID it
+    is not moved: a small batch opens the buckets of its IDs, a large one is dealt to the same buckets. Otherwise a
+    small batch is broadcast against the ledger scan, and a large one shuffles IDs and contents of the ledger once.
     """
-    ids = staged.select("transaction_id").distinct()
-    return (
-        ledger.select("transaction_id", *CONTENTS)
-        .join(ids, "transaction_id", "left_semi")
-        .select("transaction_id", F.struct(*CONTENTS).alias("posted"))
-    )
+    found = matching(ledger.select("transaction_id", *CONTENTS), staged, "transaction_id", buckets)
+    return found.select("transaction_id", F.struct(*CONTENTS).alias("posted"))
 
 
-def with_posted(staged: DataFrame, ledger: DataFrame) -> DataFrame:
+def with_posted(staged: DataFrame, ledger: DataFrame, buckets: int | None = None) -> DataFrame:
     """Staged transactions with the ledger's contents of the same ID, null where there is none.
 
     The matches are written, so the ledger is met once however often the result is used.
     """
-    matches = durable(posted_matches(staged, ledger), "posted-matches")
+    matches = durable(posted_matches(staged, ledger, buckets), "posted-matches")
     return staged.join(matches, "transaction_id", "left").select(*staged.columns, "posted")
 
 

@@ -213,9 +213,9 @@ def _as_records(current: DataFrame, feed: DataFrame) -> DataFrame:
     return current.select(*columns)
 
 
-def on_state(feeds: Feeds, state: State) -> Feeds:
+def on_state(feeds: Feeds, state: State, buckets: int | None = None) -> Feeds:
     """The feeds with the published state in front: what is on file, and the ledger rows of the same IDs."""
-    posted = posted_matches(feeds.transaction, state.ledger).select("transaction_id", "posted.*")
+    posted = posted_matches(feeds.transaction, state.ledger, buckets).select("transaction_id", "posted.*")
     return Feeds(
         customer=feeds.customer.unionByName(_as_records(state.customer, feeds.customer)),
         account=feeds.account.unionByName(_as_records(state.account, feeds.account)),

@@ -16,10 +16,11 @@ from daybook.functions import fields as fx
 from daybook.operators import admission, merge, posting, references, rules
 from daybook.operators.staging import staged_counts
 from daybook.plans import backfill
-from daybook.plans.store import SNAPSHOT, Store
+from daybook.plans.store import BUCKETS, SNAPSHOT, Store
 from daybook.schemas import LAYOUTS, Layout
 from daybook.session import durable, local_rows
 from daybook.sources import files, fixed_width
+from daybook.sources.buckets import write_bucketed
 
 
 class BatchRefused(RuntimeError):
@@ -37,9 +38,9 @@ class BadInput(ValueError):
 class Ledger:
     """A ledger below one root folder that all executors share. One writer at a time."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
-        self.store = Store(spark, root)
+        self.store = Store(spark, root, buckets)
 
     # Ingest
 
@@ -123,9 +124,9 @@ class Ledger:
     def _post(self, date: dt.date, run_id: str) -> tuple[dict[str, int], int, dict[str, str]]:
         store = self.store
         staged = rules.Staged(date, **{record: store.staged(record, date) for record in LAYOUTS})
-        current, state = self._state()
+        state = self._state()
         # The ledger is met once: validation and the append use the same written matches.
-        marked = references.with_posted(staged.transaction, state.ledger)
+        marked = references.with_posted(staged.transaction, state.ledger, store.buckets)
         worst = rules.first_violation(rules.violations(staged, state, marked)).first()
         if worst:
             raise BatchRejected(worst["message"])
@@ -134,34 +135,44 @@ class Ledger:
         for record in ("customer", "account", "relationship"):
             counts[record] = ingested[f"{record}_count"]
             if counts[record]:
-                merged = merge.upsert_audited(current[record], staged.table(record), list(LAYOUTS[record].keys))
-                paths[record] = self._write(merged, f"state/{record}/{run_id}")
+                paths[record] = self._merge_state(record, run_id, staged.table(record))
 
         unposted = references.fresh(marked)
         partition = f"batch_date={date}/batch_run_id={run_id}"
-        posted_path = self._write(
-            posting.ledger_rows(unposted, run_id).drop("batch_date", "batch_run_id"), f"ledger/{partition}"
-        )
-        posted = self.spark.read.parquet(posted_path)
+        appended = posting.ledger_rows(unposted, run_id).drop("batch_date", "batch_run_id")
+        posted_path = f"{store.root}/ledger/{partition}"
+        write_bucketed(appended, posted_path, ["transaction_id"], store.buckets)
+        posted = self.spark.read.schema(appended.schema).parquet(posted_path)
         counts["transaction"] = posted.count()
 
         new_accounts = durable(merge.new_keys(staged.account, state.account, ["account_id"]), "new-accounts")
-        opening = state.balance.unionByName(merge.initial_balances(new_accounts))
-        paths["balance"] = self._write(
-            posting.balances_after(opening, posting.account_deltas(posted)), f"state/balance/{run_id}"
-        )
         members = durable(posting.snapshot_members(new_accounts, posted), "members")
         record_count = members.count()
-        snapshot = posting.balance_snapshot(members, self.spark.read.parquet(paths["balance"]))
+        paths["balance"] = self._move_balances(run_id, new_accounts, posted, members)
+        snapshot = posting.balance_snapshot(members, store.state("balance", paths["balance"]))
         written = self.spark.read.parquet(self._write(snapshot, f"snapshot/{partition}"))
         if written.count() != record_count:
             raise BatchRejected("Missing balance for output account")
         return counts, record_count, paths
 
-    def _state(self) -> tuple[dict[str, DataFrame], rules.State]:
-        current = {name: self.store.state(name) for name in ("customer", "account", "relationship", "balance")}
-        plain = {name: df.drop("created_at", "updated_at") for name, df in current.items()}
-        return current, rules.State(**plain, ledger=self.store.ledger())
+    def _merge_state(self, record: str, run: str, staged: DataFrame) -> str:
+        """The manifest of a current-state table after a merge of ``staged`` into the buckets it touches."""
+        keys = list(LAYOUTS[record].keys)
+        return self.store.write_state(record, run, staged, lambda current: merge.upsert_audited(current, staged, keys))
+
+    def _move_balances(self, run: str, created: DataFrame, posted: DataFrame, moved: DataFrame) -> str:
+        """The manifest of the balances after postings; ``moved`` holds the accounts created or posted to."""
+        deltas = posting.account_deltas(posted)
+
+        def after(current: DataFrame) -> DataFrame:
+            return posting.balances_after(current.unionByName(merge.initial_balances(created)), deltas)
+
+        return self.store.write_state("balance", run, moved, after)
+
+    def _state(self) -> rules.State:
+        names = ("customer", "account", "relationship", "balance")
+        current = {name: self.store.state(name).drop("created_at", "updated_at") for name in names}
+        return rules.State(**current, ledger=self.store.ledger())
 
     def _write(self, df: DataFrame, path: str) -> str:
         path = f"{self.store.root}/{path}"
@@ -272,13 +283,13 @@ class Ledger:
                 numbered.where(F.col("reject_reason").isNotNull()).select(F.lit("bad_input").alias("rule"), "batch_date")
             )
             feeds[record] = fixed_width.accepted(numbered, layout)
-        current, state = self._state()
-        staged = backfill.on_state(backfill.Feeds(**feeds), state)
+        state = self._state()
+        staged = backfill.on_state(backfill.Feeds(**feeds), state, store.buckets)
         stops.append(backfill.failing_dates(staged, state.balance))
         stop = reduce(DataFrame.unionByName, stops).orderBy("batch_date", "rule").first()
         posted_dates = [d for d in dates if stop is None or d < stop["batch_date"]]
         if posted_dates:
-            self._post_many(posted_dates, load, loaded, staged, current, state)
+            self._post_many(posted_dates, load, loaded, staged, state)
         if stop is not None:
             date, why = stop["batch_date"], dict(status="FAILED", error_message=stop["rule"])
             events = [dict(kind="job", batch_date=date) | why]
@@ -292,21 +303,19 @@ class Ledger:
             store.append(*events)
         return posted_dates
 
-    def _post_many(self, dates, load: str, loaded: dict[str, str], staged: backfill.Feeds, current, state: rules.State) -> None:
+    def _post_many(self, dates, load: str, loaded: dict[str, str], staged: backfill.Feeds, state: rules.State) -> None:
         store = self.store
         within = F.col("batch_date").between(fx.day(dates[0]), fx.day(dates[-1]))
         run_id = F.concat(F.lit(f"{load}-"), F.col("batch_date").cast("string")).alias("batch_run_id")
-        # Ranges of (date, ID) keep a task to few partitions and cut a date that holds most of the rows.
         postings = backfill.winners(staged.transaction).where(within)
         ledger = f"{store.root}/staging/ledger/{load}"
-        (
-            postings.select("transaction_id", "account_id", "type", "amount", "batch_date", run_id)
-            .repartitionByRange("batch_date", "transaction_id")
-            .write.partitionBy("batch_date", "batch_run_id")
-            .parquet(ledger)
+        write_bucketed(
+            postings.select("transaction_id", "account_id", "type", "amount", "batch_date", run_id),
+            ledger, ["transaction_id"], store.buckets, ("batch_date", "batch_run_id"),
         )
         posted = self.spark.read.schema(schemas.LEDGER).parquet(ledger)
         accounts = staged.account.where(F.col("batch_date") <= fx.day(dates[-1]))
+        # Ranges of (date, ID) keep a task to few partitions and cut a date that holds most of the rows.
         snapshot = f"{store.root}/staging/snapshot/{load}"
         (
             backfill.snapshots_all_dates(posted, accounts, state.balance)
@@ -322,13 +331,10 @@ class Ledger:
             layout = LAYOUTS[record]
             sent = staged.table(record).where(within)
             last = merge.latest_record(sent, list(layout.keys), ["batch_date", "source_line"]).select(*layout.columns)
-            merged = merge.upsert_audited(current[record], last, list(layout.keys))
-            paths[record] = self._write(merged, f"state/{record}/{load}")
-        created = merge.new_keys(accounts.where(within), state.account, ["account_id"])
-        opening = state.balance.unionByName(merge.initial_balances(created))
-        paths["balance"] = self._write(
-            posting.balances_after(opening, posting.account_deltas(posted)), f"state/balance/{load}"
-        )
+            paths[record] = self._merge_state(record, load, durable(last, "last-records"))
+        created = durable(merge.new_keys(accounts.where(within), state.account, ["account_id"]), "new-accounts")
+        moved = durable(posting.snapshot_members(created, posted), "members")
+        paths["balance"] = self._move_balances(load, created, posted, moved)
         per_date = self._counts_per_date(dates, staged, posted, members)
         entries = []
         for date in dates:

@@ -18,9 +18,11 @@ from daybook.operators import admission, audits, generate, merge, posting, refer
 from daybook.plans import backfill
 from daybook.plans.book import BATCH_DATE, Book
 from daybook.plans.oracle import statement
-from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, RELATIONSHIP, TRANSACTION, Layout
+from daybook.plans.store import BUCKETS
+from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, LEDGER, RELATIONSHIP, TRANSACTION, Layout
 from daybook.session import durable, scratch_path
 from daybook.sources import files, fixed_width
+from daybook.sources.buckets import BucketedTable
 from daybook.sources.values import read_values
 from daybook.streaming import balances as balance_stream
 from daybook.streaming import clock
@@ -301,6 +303,25 @@ def replayed_transactions(book):
     return references.replayed(marked).select("source_line", "transaction_id")
 
 
+@query("bucketed_ledger_matches", """
+    SELECT t.source_line, t.transaction_id,
+           CASE WHEN o.transaction_id IS NULL THEN 'new'
+                WHEN t.account_id = o.account_id AND t.type = o.type AND t.amount = o.amount THEN 'replayed'
+                ELSE 'conflicting' END AS standing
+    FROM stg_transaction t LEFT JOIN core_transaction o ON t.transaction_id = o.transaction_id""")
+def bucketed_ledger_matches(book):
+    """The ledger as two runs of a bucketed table, even and odd IDs; the batch meets it where it is."""
+    root = scratch_path(book.spark, "ledger")
+    table = BucketedTable(book.spark, root, LEDGER, ["transaction_id"], BUCKETS, ("batch_date", "batch_run_id"))
+    posted = book.core_transaction.select("transaction_id", "account_id", "type", "amount")
+    for parity in (0, 1):
+        table.append(posted.where(F.col("transaction_id") % 2 == parity), (BATCH_DATE, f"run-{parity}"))
+    marked = references.with_posted(book.stg_transaction, table.rows(), BUCKETS)
+    same = F.col("posted").eqNullSafe(F.struct(*references.CONTENTS))
+    standing = F.when(F.col("posted").isNull(), "new").when(same, "replayed").otherwise("conflicting")
+    return marked.select("source_line", "transaction_id", standing.alias("standing"))
+
+
 # A transaction that is not in the ledger needs an open account that has begun: what is left over is ineligible.
 _INELIGIBLE = """
     SELECT t.source_file, t.source_line, t.transaction_id, t.account_id

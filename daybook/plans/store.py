@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ from daybook import schemas
 from daybook.schemas import LAYOUTS, RUN_COUNTS
 from daybook.session import local_rows
 from daybook.sources import files
+from daybook.sources.buckets import BucketedTable, bucket_of
+
+#: Buckets of the ledger and of each current-state table, fixed when a ledger is created. As many as keep a bucket's
+#: part of the ledger within a task.
+BUCKETS = 16
 
 EVENT = T.StructType([
     T.StructField("number", T.LongType()),
@@ -38,6 +44,7 @@ STATE_SCHEMAS = {
     "relationship": T.StructType(schemas.RELATIONSHIP.schema.fields + schemas.AUDIT),
     "balance": schemas.BALANCE,
 }
+STATE_KEYS = {name: list(LAYOUTS[name].keys) if name in LAYOUTS else ["account_id"] for name in STATE_SCHEMAS}
 SNAPSHOT = T.StructType([
     T.StructField("account_id", T.LongType()),
     T.StructField("balance", T.LongType()),
@@ -47,12 +54,18 @@ SNAPSHOT = T.StructType([
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self._read: tuple[list[str], list[Row]] = ([], [])
         for name in ("log", "ledger", "snapshot"):
             files.make_directory(spark, f"{self.root}/{name}")
+        layout = f"{self.root}/layout.json"
+        if not files.exists(spark, layout):
+            files.create_file(spark, layout, json.dumps({"buckets": buckets}))
+        self.buckets: int = json.loads(files.read_text(spark, layout))["buckets"]
+        by = ("batch_date", "batch_run_id")
+        self.posted = BucketedTable(spark, f"{self.root}/ledger", schemas.LEDGER, ["transaction_id"], self.buckets, by)
 
     def entries(self) -> list[Row]:
         """The log's events in order, a few per batch date; read again only when an entry was added."""
@@ -126,12 +139,37 @@ class Store:
         done = self._completed_runs()
         return dict(done[-1]["paths"] or {}) if done else {}
 
-    def state(self, name: str) -> DataFrame:
-        """The last published version of a current-state table; empty before the first."""
-        path = self.state_paths().get(name)
-        if path is None:
+    def _parts(self, name: str, manifest: str | None = None) -> dict[int, str]:
+        """The directory of each bucket of a current-state table: by default of its last published version."""
+        path = manifest or self.state_paths().get(name)
+        return {int(b): p for b, p in json.loads(files.read_text(self.spark, path)).items()} if path else {}
+
+    def _buckets(self, name: str, paths: list[str]) -> DataFrame:
+        if not paths:
             return local_rows(self.spark, [], STATE_SCHEMAS[name])
-        return self.spark.read.schema(STATE_SCHEMAS[name]).parquet(path)
+        return self.spark.read.schema(STATE_SCHEMAS[name]).parquet(*sorted(paths))
+
+    def state(self, name: str, manifest: str | None = None) -> DataFrame:
+        """A version of a current-state table, by default the last published one; empty before the first."""
+        return self._buckets(name, list(self._parts(name, manifest).values()))
+
+    def write_state(self, name: str, run: str, changed: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> str:
+        """Write a new version of a current-state table and return its manifest.
+
+        Only buckets that hold a key of ``changed`` are read, put through ``merged`` and written; the manifest takes the
+        others over by name. ``merged`` must return a row for every key of ``changed``, and no key of another bucket.
+        """
+        keys, parts = STATE_KEYS[name], self._parts(name)
+        bucket = bucket_of(keys, self.buckets)
+        touched = [r["b"] for r in changed.select(bucket.alias("b")).distinct().collect()]  # at most the buckets
+        folder = f"{self.root}/state/{name}/{run}"
+        if touched:
+            rows = merged(self._buckets(name, [parts[b] for b in touched if b in parts]))
+            rows.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(folder)
+        parts |= {b: f"{folder}/bucket={b}" for b in touched}
+        manifest = f"{self.root}/state/{name}/{run}.json"
+        files.create_file(self.spark, manifest, json.dumps(parts))
+        return manifest
 
     def _published(self, folder: str, schema: T.StructType) -> DataFrame:
         completed = self.snapshot_headers().select("batch_run_id", "batch_date")
@@ -143,8 +181,9 @@ class Store:
         )
 
     def ledger(self) -> DataFrame:
-        """Posted transactions. The run filter is on partition columns, so unpublished directories are not read."""
-        return self._published("ledger", schemas.LEDGER)
+        """Posted transactions, bucketed by their ID. Only published runs are declared, so others are not read."""
+        self.posted.declare([(e["batch_date"], e["batch_run_id"]) for e in self._completed_runs()])
+        return self.posted.rows()
 
     def snapshots(self) -> DataFrame:
         return self._published("snapshot", SNAPSHOT)

@@ -65,6 +65,15 @@ def create_file(spark: SparkSession, path: str, text: str = "") -> None:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole text of a small file."""
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 

@@ -161,7 +161,7 @@ def test_every_rule_is_reported_in_order(bank):
     day = dt.date.fromisoformat(DAY[0])
     store = bank.ledger.store
     staged = rules.Staged(day, **{record: store.staged(record, day) for record in LAYOUTS})
-    found = rules.violations(staged, bank.ledger._state()[1]).orderBy("rule_rank", "source_line").collect()
+    found = rules.violations(staged, bank.ledger._state()).orderBy("rule_rank", "source_line").collect()
     compact_day = compact(DAY[0])
     assert [(r["rule"], r["source_line"], r["key"]) for r in found] == [
         ("duplicate_customer", 1, "1"),
