@@ -7,8 +7,9 @@ ISO text so that both sides compare as they are.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,13 +20,13 @@ from daybook.plans import backfill
 from daybook.plans.book import BATCH_DATE, Book
 from daybook.plans.oracle import statement
 from daybook.plans.store import BUCKETS
-from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, LEDGER, RELATIONSHIP, TRANSACTION, Layout
+from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, LEDGER, RELATIONSHIP, RELATIONSHIP_TYPES, TRANSACTION, Layout
 from daybook.session import durable, scratch_path
 from daybook.sources import files, fixed_width
 from daybook.sources.buckets import BucketedTable
 from daybook.sources.values import read_values
 from daybook.streaming import balances as balance_stream
-from daybook.streaming import clock
+from daybook.streaming import clock, keyed_clock, offsets, staged
 
 QUERIES: dict[str, Callable[[Book], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1266,3 +1267,114 @@ def stream_balances(book):
     balances = balance_stream.BalanceStream(book.spark, f"{folder}/state")
     balance_stream.run_to_end(stream, balances.on_batch, f"{folder}/checkpoint")
     return balances.balances()
+
+
+def _in_cuts(book: Book, rows: DataFrame, cut: Column, cuts: int, follow) -> None:
+    """Rows as a stream that stops and starts again after each of ``cuts`` deliveries, in the order of ``cut``.
+
+    ``follow`` takes the stream and returns what to do with its batches, or the stream changed and that.
+    """
+    folder = scratch_path(book.spark, "cuts")
+    numbered = durable(rows.withColumn("_cut", cut), "arrivals")
+    for number in range(cuts):
+        numbered.where(F.col("_cut") == number).drop("_cut").write.mode("append").parquet(f"{folder}/input")
+        stream = book.spark.readStream.schema(rows.schema).parquet(f"{folder}/input")
+        stream, on_batch = follow(stream)
+        balance_stream.run_to_end(stream, on_batch, f"{folder}/checkpoint")
+
+
+def _quarters(book: Book) -> Column:
+    """Which quarter of the time covered a record arrived in."""
+    ends = book.arrivals.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    share = (F.unix_micros("ts") - F.unix_micros(F.lit(ends["low"]))) / (F.unix_micros(F.lit(ends["high"])) - F.unix_micros(F.lit(ends["low"])) + 1)
+    return F.least(F.floor(share * 4), F.lit(3))
+
+
+_LIVE = """SELECT event_id, account_id, topic, part, off, amount, coalesce(batch_date,
+             (SELECT arg_min(control_date, (ts, event_id)) + 1 FROM arrivals WHERE control_date IS NOT NULL)) AS batch_date
+           FROM stamped"""
+
+
+@query("stream_clock", f"""
+    SELECT event_id, account_id, CAST(batch_date AS VARCHAR) AS batch_date FROM ({_LIVE})""")
+def stream_clock(book):
+    """Arrivals as a stream stopped and started three times; records before the first control take its date."""
+    path = scratch_path(book.spark, "stamped")
+    keyed_clock.use_keyed_state(book.spark)
+
+    def keep(batch, number):
+        batch.where("NOT control").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    _in_cuts(book, book.arrivals, _quarters(book), 4, lambda stream: (keyed_clock.stamp_stream(stream), keep))
+    return book.spark.read.parquet(path).select("event_id", "account_id", "batch_date")
+
+
+@query("stream_first_deliveries", f"""
+    SELECT topic, CAST(part AS BIGINT) AS part, off, CAST(batch_date AS VARCHAR) AS batch_date FROM ({_LIVE})""")
+def stream_first_deliveries(book):
+    """Purchases are delivered again a day later, over several batches, and keep the date they were first given."""
+    again = book.arrivals.where(F.col("topic") == "purchase").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    sink = offsets.FirstDeliveries(book.spark, scratch_path(book.spark, "deliveries"))
+    keyed_clock.use_keyed_state(book.spark)
+    seen = []
+
+    def first(batch, number):
+        seen.append(batch.schema)
+        sink.on_batch(batch.where("NOT control"), number)
+
+    _in_cuts(book, book.arrivals.unionByName(again), _quarters(book), 4, lambda stream: (keyed_clock.stamp_stream(stream), first))
+    return sink.rows(seen[0]).select("topic", "part", "off", "batch_date")
+
+
+@query("stream_staging", """
+    SELECT CAST(batch_date AS VARCHAR) AS batch_date, account_id, event_id, amount
+    FROM (SELECT *, row_number() OVER (PARTITION BY batch_date, account_id ORDER BY ts DESC, event_id DESC) AS rn
+          FROM stamped WHERE batch_date IS NOT NULL) WHERE rn = 1""")
+def stream_staging(book):
+    """Stamped records in three deliveries, dealt so that later ones hold both newer and older records."""
+    columns = ["batch_date", "account_id", "ts", "event_id", "amount"]
+    rows = durable(_stamped(book).where(F.col("batch_date").isNotNull()).select(columns), "stamped")
+    sink = staged.StagingStream(book.spark, scratch_path(book.spark, "staging"), rows.schema, ["account_id"], ["ts", "event_id"])
+    _in_cuts(book, rows, F.pmod(F.hash("event_id"), F.lit(3)), 3, lambda stream: (stream, sink.on_batch))
+    return sink.rows().drop("ts")
+
+
+def _closing_lines() -> dict:
+    """What records give when their date closes: owners from clicks, accounts from views, transactions from purchases."""
+
+    def of(layout: Layout, topic: str, **columns: Column):
+        def lines(rows: DataFrame) -> DataFrame:
+            made = rows.where(F.col("topic") == topic).select("batch_date", *[c.alias(n) for n, c in columns.items()]).distinct()
+            line = fixed_width.format_lines(made.withColumn("source_file", F.lit(layout.record)), layout, ascii_only=True)
+            return line.select("batch_date", F.substring("value", 1, 19).alias("place"), "value")
+
+        return lines
+
+    owner, nothing = F.col("account_id"), F.lit(None).cast("date")
+    return {
+        "customer": of(CUSTOMER, "click", customer_id=owner, **{f.name: F.lit("x") for f in CUSTOMER.fields[1:]}),
+        "account": of(ACCOUNT, "view", account_id=owner, start_date=F.col("batch_date"), end_date=nothing, account_type=F.lit(ACCOUNT_TYPES[0])),
+        "relationship": of(RELATIONSHIP, "view", account_id=owner, customer_id=owner, type=F.lit(RELATIONSHIP_TYPES[0])),
+        "transaction": of(TRANSACTION, "purchase", transaction_id=F.col("event_id") + 1, account_id=owner, type=F.lit(TRANSACTION_TYPES[0]), amount=F.abs("amount")),
+    }
+
+
+_CLOSED = f"(SELECT CAST(batch_date AS VARCHAR) AS batch_date, event_id, account_id, topic FROM ({_LIVE}) WHERE batch_date < (SELECT max(control_date) + 1 FROM arrivals))"
+
+
+@query("closed_date_files", f"""
+    SELECT 'customer' AS record, batch_date, account_id AS id FROM {_CLOSED} WHERE topic = 'click' GROUP BY ALL
+    UNION ALL SELECT 'account', batch_date, account_id FROM {_CLOSED} WHERE topic = 'view' GROUP BY ALL
+    UNION ALL SELECT 'relationship', batch_date, account_id FROM {_CLOSED} WHERE topic = 'view' GROUP BY ALL
+    UNION ALL SELECT 'transaction', batch_date, event_id + 1 FROM {_CLOSED} WHERE topic = 'purchase'""")
+def closed_date_files(book):
+    """The four files of each closed date, published by a stream that is stopped and started, and scanned again."""
+    folder = scratch_path(book.spark, "closing")
+    sink = staged.ClosedDates(book.spark, f"{folder}/state", f"{folder}/files", _closing_lines())
+    keyed_clock.use_keyed_state(book.spark)
+    _in_cuts(book, book.arrivals, _quarters(book), 4, lambda stream: (keyed_clock.stamp_stream(stream), sink.on_batch))
+    found = []
+    for record, layout in LAYOUTS.items():
+        rows = fixed_width.accepted(fixed_width.scan_with_lineage(book.spark, f"{folder}/files/{record}_*.dat", layout), layout)
+        found.append(rows.select(F.lit(record).alias("record"), "batch_date", F.col(layout.keys[0]).alias("id")))
+    return reduce(DataFrame.unionByName, found)

@@ -19,7 +19,7 @@ from daybook import schemas
 from daybook.schemas import LAYOUTS, RUN_COUNTS
 from daybook.session import local_rows
 from daybook.sources import files
-from daybook.sources.buckets import BucketedTable, bucket_of
+from daybook.sources.buckets import BucketedTable, BucketVersions
 
 #: Buckets of the ledger and of each current-state table, fixed when a ledger is created. As many as keep a bucket's
 #: part of the ledger within a task.
@@ -139,37 +139,16 @@ class Store:
         done = self._completed_runs()
         return dict(done[-1]["paths"] or {}) if done else {}
 
-    def _parts(self, name: str, manifest: str | None = None) -> dict[int, str]:
-        """The directory of each bucket of a current-state table: by default of its last published version."""
-        path = manifest or self.state_paths().get(name)
-        return {int(b): p for b, p in json.loads(files.read_text(self.spark, path)).items()} if path else {}
-
-    def _buckets(self, name: str, paths: list[str]) -> DataFrame:
-        if not paths:
-            return local_rows(self.spark, [], STATE_SCHEMAS[name])
-        return self.spark.read.schema(STATE_SCHEMAS[name]).parquet(*sorted(paths))
+    def _versions(self, name: str) -> BucketVersions:
+        return BucketVersions(self.spark, f"{self.root}/state/{name}", STATE_SCHEMAS[name], STATE_KEYS[name], self.buckets)
 
     def state(self, name: str, manifest: str | None = None) -> DataFrame:
         """A version of a current-state table, by default the last published one; empty before the first."""
-        return self._buckets(name, list(self._parts(name, manifest).values()))
+        return self._versions(name).rows(manifest or self.state_paths().get(name))
 
     def write_state(self, name: str, run: str, changed: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> str:
-        """Write a new version of a current-state table and return its manifest.
-
-        Only buckets that hold a key of ``changed`` are read, put through ``merged`` and written; the manifest takes the
-        others over by name. ``merged`` must return a row for every key of ``changed``, and no key of another bucket.
-        """
-        keys, parts = STATE_KEYS[name], self._parts(name)
-        bucket = bucket_of(keys, self.buckets)
-        touched = [r["b"] for r in changed.select(bucket.alias("b")).distinct().collect()]  # at most the buckets
-        folder = f"{self.root}/state/{name}/{run}"
-        if touched:
-            rows = merged(self._buckets(name, [parts[b] for b in touched if b in parts]))
-            rows.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(folder)
-        parts |= {b: f"{folder}/bucket={b}" for b in touched}
-        manifest = f"{self.root}/state/{name}/{run}.json"
-        files.create_file(self.spark, manifest, json.dumps(parts))
-        return manifest
+        """Write a new version of a current-state table, of the buckets that ``changed`` touches; returns its manifest."""
+        return self._versions(name).write(self.state_paths().get(name), run, changed, merged)
 
     def _published(self, folder: str, schema: T.StructType) -> DataFrame:
         completed = self.snapshot_headers().select("batch_run_id", "batch_date")

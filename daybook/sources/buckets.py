@@ -8,13 +8,16 @@ read only their buckets and, within these, the row groups that may hold them.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.session import durable
+from daybook.session import durable, local_rows
+from daybook.sources import files
 
 #: Keys that are sent to the scan as literals, which prune buckets; more are shuffled to the buckets.
 FEW_KEYS = 256
@@ -74,16 +77,59 @@ class BucketedTable:
         self.declare([partition])
 
 
+class BucketVersions:
+    """A keyed table rewritten by bucket: a version is a manifest that names a directory for each bucket."""
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: list[str], n: int):
+        self.spark, self.folder, self.schema, self.keys, self.n = spark, folder.rstrip("/"), schema, keys, n
+
+    def parts(self, manifest: str | None) -> dict[int, str]:
+        """The directory of each bucket of a version; none before the first."""
+        return {int(b): p for b, p in json.loads(files.read_text(self.spark, manifest)).items()} if manifest else {}
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return local_rows(self.spark, [], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*sorted(paths))
+
+    def rows(self, manifest: str | None) -> DataFrame:
+        return self._read(list(self.parts(manifest).values()))
+
+    def write(self, before: str | None, name: str, changed: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> str:
+        """Write the version ``name`` that follows ``before`` and return its manifest.
+
+        Only buckets that hold a key of ``changed`` are read, put through ``merged`` and written; the manifest takes the
+        others over by name. ``merged`` must return a row for every key of ``changed``, and no key of another bucket. A
+        version of that name is replaced, so a writer that failed may start again.
+        """
+        parts, bucket = self.parts(before), bucket_of(self.keys, self.n)
+        touched = [r["b"] for r in changed.select(bucket.alias("b")).distinct().collect()]  # at most the buckets
+        folder = f"{self.folder}/{name}"
+        if touched:
+            rows = merged(self._read([parts[b] for b in touched if b in parts]))
+            dealt = rows.withColumn("bucket", bucket).repartition("bucket")
+            dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        parts |= {b: f"{folder}/bucket={b}" for b in touched}
+        manifest = f"{folder}.json"
+        files.delete(self.spark, manifest)
+        files.create_file(self.spark, manifest, json.dumps(parts))
+        return manifest
+
+
 def matching(table: DataFrame, wanted: DataFrame, key: str, n: int | None = None) -> DataFrame:
     """Rows of ``table`` whose ``key`` is among ``wanted``. ``n`` says that the table has that many buckets of the key.
 
     The distinct keys are written and counted. A few become literals, so that other buckets are not opened; more are
-    dealt to the same buckets as the table, which stays where it is. Without buckets Spark chooses.
+    dealt to the same buckets as the table, which stays where it is. Files are sorted by key, so the least and greatest
+    wanted key skip row groups: where keys grow with time, new ones meet little of the table. Without buckets Spark
+    chooses.
     """
     keys = wanted.select(key).distinct()
     if n is None:
         return table.join(keys, key, "left_semi")
     keys = durable(keys, "wanted-keys")
-    if keys.count() <= FEW_KEYS:
+    held = keys.agg(F.count("*").alias("n"), F.min(key).alias("least"), F.max(key).alias("most")).first()
+    if held["n"] <= FEW_KEYS:
         return table.where(F.col(key).isin([r[key] for r in keys.collect()]))  # at most FEW_KEYS literals
-    return table.hint("merge").join(keys.repartition(n, key), key, "left_semi")
+    near = table.where(F.col(key).between(held["least"], held["most"]))
+    return near.hint("merge").join(keys.repartition(n, key), key, "left_semi")
