@@ -20,7 +20,7 @@ from daybook.plans import backfill
 from daybook.plans.book import BATCH_DATE, Book
 from daybook.plans.oracle import statement
 from daybook.plans.store import BUCKETS
-from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, LEDGER, RELATIONSHIP, RELATIONSHIP_TYPES, TRANSACTION, Layout
+from daybook.schemas import ACCOUNT, ACCOUNT_TYPES, CUSTOMER, LAYOUTS, LEDGER, RELATIONSHIP, RELATIONSHIP_TYPES, TRANSACTION, TRANSACTION_TYPES, Layout
 from daybook.session import durable, scratch_path
 from daybook.sources import files, fixed_width
 from daybook.sources.buckets import BucketedTable
