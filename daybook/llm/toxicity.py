@@ -5,20 +5,21 @@ those before it in the word, from the class's own counts with an absolute discou
 shared by both classes, interpolated Kneser-Ney of continuation counts down to single signs. What a class has not
 seen it takes from the shared counts, and a rare word is judged by the parts it shares with known ones.
 
-A word's two log-likelihoods are compared. Differences of up to ``MARGIN`` are what languages and subjects that happen
-to be more common in one class bring about, and count as none; so do words that ordinary text says more often, as they
-make an insult no milder. A text's evidence is the sum of what exceeds the margin, over its number of words.
+A text's two log-likelihoods are compared over its number of words. Beside the plain difference, ``gain``, stands
+``excess``, the part by which words go beyond ``MARGIN`` in favour of the toxic model: what languages and subjects that
+happen to be more common in one class bring about stays below it. A logistic curve weighs both, fitted on at most
+``CALIBRATION_ROWS`` labelled rows of one fold that the counts leave out.
 
-The shared distribution is gathered from the words of all documents, so it grows with the corpus. The counts of the
-classes are those of a bounded sample of labelled rows (``TRAIN_ROWS``, smallest hash of the key first), which is found
-without shuffling texts. Each count is an aggregation that is combined before its shuffle, and the counts of all orders
-are taken together. They are hashed into ``2 ** BITS`` slots, a bound that does not depend on the data, and
-broadcast. The evidence is turned into a probability by a logistic curve, fitted on at most ``CALIBRATION_ROWS``
-labelled rows of one fold that the counts leave out.
+The shared counts are exact, gathered from the words of all documents, and grow with the corpus; they stay in Spark.
+The counts of the classes are those of a bounded sample of labelled rows (``TRAIN_ROWS``, smallest hash of the key
+first), found without shuffling texts. Joins give each run of signs the classes have seen its shared probability and
+with it its log ratio; a run neither has seen falls back to the same shared probability in both, so only the ratio of
+their weights is left, one number for each context. These two tables are bounded by the sample and are broadcast.
 
 Defined cases: a null text, or one without letters, has no evidence and scores what the curve gives for none (below
 one half); without labelled rows of both classes all scores are 0; keys labelled twice take their smallest label;
-null keys are scored and never learnt from.
+null keys are scored and never learnt from; rows that repeat count as often as they stand there; very long texts are
+read whole; an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,9 +38,8 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Counts that the shared distribution weighs as much as, before a class's own counts in a context take over.
 STRENGTH = 1.0
-#: Log ratio of a word up to which the classes count as alike.
+#: Log ratio of a word that languages and subjects may bring about.
 MARGIN = 3.0
-BITS = 20
 TRAIN_ROWS = 40_000
 CALIBRATION_ROWS = 6_000
 THRESHOLD = 0.5
@@ -49,135 +49,110 @@ TOKEN = re.compile(r"[^\W\d_]+")
 _MEMO = 200_000
 
 
-def slots(signs: np.ndarray, length: int) -> np.ndarray:
-    """The slot of each run of ``length`` signs, at the place of its last sign; the first places are not runs."""
-    hashed = np.zeros(len(signs), dtype=np.uint64)
-    for back in range(length):
-        shifted = np.zeros(len(signs), dtype=np.uint64)
-        shifted[back:] = signs[: len(signs) - back]
-        hashed = hashed * np.uint64(0x9E3779B97F4A7C15) + shifted + np.uint64(1)
-    hashed ^= hashed >> np.uint64(29)
-    return ((hashed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-def spelt(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Signs of all words one after the other, and the word each sign is of; -1 where no sign is predicted."""
-    text = "".join(START * (ORDER - 1) + w + END for w in words)
-    signs = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    lengths = np.array([len(w) + ORDER for w in words], dtype=np.int64)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    nth = np.arange(len(signs)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return signs, np.where(nth >= ORDER - 1, owner, -1)
-
-
 def words_of(text: str) -> Column:
     """All words of a text: runs of letters in lower case."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
+def runs_of(word: Column) -> Column:
+    """The runs of ``ORDER`` signs that end at each sign of a word and at its end, as an array."""
+    padded = F.concat(F.lit(START * (ORDER - 1)), word, F.lit(END))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(padded, i, ORDER))
+
+
 def run_counts(rows: DataFrame) -> DataFrame:
     """``run, toxic, ordinary``: how often each class has each run of ``ORDER`` signs within padded words."""
     counted = rows.select("label", F.explode(words_of("text")).alias("word")).groupBy("label", "word").agg(F.count("*").alias("n"))
-    padded = F.concat(F.lit(START * (ORDER - 1)), "word", F.lit(END))
-    runs = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, ORDER))
     of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
-    runs = counted.select("label", "n", F.explode(runs).alias("run"))
+    runs = counted.select("label", "n", F.explode(runs_of(F.col("word"))).alias("run"))
     return runs.groupBy("run").agg(of(1).alias("toxic"), of(0).alias("ordinary"))
 
 
 def continuations(docs: DataFrame) -> DataFrame:
-    """``run, n``: for each run of up to ``ORDER - 1`` signs, how many different signs stand before it in the corpus."""
+    """``run, n``: for each run of up to ``ORDER - 1`` signs, how many different signs stand before it in the corpus.
+
+    The distinct runs of ``ORDER`` signs hold all shorter ones as their ends.
+    """
     words = docs.select(F.explode(words_of("text")).alias("word")).distinct()
-    padded = F.concat(F.lit(START * (ORDER - 1)), "word", F.lit(END))
-    ends = F.sequence(F.lit(ORDER), F.length(padded))
-    longer = [F.transform(ends, lambda i, k=k: F.substring(padded, i - k, k + 1)) for k in range(1, ORDER)]
-    kinds = words.select(F.explode(F.concat(*longer)).alias("longer")).distinct()
+    longest = words.select(F.explode(runs_of(F.col("word"))).alias("run")).distinct()
+    longer = F.array(*[F.substring("run", ORDER - k, k + 1) for k in range(1, ORDER)])
+    kinds = longest.select(F.explode(longer).alias("longer")).distinct()
     return kinds.groupBy(F.substring("longer", 2, ORDER).alias("run")).agg(F.count("*").alias("n"))
 
 
-#: What the slots hold, by the kind of the row they come from.
-RUN, CONTEXT, SHARED_RUN, SHARED_CONTEXT = range(4)
-
+def context(run: str) -> Column:
+    """All but the last sign of a run."""
+    return F.expr(f"substring({run}, 1, length({run}) - 1)")
 
-def _slotted(batches):
-    for batch in batches:
-        texts = [t.encode("utf-32-le") for t in batch.column("run").to_pylist()]
-        found = [slots(np.frombuffer(t, dtype=np.uint32).astype(np.uint64), len(t) // 4)[-1] if t else 0 for t in texts]
-        columns = [batch.column("kind"), pa.array(found, pa.int64()), *[batch.column(c) for c in "abcd"]]
-        yield pa.RecordBatch.from_arrays(columns, names=["kind", "slot", *"abcd"])
 
+def shared_probabilities(shared: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``run, p`` for the ``wanted`` runs of ``ORDER - 1`` signs: interpolated Kneser-Ney over ``shared`` (``run, n``).
 
-def tables(classes: DataFrame, shared: DataFrame) -> DataFrame:
-    """``kind, slot, a, b, c, d``: counts of runs and of contexts, of both classes and of the shared distribution."""
+    Each order joins its runs with the totals of their contexts and with the order below, which holds their ends.
+    """
+    totals = shared.groupBy(context("run").alias("context"), F.length("run").alias("length"))
+    totals = durable(totals.agg(F.sum("n").alias("whole"), F.count("*").alias("kinds")), "contexts")
+    below = None
+    for length in range(1, ORDER):
+        ends = wanted.select(F.substring("run", ORDER - length, length).alias("run")).distinct()
+        own = ends.join(shared, "run", "left").withColumn("context", context("run"))
+        found = own.join(totals.where(F.col("length") == length).drop("length"), "context", "left")
+        if below is None:
+            found = found.withColumn("lower", 1.0 / (F.col("kinds") + 1))
+        else:
+            found = found.withColumn("end", F.substring("run", 2, ORDER)).join(below.select(F.col("run").alias("end"), F.col("p").alias("lower")), "end")
+        held = F.greatest(F.coalesce("n", F.lit(0)) - DISCOUNT, F.lit(0.0)) / F.col("whole")
+        p = F.coalesce(held + F.col("kinds") * DISCOUNT / F.col("whole") * F.col("lower"), F.col("lower"))
+        below = found.select("run", p.alias("p"))
+    return below
 
-    def rows(frame: DataFrame, kind: int, run: Column, *values: Column) -> DataFrame:
-        filled = [*values, *[F.lit(0)] * (4 - len(values))]
-        return frame.select(F.lit(kind).alias("kind"), run.alias("run"), *[v.cast("double").alias(c) for v, c in zip(filled, "abcd", strict=True)])
 
+def ratios(classes: DataFrame, shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Log ratios of the toxic over the ordinary probability: of runs seen by a class, and of contexts for all other runs."""
     both = ("toxic", "ordinary")
-    context = F.substring("run", 1, ORDER - 1)
-    kinds = [F.count(F.when(F.col(label) > 0, 1)).alias(f"{label}_kinds") for label in both]
-    contexts = classes.groupBy(context.alias("run")).agg(*[F.sum(label).alias(label) for label in both], *kinds)
-    shorter = F.expr("substring(run, 1, length(run) - 1)")
-    of_length = shared.groupBy(shorter.alias("context"), F.length("run").alias("length"))
-    shared_contexts = of_length.agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    return (
-        rows(classes, RUN, F.col("run"), *map(F.col, both))
-        .union(rows(contexts, CONTEXT, F.col("run"), *map(F.col, both), F.col("toxic_kinds"), F.col("ordinary_kinds")))
-        .union(rows(shared, SHARED_RUN, F.col("run"), F.col("n")))
-        .union(rows(shared_contexts, SHARED_CONTEXT, F.col("context"), F.col("all"), F.col("kinds")))
-    )
+    kinds = [F.count(F.when(F.col(c) > 0, 1)).alias(f"{c}_kinds") for c in both]
+    contexts = classes.groupBy(context("run").alias("context")).agg(*[F.sum(c).alias(f"{c}_whole") for c in both], *kinds)
+    left = {c: F.least((STRENGTH + F.col(f"{c}_kinds") * DISCOUNT) / (STRENGTH + F.col(f"{c}_whole")), F.lit(1.0)) for c in both}
+    ends = classes.select(F.substring("run", 2, ORDER).alias("run"))
+    known = shared_probabilities(shared, ends.distinct()).withColumnRenamed("run", "end")
+    seen = classes.select("*", context("run").alias("context"), F.substring("run", 2, ORDER).alias("end"))
+    seen = seen.join(contexts, "context").join(known, "end")
+    p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / (STRENGTH + F.col(f"{c}_whole")) + left[c] * F.col("p") for c in both}
+    of_runs = seen.select("run", F.log(p["toxic"] / p["ordinary"]).alias("ratio"))
+    return of_runs, contexts.select(F.col("context").alias("run"), F.log(left["toxic"] / left["ordinary"]).alias("ratio"))
 
 
 class Evidence:
-    """Both class models over the shared one, from counts by slot."""
-
-    def __init__(self, kind: np.ndarray, slot: np.ndarray, counts: np.ndarray) -> None:
-        self.counts = []
-        for k, width in ((RUN, 2), (CONTEXT, 4), (SHARED_RUN, 1), (SHARED_CONTEXT, 2)):
-            filled = np.zeros((1 << BITS, width), dtype=np.float32)
-            filled[slot[kind == k]] = counts[kind == k, :width]
-            self.counts.append(filled)
-
-    def shared(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Interpolated Kneser-Ney probability of the signs at these places, from one sign up to ``ORDER - 1``."""
-        found = None
-        for length in range(1, ORDER):
-            own = self.counts[SHARED_RUN][slots(signs, length)[at], 0]
-            context = slots(signs, length - 1)[at - 1] if length > 1 else np.zeros(len(at), dtype=np.int64)
-            whole, kinds = self.counts[SHARED_CONTEXT][context].T
-            known = np.maximum(whole, 1.0)
-            below = 1.0 / (kinds + 1.0) if found is None else found
-            held = np.maximum(own - DISCOUNT, 0.0) / known + kinds * DISCOUNT / known * below
-            found = np.where(whole > 0, held, below)
-        return found
-
-    def log_ratio(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Log of the toxic over the ordinary probability of the signs at these places."""
-        run, context = self.counts[RUN][slots(signs, ORDER)[at]], self.counts[CONTEXT][slots(signs, ORDER - 1)[at - 1]]
-        shared = self.shared(signs, at)
-        probability = []
-        for label in range(2):
-            whole, kinds = context[:, label] + STRENGTH, context[:, 2 + label]
-            left = (STRENGTH + kinds * DISCOUNT) / whole
-            probability.append(np.maximum(run[:, label] - DISCOUNT, 0.0) / whole + np.minimum(left, 1.0) * shared)
-        return np.log(probability[0] / probability[1])
-
-    def of_words(self, words: list[str]) -> np.ndarray:
-        signs, owner = spelt(words)
-        at = np.nonzero(owner >= 0)[0]
-        return np.bincount(owner[at], weights=self.log_ratio(signs, at), minlength=len(words))
-
-    def of_texts(self, texts: list[str | None], memo: dict[str, float]) -> np.ndarray:
-        tokens = [TOKEN.findall(t.lower()) if t else [] for t in texts]
+    """Log ratios of the runs that the classes have seen, and of the contexts of all others."""
+
+    def __init__(self, runs: dict[str, float], contexts: dict[str, float]) -> None:
+        self.runs, self.contexts = runs, contexts
+
+    def of_word(self, word: str) -> float:
+        """Log of the toxic over the ordinary probability of a word."""
+        padded = START * (ORDER - 1) + word + END
+        ratio = 0.0
+        for i in range(len(word) + 1):
+            run = padded[i : i + ORDER]
+            own = self.runs.get(run)
+            ratio += self.contexts.get(run[:-1], 0.0) if own is None else own
+        return ratio
+
+    def of_texts(self, texts: list[str | None], memo: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """``gain`` and ``excess`` of each text, a word's mean."""
         if len(memo) > _MEMO:
             memo.clear()
-        new = [w for w in set().union(*tokens) if w not in memo] if tokens else []
-        if new:
-            beyond = np.maximum(self.of_words(new) - MARGIN, 0.0)
-            memo.update(zip(new, beyond.tolist(), strict=True))
-        means = [sum(map(memo.__getitem__, ws)) / len(ws) if ws else 0.0 for ws in tokens]
-        return np.array(means, dtype=np.float64)
+        gain, excess = np.zeros(len(texts)), np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            words = TOKEN.findall(text.lower()) if text else []
+            if words:
+                for word in words:
+                    if word not in memo:
+                        memo[word] = self.of_word(word)
+                found = list(map(memo.__getitem__, words))
+                gain[i] = sum(found) / len(words)
+                excess[i] = sum(x - MARGIN for x in found if x > MARGIN) / len(words)
+        return gain, excess
 
 
 def sample(labels: DataFrame, rows: Column, label: str, bound: int) -> DataFrame:
@@ -195,60 +170,66 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int)
     if chosen.agg(F.count_distinct("label")).first()[0] < 2:
         return None
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most TRAIN_ROWS pairs of numbers
-    found = tables(durable(run_counts(rows), "runs"), durable(continuations(docs), "continuations"))
-    slotted = found.mapInArrow(_slotted, "kind int, slot long, a double, b double, c double, d double")
-    table = slotted.groupBy("kind", "slot").agg(*[F.sum(c).alias(c) for c in "abcd"]).toArrow()  # one row a slot
-    kind, slot, *counts = (table.column(c).to_numpy() for c in ("kind", "slot", *"abcd"))
-    return Evidence(kind, slot, np.stack(counts, axis=1))
+    found = ratios(durable(run_counts(rows), "runs"), durable(continuations(docs), "continuations"))
+    runs, contexts = (dict(zip(*(t.column(c).to_pylist() for c in ("run", "ratio")), strict=True)) for t in (f.toArrow() for f in found))
+    return Evidence(runs, contexts)
+
+
+SIGNS = ["gain", "excess"]
 
 
 def evidence(docs: DataFrame, keep: list[str], known: Evidence) -> DataFrame:
-    """The ``keep`` columns in a struct ``row``, and ``evidence`` (mean log ratio of a word beyond the margin) of each whole text."""
+    """The ``keep`` columns in a struct ``row``, with ``gain`` and ``excess`` of each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def make():
         memo: dict[str, float] = {}
-        return lambda texts: [pa.array(shared.value.of_texts(texts, memo), pa.float64())]
+        return lambda texts: [pa.array(x, pa.float64()) for x in shared.value.of_texts(texts, memo)]
+
+    return annotate(docs, keep, "text", T.StructType([T.StructField(c, T.DoubleType()) for c in SIGNS]), make)
 
-    return annotate(docs, keep, "text", T.StructType([T.StructField("evidence", T.DoubleType())]), make)
 
+def calibrate(values: np.ndarray, labels: np.ndarray) -> list[float]:
+    """Weights of the logistic curve of the label: a constant, then one of each sign (penalised, by Newton's method).
 
-def calibrate(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Centre and slope of the logistic curve of the label in the evidence (penalised, by Newton's method)."""
+    More excess never speaks for ordinary text, and a text without evidence is not toxic.
+    """
     if not len(values) or labels.min() == labels.max():
-        return 0.1, 40.0
-    scale = float(values.std()) or 1.0
-    design = np.stack([np.ones(len(values)), (values - values.mean()) / scale], axis=1)
-    weights = np.zeros(2)
+        return [-4.0, 0.0, 40.0]
+    centre, scale = values.mean(axis=0), np.where(values.std(axis=0) > 0, values.std(axis=0), 1.0)
+    design = np.column_stack([np.ones(len(values)), (values - centre) / scale])
+    weights, penalty = np.zeros(design.shape[1]), np.array([1e-6] + [0.05] * values.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        gradient = design.T @ (p - labels) + 0.05 * np.array([0.0, weights[1]])
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-6, 0.05])
+        gradient = design.T @ (p - labels) + penalty * np.r_[0.0, weights[1:]]
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         weights -= step
         if np.abs(step).max() < 1e-8:
             break
-    slope = max(weights[1], 1e-3) / scale
-    return float(values.mean() - weights[0] / max(weights[1], 1e-3) * scale), float(slope)
+    slopes = weights[1:] / scale
+    slopes[-1] = max(slopes[-1], 1e-3)
+    return [min(float(weights[0] - slopes @ centre), -1e-3), *map(float, slopes)]
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
-    """One row for each document: ``doc_id, held_out, score, predicted, evidence``."""
+    """One row for each document: ``doc_id, held_out, score, predicted, gain, excess``."""
     key = F.col("doc_id")
     known = learn(docs, labels, label, folds, fold)
     if known is None:
         nothing = docs.select("doc_id", held_out(key, folds, fold).alias("held_out"), F.lit(0.0).alias("score"))
-        return nothing.select("*", F.lit(0).alias("predicted"), F.lit(0.0).alias("evidence"))
+        return nothing.select("*", F.lit(0).alias("predicted"), *[F.lit(0.0).alias(c) for c in SIGNS])
     apart = sample(labels, held_out(key, folds, (fold + 1) % folds), label, CALIBRATION_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(apart), "doc_id")  # at most CALIBRATION_ROWS pairs
-    found = evidence(rows, ["label"], known).select("row.label", "evidence").toPandas()
-    centre, slope = calibrate(found["evidence"].to_numpy(), found["label"].to_numpy())
-    scored = evidence(docs, ["doc_id"], known).select("row.doc_id", "evidence")
-    probability = 1.0 / (1.0 + F.exp(-(F.greatest(F.least((F.col("evidence") - centre) * slope, F.lit(35.0)), F.lit(-35.0)))))
+    found = evidence(rows, ["label"], known).select("row.label", *SIGNS).toPandas()
+    constant, *slopes = calibrate(found[SIGNS].to_numpy(), found["label"].to_numpy())
+    scored = evidence(docs, ["doc_id"], known).select("row.doc_id", *SIGNS)
+    odds = sum((F.col(c) * w for c, w in zip(SIGNS, slopes, strict=True)), F.lit(constant))
+    probability = 1.0 / (1.0 + F.exp(-F.greatest(F.least(odds, F.lit(35.0)), F.lit(-35.0))))
     return scored.select(
         "doc_id",
         held_out(key, folds, fold).alias("held_out"),
         probability.alias("score"),
         (probability >= THRESHOLD).cast("int").alias("predicted"),
-        "evidence",
+        *SIGNS,
     )
