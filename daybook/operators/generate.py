@@ -7,9 +7,11 @@ but not the sequence of any particular random generator.
 from __future__ import annotations
 
 import datetime as dt
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daybook.functions import fields as fx
@@ -31,8 +33,9 @@ FIRST_NAMES = ("Ada", "Bruno", "Carla", "Dmitri", "Elif", "Farid", "Greta", "Hug
 LAST_NAMES = ("Ahmed", "Bauer", "Costa", "Dubois", "Evans", "Fischer", "García", "Hansen", "Ivanov", "Jansen")
 STREETS = ("Birch Ave", "Cedar Lane", "Elm St", "Harbour Rd", "King St", "Lake Shore", "Mill Rd", "Oak Cres")
 MAX_LIST = 10_000
-# Two numbers per row, 16 MB of data.
-MAX_BROADCAST_ACCOUNTS = 1_000_000
+# Taken pair numbers that a stretch holds on average, and rounds of the permutation of free ones.
+TAKEN_IN_STRETCH = 4096
+PERMUTATION_ROUNDS = 32
 
 
 @dataclass(frozen=True)
@@ -112,46 +115,83 @@ def draw_ids(spark: SparkSession, n: int, used: DataFrame, key: str, seed: int,
     return good.select("row", key)
 
 
+def permuted(x: Column, size: int, key: int) -> Column:
+    """A keyed permutation of the numbers below ``size`` (swap or not): a bijection for every size, without a sort."""
+    draw = random.Random(key)
+    offsets = F.array(*[F.lit(draw.randrange(size)).cast("bigint") for _ in range(PERMUTATION_ROUNDS)])
+
+    def swapped(value: Column, offset: Column) -> Column:
+        other = F.pmod(offset - value, F.lit(size).cast("bigint"))
+        swap = F.xxhash64(F.lit(key), offset, F.greatest(value, other)).bitwiseAND(F.lit(1)) == 1
+        return F.when(swap, other).otherwise(value)
+
+    return F.aggregate(offsets, x, swapped)
+
+
+def free_numbers(taken: DataFrame, n_taken: int, size: int, ranks: DataFrame) -> DataFrame:
+    """``row, number``: for each ``row, rank`` the number below ``size`` that has ``rank`` free numbers before it.
+
+    ``taken`` (``number``, distinct) is counted by stretches of numbers; the stretch of a rank is found by an equi-join
+    over cells of ranks, and only stretches that a rank falls into have their taken numbers looked at, in order.
+    """
+    spark = taken.sparkSession
+    n_stretches = max(1, min(size, n_taken // TAKEN_IN_STRETCH))
+    stretch = -(-size // n_stretches)
+    counted = taken.groupBy(F.expr(f"number div {stretch}").alias("stretch")).agg(F.count(F.lit(1)).alias("used"))
+    stretches = spark.range(n_stretches).select(F.col("id").alias("stretch")).join(counted, "stretch", "left")
+    held = F.greatest(F.least(F.lit(stretch), F.lit(size) - F.col("stretch") * stretch), F.lit(0)) - F.coalesce("used", F.lit(0))
+    upto = F.sum("free").over(W.orderBy("stretch").rowsBetween(W.unboundedPreceding, 0))
+    stretches = stretches.withColumn("free", held).withColumn("before", upto - F.col("free")).where(F.col("free") > 0)
+    cell = max(1, (size - n_taken) // n_stretches)
+    cells = F.sequence(F.expr(f"before div {cell}"), F.expr(f"(before + free - 1) div {cell}"))
+    placed = durable(stretches.select("stretch", "before", "free", F.explode(cells).alias("cell")), "stretches")
+    inside = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("free"))
+    found = ranks.withColumn("cell", F.expr(f"rank div {cell}")).join(placed, "cell").where(inside)
+    asked = durable(found.select("row", "stretch", (F.col("rank") - F.col("before")).alias("nth")), "ranks")
+    # A taken number pushes on every free one at or after its own rank among the free: count those per rank.
+    used = taken.withColumn("stretch", F.expr(f"number div {stretch}"))
+    used = used.join(asked.select("stretch").distinct(), "stretch", "left_semi")
+    nth_used = F.row_number().over(W.partitionBy("stretch").orderBy("number")) - 1
+    used = used.select("stretch", (F.col("number") - F.col("stretch") * stretch - nth_used).alias("at"), F.lit(None).cast("bigint").alias("row"))
+    both = used.unionByName(asked.select("stretch", F.col("nth").alias("at"), "row"))
+    order = W.partitionBy("stretch").orderBy("at", F.col("row").asc_nulls_first())
+    pushed = F.sum(F.when(F.col("row").isNull(), 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, 0))
+    number = F.col("stretch") * stretch + F.col("at") + pushed
+    return both.withColumn("number", number).where(F.col("row").isNotNull()).select("row", "number")
+
+
 def unused_pairs(
     accounts: DataFrame, customers: DataFrame, pairs: DataFrame, n: int, seed: int, date: dt.date
 ) -> DataFrame:
-    """The first ``n`` unused (account, customer) pairs in a seeded order, without forming the product.
+    """``n`` unused (account, customer) pairs, chosen by the seed, without forming the product.
 
-    Pair number t stands for account t div C and customer t mod C of the shuffled pools. At most as many numbers
-    as there are existing pairs can be taken, so the first n plus that many always hold n unused ones.
+    Pair number t stands for account t div C and customer t mod C in order of their IDs. The unused pairs are the free
+    numbers; a keyed permutation of their ranks gives the first n of a random order, and each rank's number follows
+    from how many taken numbers lie below it. Existing pairs are counted once; everything else is work in n.
     """
     spark = accounts.sparkSession
     ranked = {}
     for key, pool in (("account_id", accounts), ("customer_id", customers)):
-        shuffled = pool.select(key).distinct().withColumn("draw", _draw(seed, date, f"shuffle-{key}", F.col(key)))
-        ranked[key] = with_position(shuffled, ["draw", key], f"{key}_position").drop("draw")
+        ranked[key] = with_position(pool.select(key).distinct(), [key], f"{key}_position")
     n_accounts, n_customers = ranked["account_id"].count(), ranked["customer_id"].count()
+    number = F.col("account_id_position") * n_customers + F.col("customer_id_position")
     taken = pairs.select("account_id", "customer_id").distinct()
-    n_taken = (
-        taken.join(ranked["account_id"].select("account_id"), "account_id", "left_semi")
-        .join(ranked["customer_id"].select("customer_id"), "customer_id", "left_semi")
-        .count()
-    )
-    if n > n_accounts * n_customers - n_taken:
-        raise ValueError(f"{n} pairs asked for, {n_accounts * n_customers - n_taken} are unused")
-    n_numbers = min(n + n_taken, n_accounts * n_customers)
-    # Few accounts with many customers each would be hot join keys, but then they are few enough to broadcast.
-    n_used_accounts = -(-n_numbers // max(n_customers, 1))
-    used_accounts = ranked["account_id"].where(F.col("account_id_position") < n_used_accounts)
-    if n_used_accounts <= MAX_BROADCAST_ACCOUNTS:
-        used_accounts = F.broadcast(used_accounts)
-    numbers = spark.range(n_numbers).select(
-        F.col("id").alias("number"),
-        F.expr(f"id div {max(n_customers, 1)}").alias("account_id_position"),
-        (F.col("id") % max(n_customers, 1)).alias("customer_id_position"),
-    )
-    decoded = (
-        numbers.join(ranked["customer_id"], "customer_id_position")
-        .join(used_accounts, "account_id_position")
-        .join(taken, ["account_id", "customer_id"], "left_anti")
+    taken = taken.join(ranked["account_id"], "account_id").join(ranked["customer_id"], "customer_id")
+    taken = durable(taken.select(number.alias("number")), "taken")
+    n_taken = taken.count()
+    n_free = n_accounts * n_customers - n_taken
+    if n > n_free:
+        raise ValueError(f"{n} pairs asked for, {n_free} are unused")
+    if not n:
+        return pairs.select("account_id", "customer_id").limit(0)
+    rank = permuted(F.col("id"), n_free, seed ^ date.toordinal())
+    ranks = spark.range(n).select(F.col("id").alias("row"), rank.alias("rank"))
+    chosen = free_numbers(taken, n_taken, n_accounts * n_customers, ranks).select(
+        F.expr(f"number div {n_customers}").alias("account_id_position"),
+        F.pmod("number", F.lit(n_customers)).alias("customer_id_position"),
     )
-    in_order = with_position(decoded.select("number", "account_id", "customer_id"), ["number"])
-    return in_order.where(F.col("position") < n).select("account_id", "customer_id")
+    decoded = chosen.join(ranked["account_id"], "account_id_position").join(ranked["customer_id"], "customer_id_position")
+    return decoded.select("account_id", "customer_id")
 
 
 def generate(

@@ -1193,11 +1193,34 @@ def gen_self_contained(book):
 
 @query("unused_pairs")
 def unused_pairs(book):
-    """As many unused pairs as there are customers, in the seeded order."""
+    """As many unused pairs as there are customers, chosen by the seed."""
     n = book.table("customer").count()
     return generate.unused_pairs(book.core_account, book.core_customer, book.core_relationship, n, 42, BATCH_DATE)
 
 
+@query("unused_pairs_facts", """
+    SELECT count(*) AS pairs, count(*) AS distinct_pairs, count(*) AS of_members, CAST(0 AS BIGINT) AS in_use,
+           (SELECT count(*) FROM core_account) * (SELECT count(*) FROM core_customer)
+             - (SELECT count(*) FROM core_relationship r SEMI JOIN core_account USING (account_id) SEMI JOIN core_customer USING (customer_id))
+             - count(*) AS left_over
+    FROM customer""")
+def unused_pairs_facts(book):
+    """Of the unused pairs: their number, how many differ, belong to members or are in use, and what is left to draw."""
+    n = book.table("customer").count()
+    pair = ["account_id", "customer_id"]
+    rest = book.core_account.count() * book.core_customer.count() - n
+    drawn = durable(generate.unused_pairs(book.core_account, book.core_customer, book.core_relationship, n, 42, BATCH_DATE), "pairs")
+    members = drawn.join(book.core_account, "account_id", "left_semi").join(book.core_customer, "customer_id", "left_semi")
+    facts = [
+        drawn.agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct(*pair).alias("distinct_pairs")),
+        members.agg(F.count(F.lit(1)).alias("of_members")),
+        drawn.join(book.core_relationship, pair, "left_semi").agg(F.count(F.lit(1)).alias("in_use")),
+        book.core_relationship.select(pair).distinct().join(book.core_account, "account_id", "left_semi")
+        .join(book.core_customer, "customer_id", "left_semi").agg((F.lit(rest) - F.count(F.lit(1))).alias("left_over")),
+    ]
+    return facts[0].select("*", *[f.scalar().alias(f.columns[0]) for f in facts[1:]])
+
+
 @query("value_list_scan", """
     SELECT c_name AS value FROM customer WHERE c_mktsegment NOT IN ('FURNITURE', 'BUILDING')""")
 def value_list_scan(book):

@@ -69,6 +69,25 @@ def test_unused_pairs_and_exhaustion(spark):
         generate.unused_pairs(accounts, customers, taken, free + 1, 42, DATE)
 
 
+def test_a_rank_finds_its_free_number(spark, monkeypatch):
+    monkeypatch.setattr(generate, "TAKEN_IN_STRETCH", 7)
+    size = 503
+    taken = sorted({k * k % size for k in range(150)} | set(range(200, 290)))
+    free = [x for x in range(size) if x not in taken]
+    numbers = spark.createDataFrame([(t,) for t in taken], "number long")
+    ranks = spark.range(len(free)).select(F.col("id").alias("row"), F.col("id").alias("rank"))
+    found = generate.free_numbers(numbers, len(taken), size, ranks).collect()
+    assert [r["number"] for r in sorted(found)] == free
+
+
+def test_the_permutation_is_one_to_one_for_every_size(spark):
+    for size in (1, 2, 97, 1000):
+        found = [r["x"] for r in spark.range(size).select(generate.permuted(F.col("id"), size, 9).alias("x")).collect()]
+        assert sorted(found) == list(range(size))
+    other = [r["x"] for r in spark.range(1000).select(generate.permuted(F.col("id"), 1000, 10).alias("x")).collect()]
+    assert found != other and found != list(range(1000)) and len({b - a for a, b in zip(found, found[1:])}) > 300
+
+
 def test_taken_ids_are_drawn_again(spark):
     nothing = spark.range(0).select(F.col("id").alias("account_id"))
     first = generate.draw_ids(spark, 20, nothing, "account_id", 42, DATE)
