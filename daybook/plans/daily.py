@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions import fields as fx
-from daybook.operators import admission, merge, posting, references, rules
+from daybook.operators import admission, audits, merge, posting, references, rules
 from daybook.operators.staging import staged_counts
 from daybook.plans import backfill
 from daybook.plans.store import BUCKETS, SNAPSHOT, Store
@@ -141,7 +141,9 @@ class Ledger:
         partition = f"batch_date={date}/batch_run_id={run_id}"
         appended = posting.ledger_rows(unposted, run_id).drop("batch_date", "batch_run_id")
         posted_path = f"{store.root}/ledger/{partition}"
-        write_bucketed(appended, posted_path, ["transaction_id"], store.buckets)
+        gate = audits.Gate("transaction")
+        write_bucketed(gate.watch(appended), posted_path, ["transaction_id"], store.buckets)
+        gate.close()
         posted = self.spark.read.schema(appended.schema).parquet(posted_path)
         counts["transaction"] = posted.count()
 
@@ -157,8 +159,14 @@ class Ledger:
 
     def _merge_state(self, record: str, run: str, staged: DataFrame) -> str:
         """The manifest of a current-state table after a merge of ``staged`` into the buckets it touches."""
-        keys = list(LAYOUTS[record].keys)
-        return self.store.write_state(record, run, staged, lambda current: merge.upsert_audited(current, staged, keys))
+        keys, gate = list(LAYOUTS[record].keys), audits.Gate(record)
+
+        def merged(current: DataFrame) -> DataFrame:
+            return gate.watch(merge.upsert_audited(current, staged, keys))
+
+        manifest = self.store.write_state(record, run, staged, merged)
+        gate.close()
+        return manifest
 
     def _move_balances(self, run: str, created: DataFrame, posted: DataFrame, moved: DataFrame) -> str:
         """The manifest of the balances after postings; ``moved`` holds the accounts created or posted to."""

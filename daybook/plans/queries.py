@@ -440,14 +440,21 @@ def first_violation(book):
     UNION ALL
     SELECT 'snapshot_header', CAST(batch_date AS VARCHAR), count(*) FROM md_delta c
     WHERE NOT EXISTS (SELECT 1 FROM attempt p WHERE p.batch_date = c.batch_date AND p.status = 'COMPLETED')
-    GROUP BY batch_date""")
+    GROUP BY batch_date
+    UNION ALL
+    SELECT 'snapshot_run', strftime(batch_date, '%Y%m%d') || '-2,' || CAST(batch_date AS VARCHAR), count(*) FROM md_delta c
+    WHERE day(batch_date) >= 15
+      AND NOT EXISTS (SELECT 1 FROM attempt p WHERE p.batch_date = c.batch_date AND p.k = 2) GROUP BY batch_date""")
 def fk_audit(book):
     accounts = rules.effective_accounts(book.core_account, book.stg_account)
     customers = merge.upsert(book.core_customer, book.stg_customer.dropDuplicates(["customer_id"]), ["customer_id"])
     opening = book.core_balance.unionByName(merge.initial_balances(new_accounts(book)))
     first_run = F.concat(F.date_format("batch_date", "yyyyMMdd"), F.lit("-1")).alias("batch_run_id")
     headers = book.attempts.where(F.col("status") == "COMPLETED").select("batch_date")
+    second_run = F.concat(F.date_format("batch_date", "yyyyMMdd"), F.lit("-2")).alias("batch_run_id")
+    late = backfill.daily_deltas(backfill.winners(book.transaction_feed)).where(F.dayofmonth("batch_date") >= 15)
     return audits.fk_audit([
+        ("snapshot_run", late.select(second_run, "batch_date"), book.attempts, ["batch_run_id", "batch_date"]),
         ("relationship_account", book.stg_relationship, accounts, ["account_id"]),
         ("relationship_customer", book.stg_relationship, customers, ["customer_id"]),
         ("balance_account", opening, book.core_account, ["account_id"]),
@@ -573,7 +580,7 @@ def ledger_immutability(book):
     return audits.immutability(book.core_transaction, later, ["transaction_id"])
 
 
-@query("snapshot_immutability", """
+SQL_OF_SNAPSHOTS = """
     SELECT CAST(b.batch_date AS VARCHAR) AS batch_date, b.account_id,
            CASE WHEN a.account_id IS NULL THEN 'vanished' ELSE 'changed' END AS change
     FROM (SELECT account_id, batch_date, sum(delta) OVER (PARTITION BY account_id ORDER BY batch_date) AS balance
@@ -584,7 +591,10 @@ def ledger_immutability(book):
             FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY batch_date DESC, source_line DESC)
                     AS rn FROM txn_feed) WHERE rn = 1 GROUP BY account_id, batch_date)) a
       ON a.account_id = b.account_id AND a.batch_date = b.batch_date
-    WHERE a.account_id IS NULL OR a.balance <> b.balance""")
+    WHERE a.account_id IS NULL OR a.balance <> b.balance"""
+
+
+@query("snapshot_immutability", SQL_OF_SNAPSHOTS)
 def snapshot_immutability(book):
     """Snapshots of the first postings against those a last-one-wins rewrite would give."""
     last = merge.latest_record(
@@ -597,6 +607,17 @@ def snapshot_immutability(book):
     )
 
 
+@query("snapshot_immutability_by_digest", SQL_OF_SNAPSHOTS)
+def snapshot_immutability_by_digest(book):
+    """As ``snapshot_immutability``, with rows compared only where the digests of a date differ."""
+    last = merge.latest_record(
+        book.transaction_feed.drop("source_file"), ["transaction_id"], ["batch_date", "source_line"]
+    )
+    before = durable(backfill.closing_balances(backfill.winners(book.transaction_feed)), "snapshots-before")
+    after = durable(backfill.closing_balances(last), "snapshots-after")
+    return audits.immutability_by_digest(before, after, ["batch_date", "account_id"], ["batch_date"])
+
+
 # Staging and control
 
 @query("staging_by_date", """
