@@ -720,6 +720,48 @@ def batch_admission(book):
     )
 
 
+_RUNNING_DATE = "(SELECT min(batch_date) FROM attempt WHERE batch_date >= DATE '1999-01-01')"
+
+
+@query("admission_while_running", f"""
+    SELECT CAST(batch_date AS VARCHAR) AS batch_date,
+           CASE WHEN done OR batch_date = {_RUNNING_DATE} THEN 'ingest_locked' ELSE 'ok' END AS ingest,
+           CASE WHEN done THEN 'noop' ELSE 'blocked_running' END AS process, 'blocked_running' AS job
+    FROM (SELECT batch_date, EXISTS (SELECT 1 FROM attempt a WHERE a.batch_date = b.batch_date AND a.status = 'COMPLETED'
+                                     AND a.batch_date < DATE '1999-01-01') AS done FROM business_day b) d""")
+def admission_while_running(book):
+    """The first attempt of 1999 runs, later ones have not begun: it blocks its own date and all others."""
+    dates, events = book.business_dates.select("batch_date"), book.run_events
+    first = book.attempts.where(F.col("batch_date") >= fx.day("1999-01-01")).agg(F.min("batch_date")).scalar()
+    open_run = (F.col("batch_date") == first) & (F.col("status") == "RUNNING") & F.col("batch_run_id").endswith("-1")
+    runs = admission.current_runs(events.where((F.col("batch_date") < fx.day("1999-01-01")) | open_run))
+    nothing = dates.limit(0)
+    return admission.batch_admission(dates, runs, dates, nothing, nothing)
+
+
+@query("admission_after_failed_launches", """
+    SELECT CAST(batch_date AS VARCHAR) AS batch_date, CASE WHEN done THEN 'ingest_locked' ELSE 'ok' END AS ingest,
+           CASE WHEN done THEN 'noop' WHEN batch_date < latest THEN 'out_of_order' ELSE 'run' END AS process,
+           CASE WHEN batch_date > unfinished THEN 'blocked_by_earlier' WHEN done THEN 'noop'
+                WHEN batch_date < latest THEN 'out_of_order' ELSE 'run' END AS job
+    FROM (SELECT batch_date, EXISTS (SELECT 1 FROM attempt a WHERE a.batch_date = b.batch_date AND a.status = 'COMPLETED'
+                                     AND a.batch_date < DATE '2000-01-01') AS done,
+                 (SELECT max(batch_date) FROM attempt WHERE status = 'COMPLETED' AND batch_date < DATE '2000-01-01') AS latest,
+                 (SELECT min(batch_date) FROM business_day WHERE day(batch_date) = 20 AND year(batch_date) >= 2000
+                  AND month(batch_date) % 2 = 1) AS unfinished
+          FROM business_day b) d""")
+def admission_after_failed_launches(book):
+    """Launches on the 20th fail from 2000 on; in even months they are repeated and end well, in odd ones they block."""
+    date, dates = F.col("batch_date"), book.business_dates.select("batch_date")
+    runs = admission.current_runs(book.run_events.where(date < fx.day("2000-01-01")))
+    fails = (F.dayofmonth(date) == 20) & (F.year(date) >= 2000)
+    ends = F.when(fails & (F.month(date) % 2 == 0), F.array(*map(F.lit, ("STARTED", "FAILED", "STARTED", "COMPLETED"))))
+    ends = ends.when(fails, F.array(*map(F.lit, ("STARTED", "FAILED")))).otherwise(F.array(*map(F.lit, ("STARTED", "COMPLETED"))))
+    events = dates.select("batch_date", F.posexplode(ends).alias("at", "status"))
+    jobs = events.select((F.unix_date(date) * 10 + F.col("at")).cast("bigint").alias("number"), "batch_date", "status")
+    return admission.batch_admission(dates, runs, dates, dates, dates.limit(0), jobs)
+
+
 def _listing(book: Book) -> DataFrame:
     """A directory listing with one trigger per business date, in the state its day suggests."""
     day = F.dayofmonth("batch_date")
