@@ -24,6 +24,9 @@ from daybook.sources.buckets import BucketedTable, BucketVersions
 #: Buckets of the ledger and of each current-state table, fixed when a ledger is created. As many as keep a bucket's
 #: part of the ledger within a task.
 BUCKETS = 16
+#: Log entries after which the log is joined to a checkpoint.
+ENTRIES_APART = 64
+TO_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 EVENT = T.StructType([
     T.StructField("number", T.LongType()),
@@ -58,7 +61,7 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         self._read: tuple[list[str], list[Row]] = ([], [])
-        for name in ("log", "ledger", "snapshot"):
+        for name in ("log", "checkpoints", "ledger", "snapshot"):
             files.make_directory(spark, f"{self.root}/{name}")
         layout = f"{self.root}/layout.json"
         if not files.exists(spark, layout):
@@ -68,12 +71,35 @@ class Store:
         self.posted = BucketedTable(spark, f"{self.root}/ledger", schemas.LEDGER, ["transaction_id"], self.buckets, by)
 
     def entries(self) -> list[Row]:
-        """The log's events in order, a few per batch date; read again only when an entry was added."""
+        """The log's events in order, a few per batch date.
+
+        What was read before is kept, so an added entry costs one small file; a store that is opened reads the newest
+        checkpoint and the entries after it.
+        """
         names = files.names(self.spark, f"{self.root}/log")
-        if names != self._read[0]:
-            rows = self.spark.read.schema(EVENT).json(f"{self.root}/log").orderBy("number").collect()
-            self._read = (names, rows)
-        return self._read[1]
+        known, rows = self._read
+        if not known and (saved := files.names(self.spark, f"{self.root}/checkpoints")):
+            known = [n for n in names if n <= saved[-1]]
+            rows = self._events_of([f"{self.root}/checkpoints/{saved[-1]}"])
+        fresh = [n for n in names if not known or n > known[-1]]
+        if fresh:
+            rows = rows + self._events_of([f"{self.root}/log/{n}" for n in fresh])
+        self._read = (names, rows)
+        return rows
+
+    def _events_of(self, paths: list[str]) -> list[Row]:
+        return self.spark.read.schema(EVENT).json(paths).orderBy("number").collect()
+
+    def _save_checkpoint(self) -> None:
+        """Join the entries so far to one file, named by the last of them. Entries stay; a writer that fails here loses
+        nothing."""
+        rows, (names, _) = self.entries(), self._read
+        saved = files.names(self.spark, f"{self.root}/checkpoints")
+        if sum(not saved or n > saved[-1] for n in names) < ENTRIES_APART:
+            return
+        text = self.spark.createDataFrame(rows, EVENT).orderBy("number").select(F.to_json(F.struct(*EVENT.names), TO_JSON).alias("line"))
+        lines = [r["line"] for r in text.collect()]  # the log itself, which the store holds anyway
+        files.create_file(self.spark, f"{self.root}/checkpoints/{names[-1]}", "\n".join(lines) + "\n")
 
     def events(self) -> DataFrame:
         return local_rows(self.spark, [e.asDict() for e in self.entries()], EVENT)
@@ -88,6 +114,7 @@ class Store:
             entry = {"at": now, **event, "number": number}
             lines.append(json.dumps({k: str(v) if isinstance(v, dt.date) else v for k, v in entry.items()}))
         files.create_file(self.spark, f"{self.root}/log/{last + 1:012d}.json", "\n".join(lines) + "\n")
+        self._save_checkpoint()
 
     def runs(self) -> DataFrame:
         from daybook.operators.admission import current_runs
