@@ -13,12 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions import fields as fx
 from daybook.functions.ranking import with_position
 from daybook.operators.references import eligible_accounts
 from daybook.schemas import ACCOUNT_TYPES, LAYOUTS, RELATIONSHIP_TYPES, TRANSACTION_TYPES
-from daybook.session import durable
+from daybook.session import durable, local_rows
 from daybook.sources import files, fixed_width
 
 # Ranges and constant fields of generated records.
@@ -28,11 +29,10 @@ MAX_HOUSE_NUMBER = 9_999
 CITY, PROVINCE, POSTAL_CODE, COUNTRY = "Toronto", "ON", "M5V 2T6", "Canada"
 NAME_WIDTH, STREET_WIDTH = 10, 15
 
-# Default values for names and streets; pass other lists from ``sources.values``.
+# Default values for names and streets; pass tables of ``sources.values`` for lists of any length.
 FIRST_NAMES = ("Ada", "Bruno", "Carla", "Dmitri", "Elif", "Farid", "Greta", "Hugo", "Ines", "Zoë")
 LAST_NAMES = ("Ahmed", "Bauer", "Costa", "Dubois", "Evans", "Fischer", "García", "Hansen", "Ivanov", "Jansen")
 STREETS = ("Birch Ave", "Cedar Lane", "Elm St", "Harbour Rd", "King St", "Lake Shore", "Mill Rd", "Oak Cres")
-MAX_LIST = 10_000
 # Taken pair numbers that a stretch holds on average, and rounds of the permutation of free ones.
 TAKEN_IN_STRETCH = 4096
 PERMUTATION_ROUNDS = 32
@@ -88,11 +88,29 @@ def _draw(seed: int, date: dt.date, purpose: str, *on: Column) -> Column:
 
 
 def _pick(draw: Column, values: tuple[str, ...]) -> Column:
-    if not 0 < len(values) <= MAX_LIST:
-        raise ValueError(f"a value list holds 1 to {MAX_LIST} values")
+    """One of a fixed list of codes."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(draw, F.lit(len(values))) + 1).cast("int"))
 
 
+def drawn(rows: DataFrame, draw: Column, values: tuple[str, ...] | DataFrame, name: str) -> DataFrame:
+    """``rows`` with a value drawn from a list, by joining its position in the list.
+
+    A list is a table with ``value``, in order of its values, or a tuple in its own order. A short one is broadcast by
+    its size; a long one is shuffled, and its positions are drawn evenly. A value that stands twice is drawn twice as often.
+    """
+    spark = rows.sparkSession
+    if isinstance(values, DataFrame):
+        ranked = with_position(values.select(F.col("value").alias(name)), [name], "_at")
+    else:
+        schema = T.StructType([T.StructField("_at", T.LongType()), T.StructField(name, T.StringType())])
+        ranked = local_rows(spark, [{"_at": i, name: v} for i, v in enumerate(values)], schema)
+    n = ranked.count()
+    if not n:
+        raise ValueError(f"no value to draw {name} from")
+    at = rows.withColumn("_at", F.pmod(draw, F.lit(n)))
+    return at.join(ranked, "_at").drop("_at")
+
+
 def draw_ids(spark: SparkSession, n: int, used: DataFrame, key: str, seed: int, date: dt.date) -> DataFrame:
     """``n`` positive IDs (row, key), distinct and unused. Rows whose draw is taken are drawn again."""
 
@@ -198,9 +216,9 @@ def generate(
     spark: SparkSession,
     drawn_from: Pools,
     request: Request,
-    first_names: tuple[str, ...] = FIRST_NAMES,
-    last_names: tuple[str, ...] = LAST_NAMES,
-    streets: tuple[str, ...] = STREETS,
+    first_names: tuple[str, ...] | DataFrame = FIRST_NAMES,
+    last_names: tuple[str, ...] | DataFrame = LAST_NAMES,
+    streets: tuple[str, ...] | DataFrame = STREETS,
 ) -> dict[str, DataFrame]:
     """The four record sets of a batch. New customers and accounts may be used by its own relationships and
     transactions; transactions go to open accounts only."""
@@ -212,11 +230,14 @@ def generate(
         spark, request.transactions, drawn_from.used_transactions, "transaction_id", seed, date
     )
     house = F.pmod(_draw(seed, date, "house", row), F.lit(MAX_HOUSE_NUMBER)) + 1
-    customers = customer_ids.select(
+    named = customer_ids
+    for name, purpose, values in (("first_name", "first", first_names), ("last_name", "last", last_names), ("street", "street", streets)):
+        named = drawn(named, _draw(seed, date, purpose, row), values, name)
+    customers = named.select(
         "customer_id",
-        _pick(_draw(seed, date, "first", row), first_names).alias("first_name"),
-        _pick(_draw(seed, date, "last", row), last_names).alias("last_name"),
-        F.concat_ws(" ", house.cast("string"), _pick(_draw(seed, date, "street", row), streets)).alias("address_line1"),
+        "first_name",
+        "last_name",
+        F.concat_ws(" ", house.cast("string"), "street").alias("address_line1"),
         F.lit(CITY).alias("city"),
         F.lit(PROVINCE).alias("province"),
         F.lit(POSTAL_CODE).alias("postal_code"),

@@ -1224,6 +1224,27 @@ def gen_batch(book):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+@query("gen_batch_values", """
+    SELECT 'first_name' AS field, substr(r_name, 1, 10) AS value, NULL::BIGINT AS customers FROM region
+    UNION ALL SELECT DISTINCT 'last_name', substr(c_mktsegment, 1, 10), NULL::BIGINT FROM customer
+    UNION ALL SELECT 'address_line1', 'Pier', count(*) FROM customer""")
+def gen_batch_values(book):
+    """Customers generated from lists of the given tables: each value of the lists that was drawn, streets from a list of one."""
+    lists = [
+        book.table("region").select(F.substring("r_name", 1, 10).alias("value")),
+        book.table("customer").select(F.substring("c_mktsegment", 1, 10).alias("value")).distinct(),
+        book.spark.range(1).select(F.lit("Pier").alias("value")),
+    ]
+    request = generate.Request(BATCH_DATE, book.table("customer").count(), 0, 0, 0, seed=42)
+    batch = generate.generate(book.spark, generate.pools(_state(book), _staged(book), BATCH_DATE), request, *lists)
+    made = durable(batch["customer"], "generated")
+    none = F.lit(None).cast("bigint").alias("customers")
+    names = [made.select(F.lit(c).alias("field"), F.col(c).alias("value"), none).distinct() for c in ("first_name", "last_name")]
+    street = F.regexp_extract("address_line1", r"\A[1-9][0-9]{0,3} (.*)\z", 1).alias("value")
+    counted = made.groupBy(street).agg(F.count(F.lit(1)).alias("customers"))
+    return reduce(DataFrame.unionByName, [*names, counted.select(F.lit("address_line1").alias("field"), "value", "customers")])
+
+
 @query("gen_self_contained", """
     SELECT constraint_name, CAST(0 AS BIGINT) AS orphans
     FROM (VALUES ('relationship_account'), ('relationship_customer'), ('transaction_account'),

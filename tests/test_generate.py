@@ -88,6 +88,19 @@ def test_the_permutation_is_one_to_one_for_every_size(spark):
     assert found != other and found != list(range(1000)) and len({b - a for a, b in zip(found, found[1:])}) > 300
 
 
+def test_values_are_drawn_from_lists_of_any_length(spark):
+    values = spark.range(20_000).select(F.concat(F.lit("v"), F.col("id")).alias("value"))
+    rows = spark.range(3000).select(F.col("id").alias("row"))
+    draw = generate._draw(4, DATE, "first", F.col("row"))
+    found = [generate.drawn(rows, draw, values, "first_name").collect() for _ in range(2)]
+    assert sorted(found[0]) == sorted(found[1]) and sorted(r["row"] for r in found[0]) == list(range(3000))
+    assert len({r["first_name"] for r in found[0]}) > 2500
+    plan = generate.drawn(rows, draw, values, "first_name")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "v19999" not in plan
+    with pytest.raises(ValueError, match="no value to draw first_name from"):
+        generate.drawn(rows, draw, values.limit(0), "first_name")
+
+
 def test_taken_ids_are_drawn_again(spark):
     nothing = spark.range(0).select(F.col("id").alias("account_id"))
     first = generate.draw_ids(spark, 20, nothing, "account_id", 42, DATE)
