@@ -131,7 +131,7 @@ class Gate:
         return rows.observe(self.seen, F.count(F.lit(1)).alias("rows"), *found)
 
     def close(self) -> None:
-        """Refuse the write if a check was broken. Nothing was watched where nothing was written."""
+        """Refuse the write if a check was broken. To be called where rows were written: an empty plan has no counts."""
         broken = {k: n for k, n in self.seen.get.items() if n and k != "rows"} if self.seen else {}
         if broken:
             raise BrokenConstraint(f"{self.record}: " + ", ".join(f"{k} broken by {n}" for k, n in sorted(broken.items())))
