@@ -3,12 +3,17 @@
 Four base measures are taken from every whole text. From them come rates as whole numbers, whose distribution in
 each (language, source) is kept as a mergeable quantile sketch: a histogram over a fixed grid of buckets that is
 exact below 1,024 and keeps ten significant bits above (relative error under 0.2 %). Adding bucket counts merges
-sketches, in any order and with the same result. Fences ``q3 + max(3 (q3 - q1), slack)`` (and their mirror image
-for word lengths) replace fixed cutoffs; documents are joined with the fences of their group and judged.
+sketches, in any order and with the same result. Sketches are of the documents that pass the base rules.
+
+Fences replace fixed cutoffs: an upper quantile of the group, and ``SPREAD`` times its distance from the median beyond
+it (mirrored below for word lengths). ``GUARD`` only keeps a group of equal rates from judging by a single word. The
+fence of a language is drawn towards that of all documents and that of a (language, source) towards its language's, as
+if ``PRIOR`` documents spoke for the wider group: the pull fades smoothly as a group grows. Documents are joined with
+the fences of their group and judged.
 
 Defined cases: a null or empty text has no words and fails the base rules; null languages and sources form groups of
-their own; a group with fewer than ``support`` documents takes the merged sketch of its language, then that of all
-documents; repeated rows count and are judged as often as they occur; an empty table gives an empty result.
+their own; a text of any length is measured whole; repeated rows count and are judged as often as they occur; columns
+beside ``text, lang, source`` are carried in ``row`` whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,11 +31,13 @@ from daybook.llm.common import SPACE, annotate
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-#: Rates judged by an upper fence, with the least distance (in the rate's unit) between a fence and its quartile.
-UPPER_SLACK = {"symbol_rate": 200, "dup_line_rate": 500, "repeat_rate": 450, "word_length": 200}
-LOWER_SLACK = {"word_length": 200}
-SPREAD = 3
-SUPPORT = 200
+#: Rates judged by an upper fence, with the quantile (in percent) it is taken from; and by a lower one.
+UPPER = {"symbol_rate": 90, "dup_line_rate": 98, "repeat_rate": 98, "word_length": 90}
+LOWER = {"word_length": 10}
+#: Quantile distances between a quantile and its fence, a least distance in the rates' unit, documents of a prior.
+SPREAD = 2
+GUARD = 20
+PRIOR = 200
 
 MEASURES = T.StructType([
     T.StructField(name, T.LongType())
@@ -117,9 +124,9 @@ def bucket(value: Column) -> Column:
 
 def sketches(measured: DataFrame) -> DataFrame:
     """``lang, source, rate, bucket, n``: the sketch of each rate in each group. Sketches merge by adding ``n``."""
-    rates = [F.struct(F.lit(r).alias("rate"), bucket(F.col(r)).alias("bucket")) for r in UPPER_SLACK]
+    rates = [F.struct(F.lit(r).alias("rate"), bucket(F.col(r)).alias("bucket")) for r in UPPER]
     return (
-        measured.where(F.col("n_words") > 0)
+        measured.where(~base_failed())
         .select("lang", "source", F.inline(F.array(*rates)))
         .groupBy("lang", "source", "rate", "bucket")
         .agg(F.count("*").alias("n"))
@@ -140,40 +147,50 @@ def fences(sketch: DataFrame) -> DataFrame:
         .groupBy("level", "l", "s", "rate", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    group = W.partitionBy("level", "l", "s", "rate")
-    quartile = lambda q: F.min(F.when(F.col("below") * 4 >= F.col("total") * q, F.col("bucket")))
-    quartiles = (
+    group = W.partitionBy("level", "l", "s", "rate")  # a group has no more rows than the grid has buckets
+    quantile = lambda q: F.min(F.when(F.col("below") * 100 >= F.col("total") * q, F.col("bucket")))
+    tail = lambda of: F.coalesce(*[F.when(F.col("rate") == r, F.lit(q)) for r, q in of.items()])
+    quantiles = (
         merged.withColumn("below", F.sum("n").over(group.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("total", F.sum("n").over(group))
         .groupBy("level", "l", "s", "rate")
-        .agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+        .agg(
+            F.max("total").alias("total"),
+            quantile(50).alias("middle"),
+            quantile(tail(UPPER)).alias("upper"),
+            quantile(tail(LOWER)).alias("lower"),
+        )
     )
-    slack = lambda of: F.coalesce(*[F.when(F.col("rate") == r, F.lit(v)) for r, v in of.items()])
-    spread = (F.col("q3") - F.col("q1")) * SPREAD
-    high = F.col("q3") + F.greatest(spread, slack(UPPER_SLACK))
-    low = F.col("q1") - F.greatest(spread, slack(LOWER_SLACK))
-    limits = [F.max(F.when(F.col("rate") == r, high)).alias(f"{r}_high") for r in UPPER_SLACK]
-    limits += [F.max(F.when(F.col("rate") == r, low)).alias(f"{r}_low") for r in LOWER_SLACK]
-    known = quartiles.groupBy("level", "l", "s").agg(F.max("total").alias("total"), F.struct(*limits).alias("limits"))
+    high = F.col("upper") + (F.col("upper") - F.col("middle")) * SPREAD + GUARD
+    low = F.greatest(F.col("lower") - (F.col("middle") - F.col("lower")) * SPREAD - GUARD, F.lit(0))
+    limits = {f"{r}_high": F.max(F.when(F.col("rate") == r, high)) for r in UPPER}
+    limits |= {f"{r}_low": F.max(F.when(F.col("rate") == r, low)) for r in LOWER}
+    own = F.struct(F.max("total").alias("total"), *[limit.alias(name) for name, limit in limits.items()])
+    known = quantiles.groupBy("level", "l", "s").agg(own.alias("own"))
     asked = sketch.select("lang", "source").distinct()
     asked = asked.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), F.inline(levels()))
-    same = [asked[c].eqNullSafe(known[c]) for c in ("level", "l", "s")]
-    enough = (known["level"] == 0) | (known["total"] >= SUPPORT)
-    return (
-        asked.join(known, same)
-        .where(enough)
+    found = (
+        asked.join(known, [asked[c].eqNullSafe(known[c]) for c in ("level", "l", "s")])
         .groupBy("f_lang", "f_source")
-        .agg(F.max_by("limits", known["level"]).alias("limits"))
-        .select("f_lang", "f_source", "limits.*")
+        .agg(*[F.max(F.when(known["level"] == i, F.col("own"))).alias(f"of_{i}") for i in range(3)])
     )
 
+    def drawn(name: str) -> Column:
+        limit = F.col(f"of_0.{name}")
+        for i in (1, 2):
+            total = F.col(f"of_{i}.total")
+            limit = F.call_function("div", total * F.col(f"of_{i}.{name}") + PRIOR * limit, total + PRIOR)
+        return limit.alias(name)
+
+    return found.select("f_lang", "f_source", *map(drawn, limits))
+
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``, from the fences of each document's group."""
     inside = F.lit(True)
-    for r in UPPER_SLACK:
+    for r in UPPER:
         inside = inside & (F.col(r) <= F.col(f"{r}_high"))
-    for r in LOWER_SLACK:
+    for r in LOWER:
         inside = inside & (F.col(r) >= F.col(f"{r}_low"))
     joined = measured.join(
         limits, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left"

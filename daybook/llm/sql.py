@@ -41,17 +41,20 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM lists LEFT JOIN base USING (row_id) LEFT JOIN held USING (row_id)
 """
 
-_RATES = list(quality_rules.UPPER_SLACK)
+_RATES = list(quality_rules.UPPER)
 _BUCKET = "{0} - {0} % (1::BIGINT << greatest(length(bin({0})) - 10, 0))"
 _STACKED = " UNION ALL ".join(
-    f"SELECT lang, source, '{r}' AS rate, {_BUCKET.format(r)} AS bucket FROM rates WHERE n_words > 0" for r in _RATES
+    f"SELECT lang, source, '{r}' AS rate, {_BUCKET.format(r)} AS bucket FROM rates WHERE NOT base_failed" for r in _RATES
 )
-_SLACKS = ", ".join(
-    f"('{r}', {quality_rules.UPPER_SLACK[r]}, {quality_rules.LOWER_SLACK.get(r, 'NULL')})" for r in _RATES
+_TAILS = ", ".join(f"('{r}', {quality_rules.UPPER[r]}, {quality_rules.LOWER.get(r, 'NULL')})" for r in _RATES)
+_DRAWN = ", ".join(
+    f"(g.total * g.{x} + {quality_rules.PRIOR} * ((l.total * l.{x} + {quality_rules.PRIOR} * a.{x}) // (l.total + {quality_rules.PRIOR})))"
+    f" // (g.total + {quality_rules.PRIOR}) AS {x}"
+    for x in ("high", "low")
 )
 _INSIDE = " AND ".join(
     [f"{r} <= max(CASE WHEN rate = '{r}' THEN high END)" for r in _RATES]
-    + [f"{r} >= max(CASE WHEN rate = '{r}' THEN low END)" for r in quality_rules.LOWER_SLACK]
+    + [f"{r} >= max(CASE WHEN rate = '{r}' THEN low END)" for r in quality_rules.LOWER]
 )
 
 QUALITY_RULES = rf"""
@@ -89,21 +92,27 @@ grouped AS (
   SELECT 2 AS level, lang, source, rate, bucket FROM stacked
   UNION ALL SELECT 1, lang, NULL, rate, bucket FROM stacked
   UNION ALL SELECT 0, NULL, NULL, rate, bucket FROM stacked),
-quartiles AS (
-  SELECT level, lang, source, rate, count(*) AS total,
-         quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-  FROM grouped GROUP BY level, lang, source, rate),
-slacks(rate, up, down) AS (VALUES {_SLACKS}),
+counts AS (SELECT level, lang, source, rate, bucket, count(*)::BIGINT AS n FROM grouped GROUP BY ALL),
+below AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bucket) AS below,
+         sum(n) OVER (PARTITION BY level, lang, source, rate) AS total FROM counts),
+tails(rate, up, down) AS (VALUES {_TAILS}),
+quantiles AS (
+  SELECT level, lang, source, rate, max(total)::BIGINT AS total,
+         min(bucket) FILTER (WHERE below * 100 >= total * 50) AS mid,
+         min(bucket) FILTER (WHERE below * 100 >= total * up) AS upper,
+         min(bucket) FILTER (WHERE below * 100 >= total * down) AS lower
+  FROM below JOIN tails USING (rate) GROUP BY level, lang, source, rate),
 limits AS (
-  SELECT level, lang, source, rate, total, q3 + greatest({quality_rules.SPREAD} * (q3 - q1), up) AS high,
-         q1 - greatest({quality_rules.SPREAD} * (q3 - q1), down) AS low
-  FROM quartiles JOIN slacks USING (rate)),
+  SELECT level, lang, source, rate, total, upper + {quality_rules.SPREAD} * (upper - mid) + {quality_rules.GUARD} AS high,
+         CASE WHEN lower IS NOT NULL
+           THEN greatest(lower - {quality_rules.SPREAD} * (mid - lower) - {quality_rules.GUARD}, 0) END AS low
+  FROM quantiles),
 chosen AS (
-  SELECT g.lang, g.source, l.rate, l.high, l.low FROM (SELECT DISTINCT lang, source FROM stacked) AS g JOIN limits AS l
-    ON (l.level = 2 AND l.lang IS NOT DISTINCT FROM g.lang AND l.source IS NOT DISTINCT FROM g.source)
-    OR (l.level = 1 AND l.lang IS NOT DISTINCT FROM g.lang) OR l.level = 0
-  WHERE l.level = 0 OR l.total >= {quality_rules.SUPPORT}
-  QUALIFY row_number() OVER (PARTITION BY g.lang, g.source, l.rate ORDER BY l.level DESC) = 1),
+  SELECT g.lang, g.source, g.rate, {_DRAWN}
+  FROM limits AS g JOIN limits AS l ON l.level = 1 AND l.rate = g.rate AND l.lang IS NOT DISTINCT FROM g.lang
+    JOIN limits AS a ON a.level = 0 AND a.rate = g.rate
+  WHERE g.level = 2),
 verdicts AS (
   SELECT r.row_id, {_INSIDE} AS inside
   FROM rates AS r JOIN chosen AS c ON r.lang IS NOT DISTINCT FROM c.lang AND r.source IS NOT DISTINCT FROM c.source

@@ -57,8 +57,38 @@ def test_fences_follow_the_group_and_clean_documents_stay(documents):
     assert not any(kept[2000 + i] or kept[3000 + i] for i in range(10))
 
 
+def test_each_rate_has_cutoffs_of_its_group(documents):
+    """Twice the repeats are usual in one source and odd in another, whatever the size of the groups."""
+    draw = random.Random(3)
+
+    def text(lines, again):
+        own = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(5)) for _ in range(lines)]
+        return "\n".join([*own, *own[:again]])
+
+    rows = [(i, text(40, i % 3), "en", "plain") for i in range(400)] + [(400, text(40, 12), "en", "plain")]
+    rows += [(1000 + i, text(40, 6 + i % 3), "en", "songs") for i in range(400)] + [(1400, text(40, 9), "en", "songs")]
+    rows += [(2000 + i, text(40, i % 3), "fr", "tiny") for i in range(12)]
+    kept = {r["doc_id"]: r["kept"] for r in verdicts(documents(rows)).collect()}
+    assert not kept.pop(400)
+    assert all(kept.values())
+
+
+def test_fences_are_drawn_towards_the_wider_group_smoothly(documents):
+    words = lambda n, sign: " ".join(["word" + sign] * n)
+    texts = lambda n, sign, source: [
+        (i, " ".join(f"w{i}x{k}{sign}" for k in range(60)), "en", source) for i in range(n)
+    ]
+    highs = []
+    for n in (5, 20, 80):
+        measured = rules.measure(documents(texts(1000, "", "a") + texts(n, "#", "b") + [(0, words(60, ""), "en", "c")]), ["doc_id"])
+        found = {r["f_source"]: r for r in rules.fences(rules.sketches(measured)).collect()}
+        highs.append(found["b"]["symbol_rate_high"])
+        assert "c" not in found  # its only document fails the base rules
+    assert highs == sorted(highs) and len(set(highs)) == 3 and highs[-1] > 300
+
+
 def test_sketches_merge_to_the_sketch_of_all(documents, spark):
-    rows = [(i, "ab " * (i + 1), "en", "s") for i in range(80)]
+    rows = [(i, " ".join(f"a{k}" for k in range(60 + i)) + "#" * i, "en", "s") for i in range(80)]
     one = rules.sketches(rules.measure(documents(rows), ["doc_id"]))
     parts = [rules.sketches(rules.measure(documents(rows[i::3]), ["doc_id"])) for i in range(3)]
     both = parts[0].union(parts[1]).union(parts[2]).groupBy("lang", "source", "rate", "bucket").agg(F.sum("n").alias("n"))
