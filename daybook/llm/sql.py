@@ -5,7 +5,7 @@ from __future__ import annotations
 from daybook.llm import licenses, quality_rules
 
 _PHRASES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES.items())
-_TEMPLATES = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES)
+_TEMPLATES = ", ".join(f"('{label}', '{must}', '{text}')" for label, must, text in licenses.TEMPLATES)
 _LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 LICENSES = f"""
@@ -24,13 +24,16 @@ base AS (
   SELECT row_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(label) AS labels
   FROM places GROUP BY row_id),
 templates AS (
-  SELECT label, list_distinct(string_split(text, ' ')) AS t FROM (VALUES {_TEMPLATES}) AS v(label, text)),
+  SELECT label, string_split(must, ' ') AS must, list_distinct(string_split(text, ' ')) AS t,
+         CASE WHEN len(string_split(text, ' ')) <= 16 THEN 16 ELSE 32 END AS step
+  FROM (VALUES {_TEMPLATES}) AS v(label, must, text)),
 blocks AS (
-  SELECT row_id, list_distinct(regexp_extract_all(line, '{_LICENSE_WORD}')) AS b
-  FROM (SELECT row_id, unnest(string_split(low, chr(10))) AS line FROM lists)),
+  SELECT row_id, step, list_distinct(words[begun + 1 : begun + 2 * step]) AS b
+  FROM (SELECT row_id, words, step, unnest(range(0, len(words), step)) AS begun FROM lists, (VALUES (16), (32)) AS v(step))),
 held AS (
   SELECT row_id, list(label) AS labels, max(share) AS share FROM (
-    SELECT row_id, label, len(list_intersect(t, b))::DOUBLE / len(t) AS share FROM blocks, templates)
+    SELECT row_id, label, len(list_intersect(t, b))::DOUBLE / len(t) AS share
+    FROM blocks JOIN templates USING (step) WHERE list_has_all(b, must))
   WHERE share >= {licenses.CONTAINMENT} GROUP BY row_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,

@@ -18,12 +18,12 @@ def brute(text):
         found = [i for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
         places += found
         base |= {label} if found else set()
-    for line in lowered(text).split("\n"):
-        held = set(WORD.findall(line))
-        for label, template in licenses.TEMPLATES:
-            wanted = set(template.split())
+    for label, must, template in licenses.TEMPLATES:
+        wanted, size = set(template.split()), 16 if len(template.split()) <= 16 else 32
+        for at in range(0, len(words), size):
+            held = set(words[at : at + 2 * size])
             share = len(wanted & held) / len(wanted)
-            if share >= licenses.CONTAINMENT:
+            if share >= licenses.CONTAINMENT and held >= set(must.split()):
                 labels.add(label)
                 best = max(best, share)
     return (
@@ -35,7 +35,7 @@ def brute(text):
 def test_scan_equals_brute_force(documents):
     draw = random.Random(6)
     texts = ["MIT-License, mit\nlicense; (CC) BY 4.0 cc by cc by", "the gnu general public license gnu general", "K license ſ"]
-    for _, template in licenses.TEMPLATES:
+    for _, _, template in licenses.TEMPLATES:
         words = template.split()
         for dropped in range(0, len(words) // 3 + 1):
             kept = [w for i, w in enumerate(words) if i not in draw.sample(range(len(words)), dropped)]
@@ -47,6 +47,26 @@ def test_scan_equals_brute_force(documents):
         assert found[i] == brute(text), text
 
 
+def test_notices_are_found_across_lines_and_told_apart(documents):
+    lorem = "lorem ipsum dolor sit amet consectetur " * 20
+    texts = {}
+    for i, (label, _, template) in enumerate(licenses.TEMPLATES):
+        words = template.split()
+        for shift in range(0, 60, 7):  # wherever windows begin, and wrapped after every fifth word
+            wrapped = "\n".join(" ".join(words[k : k + 5]) for k in range(0, len(words), 5))
+            texts[100 * i + shift] = label, f"{' '.join(lorem.split()[:shift])}\n{wrapped}\n{lorem}"
+    near = {
+        2001: ("Licensed under the Mozilla Public License, Version 2.0", ""),
+        2002: ("Released under the Apache License", "apache"),
+        2003: ("licensed under CC BY 4.0", "cc-by"),
+        2004: ("released " + lorem + "under " + lorem + " the " + lorem + "mit " + lorem + "license", ""),
+    }
+    rows = [(i, t) for i, (_, t) in texts.items()] + [(i, t) for i, (t, _) in near.items()]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(documents(rows)).collect()}
+    assert all(label in found[i].split(",") for i, (label, _) in texts.items())
+    assert {i: found[i] for i in near} == {i: labels for i, (_, labels) in near.items()}
+
+
 def test_odd_rows_keep_a_row_each(odd, empty):
     rows = licenses.scan(odd).collect()
     assert len(rows) == odd.count()
