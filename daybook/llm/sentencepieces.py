@@ -7,7 +7,9 @@ text backwards, which therefore yields segmentations in order of score and expan
 
 No piece goes on where U+2581 follows another sign, and some signs are in no piece but their own, so every
 segmentation is cut there, and the search over a text is the search over its chunks: each distinct chunk is segmented once and remembered (a bounded memo, emptied when full).
-The best N of a text replace chunks by their next best; only the N - 1 occurrences that lose least can take part.
+The best N of a text replace chunks by their next best; only the N - 1 occurrences that lose least can take part. They are
+given as what they change in the best one (``best_changes``: from which piece on, how many pieces, by which ids), so
+N segmentations of a long text take little more room than one; ``nth_best`` writes one out.
 
 Scores: the vocabulary at hand lists pieces by rank and has no probabilities, so a piece of rank r counts
 ``-log(r + 2)``, as frequencies of words fall with their rank; a byte counts ``BYTE_SCORE``. Where a vocabulary has
@@ -24,12 +26,15 @@ import heapq
 import math
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from daybook.llm.common import annotate
 
@@ -348,7 +353,7 @@ class Segmenter:
         listed = list(self.memo)
         for at in numbered:
             if not len(at):
-                yield np.empty(0, dtype=np.int32), 0.0, [0.0], [0]
+                yield np.empty(0, dtype=np.int32), 0.0, [0.0], [0], [[]]
                 continue
             begin = begins[at]
             lengths = begins[at + 1] - begin
@@ -361,33 +366,46 @@ class Segmenter:
             below = np.nonzero(gaps < limit)[0]
             nearest = np.concatenate([below, np.nonzero(gaps == limit)[0][: few - len(below)]])
             nearest = nearest[np.lexsort((nearest, gaps[nearest]))]
-            yield ids, score, *self.best_of(score, len(ids), [listed[i] for i in at[nearest]])
+            places = [(int(ends[k] - lengths[k]), int(lengths[k])) for k in nearest]
+            yield ids, score, *self.best_of(score, len(ids), [listed[i] for i in at[nearest]], places)
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int]]:
+    def encode(self, text: str | None) -> tuple[np.ndarray, float, list[float], list[int], list[list[dict]]]:
         return next(iter(self.encode_all([text])))
 
-    def best_of(self, score: float, length: int, names: list[str]) -> tuple[list[float], list[int]]:
-        """Scores and lengths of the best segmentations that change only the named chunks."""
+    def best_of(
+        self, score: float, length: int, names: list[str], places: list[tuple[int, int]]
+    ) -> tuple[list[float], list[int], list[list[dict]]]:
+        """Scores, lengths and changes of the best segmentations that change only the named chunks.
+
+        ``places`` has the first piece and the number of pieces of each named chunk in the best segmentation.
+        """
         options = []
         for name in names:
             if name not in self.found:
                 ranked = self.search(name, self.n_best)
-                sized = [(s, sum(len(self.ids_of(p)) for p in cut(name, starts))) for s, starts in ranked]
-                self.found[name] = [(s - sized[0][0], size - sized[0][1]) for s, size in sized]
+                spelt = [(s, [i for piece in cut(name, starts) for i in self.ids_of(piece)]) for s, starts in ranked]
+                self.found[name] = [(s - spelt[0][0], ids) for s, ids in spelt]
             options.append(self.found[name])
         first = (0,) * len(options)
-        queue, seen, scores, lengths = [(0.0, first)], {first}, [], []
+        queue, seen, scores, lengths, changes = [(0.0, first)], {first}, [], [], []
         while queue and len(scores) < self.n_best:
             loss, chosen = heapq.heappop(queue)
             scores.append(score - loss)
-            lengths.append(length + sum(o[c][1] for o, c in zip(options, chosen, strict=True)))
+            mine = sorted((*place, o[c][1]) for place, o, c in zip(places, options, chosen, strict=True) if c)
+            changes.append([{"at": at, "pieces": size, "ids": ids} for at, size, ids in mine])
+            lengths.append(length + sum(len(ids) - size for _, size, ids in mine))
             for k in range(len(options)):
                 if chosen[k] + 1 < len(options[k]):
                     following = (*chosen[:k], chosen[k] + 1, *chosen[k + 1 :])
                     if following not in seen:
                         seen.add(following)
                         heapq.heappush(queue, (-sum(o[c][0] for o, c in zip(options, following, strict=True)), following))
-        return scores, lengths
+        return scores, lengths, changes
+
+    def known(self, ids: pa.ListScalar) -> np.ndarray:
+        """The ids of a list that are numbers of pieces."""
+        held = ids.values.drop_null().to_numpy(zero_copy_only=False)
+        return held[(held >= 0) & (held < len(self.sound))]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces and bytes in a row, without the space that encoding puts in front."""
@@ -407,12 +425,18 @@ def cut(chunk: str, starts: tuple[int, ...]) -> list[str]:
     return [chunk[a:b] for a, b in zip(starts, (*starts[1:], len(chunk)), strict=True)]
 
 
+CHANGE = T.StructType([
+    T.StructField("at", T.IntegerType()),
+    T.StructField("pieces", T.IntegerType()),
+    T.StructField("ids", T.ArrayType(T.IntegerType())),
+])
 OUTPUTS = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())),
     T.StructField("n_pieces", T.LongType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("best_scores", T.ArrayType(T.DoubleType())),
     T.StructField("best_lengths", T.ArrayType(T.LongType())),
+    T.StructField("best_changes", T.ArrayType(T.ArrayType(CHANGE))),
     T.StructField("n_decoded", T.LongType()),
     T.StructField("round_trip", T.BooleanType()),
 ])
@@ -421,7 +445,7 @@ OUTPUTS = T.StructType([
 def encode(docs: DataFrame, keep: list[str], path: str = VOCABULARY, n_best: int = N_BEST, ranked: bool = True) -> DataFrame:
     """The ``keep`` columns in a struct ``row``, and the encoding of each whole text.
 
-    ``ids`` of the best segmentation with its ``score``; scores and lengths of the best ``n_best``; the number of
+    ``ids`` of the best segmentation with its ``score``; scores, lengths and changes of the best ``n_best``; the number of
     signs that ``ids`` decode to, and whether they are the text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(path, ranked))  # a fixed number of pieces
@@ -432,14 +456,15 @@ def encode(docs: DataFrame, keep: list[str], path: str = VOCABULARY, n_best: int
 
         def run(texts: list) -> list[pa.Array]:
             rows = []
-            for text, (ids, score, scores, lengths) in zip(texts, mine.encode_all(texts), strict=True):
+            for text, (ids, score, *best) in zip(texts, mine.encode_all(texts), strict=True):
                 decoded = mine.decode(ids)
-                rows.append((ids, len(ids), score, scores, lengths, len(decoded), decoded == (text or "").replace(SPACE, " ")))
+                rows.append((ids, len(ids), score, *best, len(decoded), decoded == (text or "").replace(SPACE, " ")))
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in OUTPUTS]
             sizes = np.cumsum([0, *map(len, columns[0])]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.int32), *columns[0]]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
-            kinds = [pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.int64(), pa.bool_()]
+            changed = to_arrow_type(OUTPUTS["best_changes"].dataType)
+            kinds = [pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), changed, pa.int64(), pa.bool_()]
             return [listed, *[pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=True)]]
 
         return run
@@ -447,6 +472,39 @@ def encode(docs: DataFrame, keep: list[str], path: str = VOCABULARY, n_best: int
     return annotate(docs, keep, "text", OUTPUTS, make)
 
 
+def nth_best(n: int) -> Column:
+    """Ids of the ``n``-th best segmentation (from 1) of an encoded text, null if it has fewer."""
+    changes, empty = F.get("best_changes", F.lit(n - 1)), F.array().cast("array<int>")
+    start = F.struct(empty.alias("ids"), F.lit(0).alias("done"))
+
+    def replaced(state: Column, change: Column) -> Column:
+        kept = F.slice("ids", state["done"] + 1, change["at"] - state["done"])
+        return F.struct(F.concat(state["ids"], kept, change["ids"]).alias("ids"), (change["at"] + change["pieces"]).alias("done"))
+
+    last = F.aggregate(changes, start, replaced, lambda state: F.concat(state["ids"], F.slice("ids", state["done"] + 1, F.size("ids"))))
+    return F.when(changes.isNotNull(), last)
+
+
+def decode(rows: DataFrame, ids: str, keep: list[str], path: str = VOCABULARY, ranked: bool = True) -> DataFrame:
+    """The ``keep`` columns in a struct ``row``, and ``decoded``: the text of the column ``ids``.
+
+    Null ids decode to null, no ids to the empty text; null elements and numbers that are no piece are left out;
+    bytes that are no UTF-8 become U+FFFD.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary.load(path, ranked))  # a fixed number of pieces
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{ids}`").cast("array<int>").alias("ids"))
+    schema = T.StructType([packed.schema["row"], T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = segmenter_of((path, ranked, N_BEST), shared, N_BEST)
+        for batch in batches:
+            listed = batch.column(1)
+            texts = [mine.decode(mine.known(listed[i])) if listed[i].is_valid else None for i in range(len(listed))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=schema.names)
+
+    return packed.mapInArrow(run, schema)
+
+
 _SEGMENTERS: dict[tuple, Segmenter] = {}
 
 

@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.llm import sentencepieces as sp
 
@@ -35,13 +37,30 @@ def test_search_yields_the_best_in_order(segmenter, text):
     assert segmenter.forward(text)[0][-1] == pytest.approx(brute[0][0])
 
 
+def brute_pieces(segmenter, text):
+    """Id and score of every piece that is one id and occurs in a text."""
+    signs = sp.SPACE + text.replace(" ", sp.SPACE)
+    parts = {signs[a:b] for a in range(len(signs)) for b in range(a + 1, len(signs) + 1)}
+    for part in parts:
+        score = segmenter.score_of(part)
+        if score is not None and len(segmenter.ids_of(part)) == 1:
+            yield segmenter.ids_of(part)[0], score
+
+
 @pytest.mark.parametrize("text", ["the at", "a b a", "in\non", "x  y"])
 def test_the_best_of_a_text_are_those_of_its_whole_lattice(segmenter, text):
-    _, score, scores, lengths = segmenter.encode(text)
+    ids, score, scores, lengths, changes = segmenter.encode(text)
     brute = every(segmenter, sp.SPACE + text.replace(" ", sp.SPACE))
     assert score == pytest.approx(brute[0][0])
     assert scores == pytest.approx([s for s, _ in brute[: sp.N_BEST]])
-    assert len(lengths) == len(scores)
+    assert len(lengths) == len(scores) == len(changes)
+    for size, total, changed in zip(lengths, scores, changes, strict=True):
+        own = ids.tolist()
+        for change in reversed(changed):
+            own[change["at"] : change["at"] + change["pieces"]] = change["ids"]
+        assert len(own) == size and segmenter.decode(np.array(own)) == text
+        spelt = {i: score for piece in brute_pieces(segmenter, text) for i, score in [piece]}
+        assert sum(spelt.get(i, sp.BYTE_SCORE) for i in own) == pytest.approx(total)
 
 
 def test_side_by_side_equals_one_by_one():
@@ -79,3 +98,21 @@ def test_odd_rows_are_encoded(odd, empty):
     assert all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in rows)
     assert all(r["n_decoded"] == len(r["row"]["text"] or "") for r in rows)
     assert sp.encode(empty, ["doc_id"]).count() == 0
+
+
+def test_every_listed_segmentation_decodes_to_its_text(documents, odd):
+    texts = ["the at", "some words and a few more of them", "été 一😀", None, "", "x" * 300, "tail  spaces  "]
+    for docs in (documents(list(enumerate(texts))), odd.select("doc_id", "text")):
+        encoded = sp.encode(docs, ["doc_id", "text"]).select("row.*", *sp.OUTPUTS.names)
+        for n in range(1, sp.N_BEST + 1):
+            listed = encoded.withColumn("nth", sp.nth_best(n)).where("nth is not null")
+            rows = sp.decode(listed, "nth", ["text", "nth", "best_lengths", "ids"]).select("row.*", "decoded").collect()
+            assert rows and all(r["decoded"] == (r["text"] or "") and len(r["nth"]) == r["best_lengths"][n - 1] for r in rows)
+            assert n > 1 or all(r["nth"] == r["ids"] for r in rows)
+
+
+def test_odd_ids_are_decoded(spark):
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [None, -1, 10**9])], "decoded int, ids array<int>")
+    found = sp.decode(rows, "ids", rows.columns)
+    assert [(r["row"]["decoded"], r["decoded"]) for r in found.collect()] == [(1, None), (2, ""), (3, "")]
+    assert sp.decode(rows.where(F.lit(False)), "ids", ["decoded"]).count() == 0
