@@ -48,6 +48,26 @@ def test_ranges_stay_merged_and_know_what_was_seen(spark, tmp_path, monkeypatch)
         assert found == brute_ranges(o for _, p, o in first if p == part)
 
 
+def test_a_row_meets_one_range_however_many_its_partition_has(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "CUT", 64)
+    draw = random.Random(4)
+    held = [(topic, part, off) for topic, part in (("t", 0), ("t", 1), (None, 1)) for off in range(-300, 3000) if draw.random() < 0.6]
+    held += [("u", 0, off) for off in range(1000)]  # in sequence over many cuts
+    ranges = offsets.merged(offsets.islands(spark.createDataFrame(held, "topic string, part long, off long")))
+    by_place = {}
+    for topic, part, off in held:
+        by_place.setdefault((topic, part), set()).add(off)
+    found = {}
+    for r in ranges.collect():
+        found.setdefault((r["topic"], r["part"]), []).append((r["low"], r["high"]))
+    assert {k: sorted(v) for k, v in found.items()} == {k: brute_ranges(v) for k, v in by_place.items()}
+    rows = [(topic, part, off, n) for n, (topic, part, off) in enumerate((t, p, o) for t, p in (("t", 0), (None, 1), ("u", 0), ("v", 9)) for o in range(-310, 3010, 3))]
+    batch = spark.createDataFrame([*rows, ("t", 0, None, -1)], "topic string, part long, off long, event_id long")
+    kept = offsets.unseen(batch, ranges)
+    assert {r["event_id"] for r in kept.collect()} == {n for t, p, o, n in rows if o not in by_place.get((t, p), ())} | {-1}
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def drive(spark, folder, cuts, on_batch):
     rows = arrivals()
     keyed_clock.use_keyed_state(spark)
