@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -45,8 +46,13 @@ SAME = 0.75
 MAIN = 0.75
 #: Weight of text that mark-up sets apart, when the region is sought.
 APART = 0.25
-#: Cells of one alignment table; longer lists of siblings are aligned from both ends.
+#: Cells of an alignment table held at once; of longer lists of siblings every part of the table is made when it is needed.
 CELLS = 1 << 20
+#: Parts that the rows of such a table are divided into, and matches remembered by a pair of pages.
+PARTS = 16
+KNOWN = 1 << 18
+#: Nodes of one shape from which on they are weighed together.
+FEW = 8
 DEEPEST = 200
 #: Pages aligned at once, and references remembered by a task.
 ROWS = 64
@@ -185,6 +191,8 @@ class Matcher:
         self.texts = page[2], reference[2]
         self.children = children_of(page[0]), children_of(reference[0])
         self.memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+        self.numbers: tuple[list[int], list[int]] | None = None
+        self.shapes: list[int] | None = None
 
     def match(self, a: int = -1, b: int = -1) -> list[tuple[int, int]]:
         """Pairs of matched nodes of the page and the reference, below two matched nodes."""
@@ -201,11 +209,9 @@ class Matcher:
         if known:
             return known
         left, right = self.children[0][a], self.children[1][b]
-        if len(left) * len(right) > CELLS:
-            chosen = self.from_both_ends(left, right)
-            found = sum(self.pair(*pair) for pair in chosen), chosen
-        else:
-            found = self.table(left, right)
+        found = (self.long if len(left) * len(right) > CELLS else self.table)(left, right)
+        if len(self.memo) >= KNOWN:
+            self.memo.clear()
         self.memo[a, b] = found
         return found
 
@@ -218,9 +224,6 @@ class Matcher:
             return 3 if self.texts[0][left[0]] == self.texts[1][right[0]] != 0 else 2
         return 1 + self.weigh(a, b)[0]
 
-    def alike(self, a: int, b: int) -> bool:
-        return self.labels[0][a] == self.labels[1][b]
-
     def table(self, left: list[int], right: list[int]) -> tuple[int, list[tuple[int, int]]]:
         labels, pair = [self.labels[1][b] for b in right], self.pair
         size = [[0] * (len(right) + 1)]
@@ -246,16 +249,123 @@ class Matcher:
                 pairs.append((left[i], right[j]))
         return size[-1][-1], pairs[::-1]
 
-    def from_both_ends(self, left: list[int], right: list[int]) -> list[tuple[int, int]]:
-        """Pairs of very long lists: their common beginning and end; what lies between stays unmatched."""
-        head = 0
-        while head < min(len(left), len(right)) and self.alike(left[head], right[head]):
-            head += 1
-        tail = 0
-        while tail < min(len(left), len(right)) - head and self.alike(left[-1 - tail], right[-1 - tail]):
-            tail += 1
-        ends = zip(left[len(left) - tail :], right[len(right) - tail :], strict=True)
-        return [*zip(left[:head], right[:head], strict=True), *ends]
+    def kinds(self) -> tuple[list[int], list[int]]:
+        """A number for each node; nodes of the same number weigh the same with any node of the other tree."""
+        if self.numbers is None:
+            shared = set(self.texts[0]) & set(self.texts[1])
+            said = [[text if text in shared else 0 for text in texts] for texts in self.texts]
+            known: dict[tuple, int] = {}
+            self.numbers = self.numbered(0, said[0], known), self.numbered(1, said[1], known)
+        return self.numbers
+
+    def numbered(self, side: int, texts: list[int], known: dict[tuple, int]) -> list[int]:
+        """A number for each node of a tree, the same for equal subtrees when blocks say ``texts``."""
+        numbers = [0] * len(texts)
+        for i in range(len(texts) - 1, -1, -1):  # children stand after their parent
+            below = tuple(numbers[child] for child in self.children[side][i])
+            numbers[i] = known.setdefault((self.labels[side][i], texts[i], below), len(known))
+        return numbers
+
+    def with_all(self, a: int, b: int, texts: list[np.ndarray], first: int) -> np.ndarray | int:
+        """What ``pair`` finds for a node and all nodes of one shape: ``texts`` is what they say, by distance from ``first``."""
+        left, right = self.children[0][a], self.children[1][b]
+
+        def same(x: int, y: int) -> np.ndarray | bool:
+            return self.texts[0][x] != 0 and texts[y - first] == self.texts[0][x]
+
+        if not left or not right:
+            return 1 + same(a, b)
+        if len(left) == len(right) == 1 and self.labels[0][left[0]] == self.labels[1][right[0]] == "#":
+            return 2 + same(left[0], right[0])
+        above = [0] * (len(right) + 1)
+        for x in left:
+            row = [0]
+            for j, y in enumerate(right):
+                best = np.maximum(above[j + 1], row[-1])
+                if self.labels[0][x] == self.labels[1][y]:
+                    best = np.maximum(best, above[j] + self.with_all(x, y, texts, first))
+                row.append(best)
+            above = row
+        return 1 + above[-1]
+
+    def long(self, left: list[int], right: list[int]) -> tuple[int, list[tuple[int, int]]]:
+        """What ``table`` finds, for lists of any length in memory that grows with their sum.
+
+        The table's rows are made one after the other, and the first row of each of its parts is kept. From these the
+        parts are made again, the last one first, as the way back leads through them. A common beginning needs no table:
+        nodes of one kind weigh most with each other, so the way back ends there.
+        """
+        kinds, pairs, weight = self.kinds(), [], 0
+        for a, b in zip(left, right, strict=False):
+            if kinds[0][a] != kinds[1][b]:
+                break
+            pairs.append((a, b))
+            weight += self.pair(a, b)
+        left, right = left[len(pairs) :], right[len(pairs) :]
+        if len(left) * len(right) <= CELLS:
+            more, rest = self.table(left, right)
+            return weight + more, pairs + rest
+        some = {kinds[1][b]: b for b in right}  # one node of each kind
+        place = {kind: i for i, kind in enumerate(some)}
+        at, nodes = np.array([place[kinds[1][b]] for b in right]), list(some.values())
+        if self.shapes is None:
+            self.shapes = self.numbered(1, [0] * len(self.texts[1]), {})
+        alike: dict[int, list[int]] = {}
+        for i, b in enumerate(nodes):
+            alike.setdefault(self.shapes[b], []).append(i)
+        groups: dict[str, list[tuple[int, list[int], list[np.ndarray]]]] = {}
+        for members in alike.values():
+            first, texts = nodes[members[0]], []
+            if len(members) >= FEW:
+                end = first + 1
+                while self.children[1][end - 1]:
+                    end = self.children[1][end - 1][-1] + 1
+                texts = [np.array([self.texts[1][nodes[i] + k] for i in members], np.int64) for k in range(end - first)]
+            groups.setdefault(self.labels[1][first], []).append((first, members, texts))
+        cache: dict[int, np.ndarray] = {}
+
+        def weights(a: int) -> np.ndarray:
+            """Weights of a node of ``left`` with each of ``right``, 0 where labels differ."""
+            if kinds[0][a] not in cache:
+                if (len(cache) + 1) * len(nodes) > PARTS * CELLS:
+                    cache.clear()
+                by_kind = np.zeros(len(nodes), np.int32)
+                for first, members, texts in groups.get(self.labels[0][a], ()):
+                    if texts:
+                        by_kind[members] = self.with_all(a, first, texts, first)
+                    else:
+                        for i in members:
+                            by_kind[i] = self.pair(a, nodes[i])
+                cache[kinds[0][a]] = by_kind
+            return cache[kinds[0][a]][at]
+
+        total, back, column = None, [], len(right)
+        parts = [(0, len(left), np.zeros(column + 1, np.int64))]
+        while parts and column:
+            first, last, row = parts.pop()
+            row = row[: column + 1]
+            step = 1 if (last - first) * (column + 1) <= CELLS else -(-(last - first) // PARTS)
+            kept = []
+            for i in range(first, last):
+                if (i - first) % step == 0:
+                    kept.append(row)
+                best = row.copy()
+                np.maximum(row[1:], row[:-1] + weights(left[i])[:column], out=best[1:])
+                row = np.maximum.accumulate(best)
+            total = int(row[-1]) if total is None else total
+            if step > 1:
+                parts += [(i, min(i + step, last), kept[k]) for k, i in enumerate(range(first, last, step))]
+                continue
+            size, i = [*kept, row], last
+            while i > first and column:
+                if size[i - first][column] == size[i - first - 1][column]:
+                    i -= 1
+                elif size[i - first][column] == size[i - first][column - 1]:
+                    column -= 1
+                else:
+                    i, column = i - 1, column - 1
+                    back.append((left[i], right[column]))
+        return weight + total, pairs + back[::-1]
 
 
 COUNTED = "host string, layout string, slot int, key long, weight double, inside int, head boolean, vote long"

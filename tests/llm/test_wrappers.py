@@ -164,6 +164,57 @@ def test_tree_matching_is_largest(monkeypatch):
     assert len(wrappers.Matcher(flat(long), flat(long)).match()) == 7
 
 
+def test_long_lists_are_aligned_as_short_ones_are(monkeypatch):
+    draw = random.Random(15)
+
+    def tree(depth):
+        if draw.random() < 0.4 or not depth:
+            return "#", [], draw.choice((0, 1, 2, 3, 4, draw.randrange(10, 10**6)))
+        return draw.choice("ab"), [tree(depth - 1) for _ in range(draw.randrange(5))], 0
+
+    def told(trees, depth=0):
+        depths, labels, said = [], [], []
+        for label, children, text in trees:
+            below = told(children, depth + 1)
+            depths, labels, said = depths + [depth, *below[0]], labels + [label, *below[1]], said + [text, *below[2]]
+        return depths, labels, said
+
+    for n in range(80):
+        common = [tree(2) for _ in range(draw.randrange(4))]
+        a, b = (told([*common, *[tree(3) for _ in range(draw.randrange(14))]]) for _ in "ab")
+        monkeypatch.setattr(wrappers, "CELLS", 1 << 20)
+        matcher = wrappers.Matcher(a, b)
+        expected = matcher.weigh(-1, -1)[0], matcher.match()
+        monkeypatch.setattr(wrappers, "PARTS", 2 + n % 3)
+        monkeypatch.setattr(wrappers, "KNOWN", 1 + n)
+        monkeypatch.setattr(wrappers, "FEW", 1 + n % 4)
+        for cells in (0, 3, 20):
+            monkeypatch.setattr(wrappers, "CELLS", cells)
+            matcher = wrappers.Matcher(a, b)
+            assert (matcher.weigh(-1, -1)[0], matcher.match()) == expected
+
+
+def test_what_differs_in_the_middle_of_long_lists_leaves_the_rest_matched():
+    def rows(cells):  # each a row of two cells
+        depths, labels, said = [0, 1, 2, 1, 2] * len(cells), ["tr", "td", "#", "td", "#"] * len(cells), []
+        for cell in cells:
+            said += [0, 0, cell, 0, 7]
+        return depths, labels, said
+
+    draw = random.Random(16)
+    cells = [draw.randrange(100, 10**9) for _ in range(3000)]
+    near = [x for i, x in enumerate(cells) if i % 500 != 3]
+    odd = [0], ["hr"], [0]
+    mine = tuple(x + y + z for x, y, z in zip(rows(cells[:1500]), odd, rows(cells[1500:]), strict=True))
+    found = set(wrappers.Matcher(mine, rows(near)).match())
+    places = {cell: 5 * i for i, cell in enumerate(near)}
+    assert all((5 * i + (i >= 1500), places[cell]) in found for i, cell in enumerate(cells) if cell in places)
+    begun = time.perf_counter()
+    other = rows([draw.randrange(100, 10**9) for _ in range(5000)])
+    assert len(wrappers.Matcher(other, rows(cells)).match()) == 5 * 3000
+    assert time.perf_counter() - begun < 5
+
+
 def test_long_pages_are_read_whole():
     body = "".join(f"<p>p{i}</p><div>d{i}</div>" for i in range(3000))
     text = wrappers.main_text(f"<article>{body}</article>")
