@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from daybook.schemas import ACCOUNT_TYPES, CUSTOMER, LAYOUTS, RELATIONSHIP_TYPES, RUN_STATUSES, TRANSACTION_TYPES
 from daybook.session import durable
 
 #: Partitions that are sent to the scans as literals; more are joined.
 FEW_PARTITIONS = 256
+#: Rows whose keys one task holds.
+TASK_ROWS = 1 << 19
 
 
 def _joined(columns: list[str]) -> Column:
@@ -24,11 +30,31 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _counted_in_batches(keys: list[str], kinds: pa.Schema):
+    """How often each key comes in a batch: a key with many rows is sent once per batch and not once per row."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(keys, use_threads=False).aggregate([([], "count_all")])
+            yield from counted.select([*keys, "count_all"]).rename_columns([*keys, "rows"]).cast(kinds).to_batches()
+
+    return count
+
+
+def _rows_by_key(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Rows of each key. Tasks are as many as rows need, as encoded keys are small and adaptive execution goes by bytes."""
+    shown = df.select(*keys)
+    schema = T.StructType([*shown.schema.fields, T.StructField("rows", T.LongType())])
+    counted = shown.mapInArrow(_counted_in_batches(keys, to_arrow_schema(schema)), schema)
+    return counted.repartition(max(1, -(-rows // TASK_ROWS)), *keys).groupBy(*keys).agg(F.sum("rows").alias("rows"))
+
+
 def pk_audit(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Keys that are not unique: (table_name, key, rows)."""
+    """Keys that are not unique: (table_name, key, rows). The tables are counted first."""
+    sizes = _union([df.select(F.lit(name).alias("name")) for name, (df, _) in tables.items()]).groupBy("name").count()
+    rows = {r["name"]: r["count"] for r in sizes.collect()}
     return _union([
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        _rows_by_key(df, keys, rows.get(name, 0))
         .where(F.col("rows") > 1)
         .select(F.lit(name).alias("table_name"), _joined(keys).alias("key"), "rows")
         for name, (df, keys) in tables.items()

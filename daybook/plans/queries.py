@@ -490,13 +490,14 @@ def fk_audit(book):
     UNION ALL SELECT 'staged_line', CAST(batch_date AS VARCHAR) || ',' || CAST(source_line AS VARCHAR), count(*)
     FROM line_item_txn GROUP BY batch_date, source_line HAVING count(*) > 1""")
 def pk_audit(book):
+    deltas = durable(backfill.daily_deltas(backfill.winners(book.transaction_feed)), "deltas")
     return audits.pk_audit({
         "customer": (book.customers, ["customer_id"]),
         "account": (book.core_account, ["account_id"]),
         "relationship": (book.stg_relationship, ["account_id", "customer_id"]),
         "balance": (book.core_balance, ["account_id"]),
         "ledger": (book.transaction_feed, ["transaction_id"]),
-        "snapshot": (backfill.daily_deltas(backfill.winners(book.transaction_feed)), ["batch_date", "account_id"]),
+        "snapshot": (deltas, ["batch_date", "account_id"]),
         "staged_line": (book.line_items, ["batch_date", "source_line"]),
     })
 

@@ -55,3 +55,22 @@ def test_digests_know_nulls_and_moved_values(spark):
     for other in (table((1, None, "x"), (1, None, "y")), table((1, "x", None)), table((1, "x", None), (1, "x", None)), table((1, "x", ""), (1, None, "y"))):
         assert audits.differing(base, audits.digests(other, ["p"]), ["p"]).count() == 1
     assert audits.differing(base, audits.digests(table((1, None, "y"), (1, "x", None)), ["p"]), ["p"]).isEmpty()
+
+
+def test_keys_are_counted_in_tasks_of_so_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(audits, "TASK_ROWS", 500, raising=False)
+    n = F.col("id")
+    unique = spark.range(20_000).select(n.alias("a"), F.lit(dt.date(2026, 1, 1)).alias("day"))
+    twice = unique.where("a % 100 = 0")
+    hot = spark.range(3_000).select(F.lit(None).cast("long").alias("a"), F.lit(dt.date(2026, 1, 2)).alias("day"))
+    text = spark.range(60, numPartitions=3).select(F.concat(F.lit("k"), (n % 20).cast("string")).alias("b"))
+    found = audits.pk_audit({
+        "wide": (unique.unionByName(twice).unionByName(hot), ["day", "a"]),
+        "text": (text, ["b"]),
+        "none": (unique.where("a < 0"), ["a"]),
+    })
+    rows = sorted(tuple(r) for r in found.collect())
+    expected = [("wide", f"2026-01-01,{k}", 2) for k in range(0, 20_000, 100)] + [("wide", "2026-01-02", 3_000)]
+    assert rows == sorted([*expected, *[("text", f"k{k}", 3) for k in range(20)]])
+    per_task = found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(per_task) >= (20_000 + 200 + 3_000) / 500
